@@ -31,7 +31,6 @@ class Table:
         return [c.name for c in self.columns]
 
 
-
 def _text(name: str, max_bytes: int = 255) -> Column:
     return Column(name, T.StringType(), max_bytes)
 
