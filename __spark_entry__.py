@@ -243,7 +243,7 @@ def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = write_distributed(parts, f"parts_{tag}", [on[1], *PARTS], buckets, f"{base}/parts", spread=1)
     same_cell = (lines[on[0]] == parts[on[1]]) & (lines[PARTS[0]] == parts[PARTS[0]])
     same_cell &= lines[PARTS[1]] == parts[PARTS[1]]
-    return lines.join(parts, same_cell).select("l_orderkey", "l_linenumber", "p_brand", "p_size")
+    return lines.join(parts.hint("merge"), same_cell).select("l_orderkey", "l_linenumber", "p_brand", "p_size")
 
 
 def replicated_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,7 +297,7 @@ def _loaded(spark: SparkSession, sf_dir: str) -> Warehouse:
     warehouse, files = new_warehouse(spark), scratch_dir(spark)
     log_files = write_log_files(spark, sf_dir, f"{files}/log_data")
     song_files = write_song_files(spark, sf_dir, f"{files}/song_data")
-    run(warehouse, log_files, song_files, mode="overwrite")
+    run(warehouse, log_files, song_files)
     return warehouse
 
 

@@ -27,7 +27,7 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log records as a JSON writer would get them, keys and types of the source."""
     events = table(spark, sf_dir, "events").select(
         "*",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        F.floor("value").cast("int").alias("k"),
     ).select(
         "*",
         F.expr("CASE WHEN k % 3 = 0 THEN 0 ELSE event_id DIV 4 END").alias("song_no"),
@@ -128,7 +128,7 @@ def write_song_files(spark: SparkSession, sf_dir: str, target: str) -> str:
 
 _EVENT_NUMBERS = """
 SELECT *, CASE WHEN k % 3 = 0 THEN 0 ELSE event_id // 4 END AS song_no
-FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
+FROM (SELECT *, CAST(floor(value) AS INTEGER) AS k FROM events)
 """
 
 

@@ -26,11 +26,17 @@ def _all(conditions: Sequence[Column]) -> Column:
     return reduce(and_, conditions)
 
 
+def _with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.where(_all([F.col(k).isNotNull() for k in keys]))
+
+
 def _hot_groups(df: DataFrame, keys: Sequence[str], max_groups: int, min_rows: int, parts: str) -> DataFrame:
     """Keys with more than 1/max_groups of the rows: fewer than ``max_groups`` of them."""
+    # Counting all rows, NULL keys included, reads no column of a Parquet table.
     share = max(ceil(df.count() / max_groups), min_rows)
     return (
-        df.groupBy(*keys)
+        _with_keys(df, keys)
+        .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > share)
         .select(*keys, F.ceil(F.col("_rows") / share).cast("int").alias(parts))
@@ -94,12 +100,10 @@ def salt_pair(
     if max_groups is None:
         max_groups = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     left_keys, right_keys = [lk for lk, _ in on], [rk for _, rk in on]
-    left = left.where(_all([F.col(k).isNotNull() for k in left_keys]))
-    right = right.where(_all([F.col(k).isNotNull() for k in right_keys]))
     grid = _hot_grid(left, right, on, max_groups, min_rows)
     return (
-        _spread(left, left_keys, grid, "_left", "_right"),
-        _spread(right, right_keys, grid, "_right", "_left").drop("_left_parts"),
+        _spread(_with_keys(left, left_keys), left_keys, grid, "_left", "_right"),
+        _spread(_with_keys(right, right_keys), right_keys, grid, "_right", "_left").drop("_left_parts"),
     )
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,24 +42,17 @@ LOG_KEYS = {
 SONG_KEYS = {name: name for name in schemas.staging_songs().column_names}
 
 
-def _read_text_fields(
-    spark: SparkSession,
-    paths: str | Sequence[str],
-    keys: Mapping[str, str],
-    multi_line: bool,
-    mode: str,
-    file_glob: str | None,
-) -> DataFrame:
-    schema = T.StructType([T.StructField(key, T.StringType()) for key in keys])
-    reader = (
-        spark.read.schema(schema)
-        .option("recursiveFileLookup", True)
-        .option("multiLine", multi_line)
-        .option("mode", mode)
-    )
-    if file_glob:
-        reader = reader.option("pathGlobFilter", file_glob)
-    return reader.json([paths] if isinstance(paths, str) else list(paths))
+def _text_schema(keys: Mapping[str, str]) -> T.StructType:
+    return T.StructType([T.StructField(key, T.StringType()) for key in keys])
+
+
+def _below(spark: SparkSession, file_glob: str | None) -> DataFrameReader:
+    reader = spark.read.option("recursiveFileLookup", True)
+    return reader.option("pathGlobFilter", file_glob) if file_glob else reader
+
+
+def _listed(paths: str | Sequence[str]) -> list[str]:
+    return [paths] if isinstance(paths, str) else list(paths)
 
 
 def _typed(raw: DataFrame, keys: Mapping[str, str], table: schemas.Table) -> DataFrame:
@@ -78,23 +71,28 @@ def typed_songs(raw: DataFrame, numeric_scale: int = 0) -> DataFrame:
 
 
 def read_log(
-    spark: SparkSession,
-    paths: str | Sequence[str],
-    mode: str = "FAILFAST",
-    file_glob: str | None = None,
+    spark: SparkSession, paths: str | Sequence[str], file_glob: str | None = None
 ) -> DataFrame:
     """Line-delimited log files (splittable) below ``paths``, as text fields."""
-    return _read_text_fields(spark, paths, LOG_KEYS, False, mode, file_glob)
+    reader = _below(spark, file_glob).schema(_text_schema(LOG_KEYS))
+    return reader.option("mode", "FAILFAST").json(_listed(paths))
 
 
 def read_songs(
     spark: SparkSession,
     paths: str | Sequence[str],
-    mode: str = "FAILFAST",
     file_glob: str | None = None,
+    one_per_line: bool = False,
 ) -> DataFrame:
     """Catalogue files below ``paths``, as text fields.
 
-    A file holds one JSON object, on one or many lines, or an array of objects.
+    A file holds one JSON object, on one or many lines, or an array of objects; with
+    ``one_per_line`` it holds an object on every line.
+
+    Files are read whole and parsed from memory: to hand out a number as text, the JSON
+    reader's multi-line mode goes back to the file for it, number by number.
     """
-    return _read_text_fields(spark, paths, SONG_KEYS, True, mode, file_glob)
+    schema = _text_schema(SONG_KEYS)
+    files = _below(spark, file_glob).text(_listed(paths), wholetext=not one_per_line)
+    objects = F.from_json("value", T.ArrayType(schema), {"mode": "FAILFAST"})
+    return files.select(F.inline(objects))

@@ -208,14 +208,24 @@ def test_broken_json_stops_the_load(spark, warehouse, song_dir, tmp_path):
         run(warehouse, str(tmp_path / "log"), song_dir)
 
 
+def test_broken_catalogue_stops_the_load(spark, warehouse, log_dir, tmp_path):
+    (tmp_path / "songs").mkdir()
+    (tmp_path / "songs" / "a.json").write_text('{"song_id": "S1", "title"')
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST|malformed"):
+        run(warehouse, log_dir, str(tmp_path / "songs"))
+    assert warehouse.read("staging_songs").count() == 0
+
+
 def test_reading_takes_globs_lists_and_arrays(spark, log_dir, tmp_path):
     assert read_log(spark, f"{log_dir}/2018/12").count() == 1
     assert read_log(spark, [f"{log_dir}/2018/11", f"{log_dir}/2018/12"]).count() == 9
     assert read_log(spark, log_dir, file_glob="2018-12-*").count() == 1
     (tmp_path / "a.json").write_text('[\n{"song_id": "S1"},\n{"song_id": "S2",\n "year": "7"}\n]')
-    assert rows(typed_songs(read_songs(spark, str(tmp_path))).select("song_id", "year")) == sorted(
-        [("S1", None), ("S2", 7)], key=repr
-    )
+    two = sorted([("S1", None), ("S2", 7)], key=repr)
+    assert rows(typed_songs(read_songs(spark, str(tmp_path))).select("song_id", "year")) == two
+    (tmp_path / "b.jsonl").write_text('{"song_id": "S1"}\n\n{"song_id": "S2", "year": 7}\n')
+    lines = read_songs(spark, str(tmp_path), file_glob="*.jsonl", one_per_line=True)
+    assert rows(typed_songs(lines).select("song_id", "year")) == two
 
 
 def test_coercions(spark, tmp_path):
