@@ -239,8 +239,8 @@ def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, parts = salt_pair(lines, parts, [on])
     base, tag = scratch_dir(spark), uuid.uuid4().hex[:12]
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    lines = write_distributed(lines, f"lines_{tag}", [on[0], *PARTS], buckets, f"{base}/lines", spread=1)
-    parts = write_distributed(parts, f"parts_{tag}", [on[1], *PARTS], buckets, f"{base}/parts", spread=1)
+    lines = write_distributed(lines, f"lines_{tag}", [on[0], *PARTS], buckets, f"{base}/lines")
+    parts = write_distributed(parts, f"parts_{tag}", [on[1], *PARTS], buckets, f"{base}/parts")
     same_cell = (lines[on[0]] == parts[on[1]]) & (lines[PARTS[0]] == parts[PARTS[0]])
     same_cell &= lines[PARTS[1]] == parts[PARTS[1]]
     return lines.join(parts.hint("merge"), same_cell).select("l_orderkey", "l_linenumber", "p_brand", "p_size")

@@ -1,10 +1,11 @@
 """Latest rows per key.
 
 A key may hold a large share of all rows, also with all of them tied at the latest
-time. So no group is ever brought together whole: every input split first keeps
-only its own latest rows (Spark runs that rank below the shuffle), and what several
-splits still have in common is settled against the maximum per key in a join, which
-AQE can split on a hot key.
+time, so no group is ever brought together whole. The maxima per key come from an
+aggregation that collapses a key within each split. If they can be broadcast, the rows
+are compared with them where they are. If not, each split first keeps only its own latest
+rows (Spark runs that rank below the shuffle), and what several splits still have in
+common is settled in a join with the maxima, which AQE can split on a hot key.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import broadcast_limit, plan_bytes, through_table
+
 
 def max_per_key(df: DataFrame, key: str, order: str, name: str | None = None) -> DataFrame:
     """One row per key, the NULL key included, with the largest ``order``."""
@@ -21,28 +24,44 @@ def max_per_key(df: DataFrame, key: str, order: str, name: str | None = None) ->
 
 
 def latest_rows_by_join(df: DataFrame, key: str, order: str, columns: Sequence[str]) -> DataFrame:
-    """All rows at the maximum of their key, ties and copies kept: the plain self-join.
+    """All rows at the maximum of their key, ties and copies kept: the plain self-join."""
+    return _at_peak(df, max_per_key(df, key, order, "_peak"), key, order, columns)
 
-    Right for any input, but ships every row to the join unless the maxima can be broadcast.
-    """
-    peak = max_per_key(df, key, order, "_peak").withColumnRenamed(key, "_key")
-    at_peak = (F.col(key) == F.col("_key")) & (F.col(order) == F.col("_peak"))
-    return df.join(peak, at_peak, "inner").select(key, *columns)
 
+def latest_rows(
+    df: DataFrame,
+    key: str,
+    order: str,
+    columns: Sequence[str],
+    max_broadcast_bytes: int | None = None,
+) -> DataFrame:
+    """The rows of ``latest_rows_by_join``, planned by the size of the maxima.
 
-def latest_rows(df: DataFrame, key: str, order: str, columns: Sequence[str]) -> DataFrame:
-    """The rows of ``latest_rows_by_join``, shipping only the latest rows of each split."""
+    ``max_broadcast_bytes`` defaults to Spark's own threshold. Where the input does not
+    prove them small, the maxima are written out first, which shows their size.
+    """
+    if max_broadcast_bytes is None:
+        max_broadcast_bytes = broadcast_limit(df.sparkSession)
     known = df.where(F.col(key).isNotNull() & F.col(order).isNotNull())
-    split_latest = Window.partitionBy(key, "_split").orderBy(F.col(order).desc())
+    peak = max_per_key(known, key, order, "_peak")
+    if plan_bytes(peak) > max_broadcast_bytes:
+        peak = through_table(peak)
+    if plan_bytes(peak) <= max_broadcast_bytes:
+        return _at_peak(known, F.broadcast(peak), key, order, columns)
+    latest_of_split = Window.partitionBy(key, "_split").orderBy(F.col(order).desc())
     candidates = (
         known.select(key, order, *columns)
         .withColumn("_split", F.spark_partition_id())
-        .withColumn("_rank", F.rank().over(split_latest))
+        .withColumn("_rank", F.rank().over(latest_of_split))
         .where(F.col("_rank") == 1)
     )
-    peak = max_per_key(known, key, order, "_peak").withColumnRenamed(key, "_key")
+    return _at_peak(candidates, peak, key, order, columns)
+
+
+def _at_peak(rows: DataFrame, peak: DataFrame, key: str, order: str, columns: Sequence[str]) -> DataFrame:
+    peak = peak.withColumnRenamed(key, "_key")
     at_peak = (F.col(key) == F.col("_key")) & (F.col(order) == F.col("_peak"))
-    return candidates.join(peak, at_peak, "inner").select(key, *columns)
+    return rows.join(peak, at_peak, "inner").select(key, *columns)
 
 
 def latest_one(

@@ -10,23 +10,23 @@ from pyspark.sql import functions as F
 from ..session import broadcast_limit, plan_bytes
 
 
-def to_buckets(df: DataFrame, keys: Sequence[str], buckets: int, spread: int = 8) -> DataFrame:
-    """Gather rows by bucket before a bucketed write: at most ``spread`` files per bucket.
+def to_buckets(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Gather rows by bucket before a bucketed write, for few and large files.
 
-    ``spread`` tasks share a bucket, and so a hot key. Spark's bucket number is
-    the hash of the keys modulo the number of buckets.
+    Adaptive execution cuts a bucket above its advisory partition size over several tasks,
+    so a hot key is not written by one. Spark's bucket number is the hash of the keys
+    modulo the number of buckets.
     """
-    bucket = F.pmod(F.hash(*keys), F.lit(buckets))
-    turn = F.pmod(F.monotonically_increasing_id(), F.lit(spread))
-    return df.repartition(buckets * spread, bucket, turn)
+    numbered = df.withColumn("_bucket", F.pmod(F.hash(*keys), F.lit(buckets)))
+    return numbered.hint("rebalance", buckets, F.col("_bucket")).drop("_bucket")
 
 
 def write_distributed(
-    df: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str, spread: int = 8
+    df: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str
 ) -> DataFrame:
     """Save ``df`` as a table bucketed by ``keys``; equally bucketed tables join in place."""
     (
-        to_buckets(df, keys, buckets, spread)
+        to_buckets(df, keys, buckets)
         .write.bucketBy(buckets, *keys)
         .option("path", path)
         .format("parquet")

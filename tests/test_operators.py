@@ -15,7 +15,7 @@ from starloom import operators as ops
 from starloom.operators import audit
 from starloom.operators.joins import PARTS, _hot_grid
 from starloom.operators.layout import sorted_within, to_buckets
-from starloom.session import scratch_dir, scratch_root, through_table
+from starloom.session import plan_bytes, scratch_dir, scratch_root, through_table
 
 
 def bag(df):
@@ -64,7 +64,8 @@ def test_latest_rows(skewed_events):
     rows, events = skewed_events
     expected = brute_latest(rows)
     assert max(expected.values()) > 100
-    assert bag(ops.latest_rows(events, "user_id", "ts", FIELDS)) == expected
+    for limit in (None, 0, 10**9):
+        assert bag(ops.latest_rows(events, "user_id", "ts", FIELDS, limit)) == expected
     assert bag(ops.latest_rows_by_join(events, "user_id", "ts", FIELDS)) == expected
 
 
@@ -83,8 +84,20 @@ def test_latest_rows_of_nobody(spark):
     assert bag(ops.latest_one(events, "user_id", "ts", FIELDS)) == Counter()
 
 
+def test_latest_rows_stay_in_place_with_few_keys(spark, skewed_events):
+    events = skewed_events[1]
+    text = plan(ops.latest_rows(events, "user_id", "ts", FIELDS))
+    # The one shuffle is that of the maxima.
+    assert text.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in text
+    # Too large an input to tell from, small enough once written.
+    limit = 2000
+    assert plan_bytes(ops.max_per_key(events, "user_id", "ts")) > limit
+    text = plan(ops.latest_rows(events, "user_id", "ts", FIELDS, limit))
+    assert "Exchange hashpartitioning" not in text and "BroadcastHashJoin" in text
+
+
 def test_latest_rows_limits_each_split_before_the_shuffle(skewed_events):
-    text = plan(ops.latest_rows(skewed_events[1], "user_id", "ts", FIELDS))
+    text = plan(ops.latest_rows(skewed_events[1], "user_id", "ts", FIELDS, 0))
     ranked, exchange = text.index("WindowGroupLimit"), text.index("Exchange hashpartitioning")
     assert "Partial" in text[exchange:]
     assert ranked < exchange
@@ -212,18 +225,23 @@ def test_bucketed_tables_join_in_place(spark):
     assert "SortMergeJoin" in text and "Exchange" not in text
 
 
-def test_buckets_are_shared_by_a_few_files(spark):
-    data = frame(spark, [("hit" if n % 3 == 0 else f"k{n}",) for n in range(2000)], "k string")
+def test_a_hot_bucket_is_written_by_several_tasks(spark):
+    rows = [("hit" if n % 3 == 0 else f"k{n}", f"{n:040d}") for n in range(60000)]
+    data = frame(spark, rows, "k string, text string")
     target = f"{scratch_dir(spark)}/bucketed"
-    gathered = to_buckets(data, ["k"], 4, spread=3)
-    gathered.write.bucketBy(4, "k").option("path", target).saveAsTable("shared_buckets")
-    stored = spark.table("shared_buckets").select("k", F.input_file_name().alias("file"))
-    files = {r.file for r in stored.distinct().collect()}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        gathered = to_buckets(data, ["k"], 4)
+        gathered.write.bucketBy(4, "k").option("path", target).saveAsTable("shared_buckets")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    stored = spark.table("shared_buckets").select("k", "text", F.input_file_name().alias("file"))
+    files = {r.file for r in stored.select("file").distinct().collect()}
     per_bucket = Counter(re.search(r"_(\d{5})\.", f).group(1) for f in files)
     assert set(per_bucket) == {"00000", "00001", "00002", "00003"}
-    assert max(per_bucket.values()) <= 3
-    assert len({r.file for r in stored.where("k = 'hit'").collect()}) > 1
-    assert spark.table("shared_buckets").count() == 2000
+    hot = stored.where("k = 'hit'").groupBy("file").count().collect()
+    assert len(hot) > 2 and max(r["count"] for r in hot) < 20000
+    assert bag(stored.select("k", "text")) == Counter(rows)
 
 
 def test_range_clustered_splits_a_hot_value(spark):
