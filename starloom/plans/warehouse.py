@@ -16,8 +16,8 @@ from ..schemas import Table, staging_tables, star_tables
 class Warehouse:
     """Two schemas, one for staging and one for the star, and how their tables are kept.
 
-    ``location`` keeps the files below a folder of your own, where a later session finds
-    them again; without it Spark's warehouse directory is used. ``buckets`` turns on
+    ``location`` keeps the files in folders named after the schemas below a folder of your
+    own, where a later session finds them again; without it Spark's warehouse directory is used. ``buckets`` turns on
     bucketing by the declared distribution keys. ``numeric_scale`` are the digits kept of
     NUMERIC columns; the declared type keeps none.
     """
@@ -46,7 +46,8 @@ class Warehouse:
     def create(self) -> None:
         """Create what does not exist yet; files already at ``location`` are picked up."""
         for schema, tables in self.schemas.items():
-            self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
+            place = f" LOCATION '{self._folder(schema)}'" if self.location else ""
+            self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`{place}")
             for table in tables:
                 self.spark.sql(self._create_statement(schema, table))
 
@@ -56,16 +57,19 @@ class Warehouse:
         if self._bucketed(table):
             statement += f" CLUSTERED BY (`{table.distribute_by}`) INTO {self.buckets} BUCKETS"
         if self.location:
-            statement += f" LOCATION '{self.location.rstrip('/')}/{schema}/{table.name}'"
+            statement += f" LOCATION '{self._folder(schema)}/{table.name}'"
         return statement
 
+    def _folder(self, schema: str) -> str:
+        return f"{self.location.rstrip('/')}/{schema}"
+
     def _bucketed(self, table: Table) -> bool:
         return bool(self.buckets and table.distribute_by)
 
     def reset(self) -> None:
         """Drop both schemas with everything in them and create them empty."""
         if self.location:
-            # Dropping a table at a location of its own leaves its files: empty it first.
+            # Whether dropping removes files at a given location is up to the catalog: empty them.
             self.create()
             for tables in self.schemas.values():
                 for table in tables:
