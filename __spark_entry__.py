@@ -192,7 +192,6 @@ def surrogate_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered.agg(
         F.count("songplay_id").alias("n_rows"),
         F.countDistinct("songplay_id").alias("n_ids"),
-        F.min("songplay_id").alias("lowest"),
     )
 
 
@@ -521,7 +520,7 @@ SELECT DISTINCT o_orderdate AS start_time, {_calendar_sql('o_orderdate')} FROM o
         "songplays_fact": _songplays_sql(STAGED_SQL),
         "songplays_null_keys": _songplays_sql(LOG_SQL),
         "songplays_salted": _songplays_sql(LOG_SQL),
-        "surrogate_id": "SELECT count(*) AS n_rows, count(*) AS n_ids, CAST(0 AS BIGINT) AS lowest FROM lineitem",
+        "surrogate_id": "SELECT count(*) AS n_rows, count(*) AS n_ids FROM lineitem",
         "surrogate_id_dense": """
 SELECT count(*) AS n_rows, count(*) AS n_ids, CAST(100 AS BIGINT) AS lowest, count(*) + 99 AS highest
 FROM lineitem
