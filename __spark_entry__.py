@@ -132,6 +132,11 @@ def users_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.users(by_day(log(spark, sf_dir)))
 
 
+def users_latest_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The way taken when there are too many users to broadcast their last times."""
+    return dimensions.users(by_day(log(spark, sf_dir)), max_broadcast_bytes=0)
+
+
 def users_latest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = by_day(log(spark, sf_dir))
     return latest_rows_by_join(events, "user_id", "ts", dimensions.USER_FIELDS)
@@ -342,6 +347,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         coercion_losses,
         stage_keep_nullsafe,
         users_latest,
+        users_latest_shuffled,
         users_latest_join,
         users_latest_one,
         user_max_ts,
@@ -498,6 +504,7 @@ UNION ALL SELECT 'page', count(page) FROM ({LOG_SQL})
 """,
         "stage_keep_nullsafe": f"SELECT session_id, item_in_session, page, ts FROM ({STAGED_SQL})",
         "users_latest": _users_sql(BY_DAY_SQL),
+        "users_latest_shuffled": _users_sql(BY_DAY_SQL),
         "users_latest_join": _users_sql(BY_DAY_SQL),
         "users_latest_one": f"""
 SELECT user_id, {fields} FROM (

@@ -16,22 +16,27 @@ from pyspark.sql import types as T
 _WIDE = "decimal(38,18)"
 
 
+def _given(value: Column) -> Column:
+    # A failing conversion costs an exception; empty text is too common for that.
+    return F.nullif(value.cast("string"), F.lit(""))
+
+
 def integer(value: Column) -> Column:
     """``"39"`` -> 39, ``""`` -> NULL."""
-    return value.try_cast("int")
+    return _given(value).try_cast("int")
 
 
 def bigint(value: Column) -> Column:
-    """Integers that the source writes with a fraction: ``1540919166796.0``.
+    """Integers that the source may write with a fraction: ``1540919166796.0``.
 
     Goes through a decimal, so that all 19 digits of a bigint stay exact.
     """
-    return value.try_cast(_WIDE).try_cast("bigint")
+    return _given(value).try_cast(_WIDE).try_cast("bigint")
 
 
 def truncated_decimal(value: Column, precision: int, scale: int) -> Column:
     """Cut to ``scale`` digits toward zero, then fit into decimal(precision, scale)."""
-    wide = value.try_cast(_WIDE)
+    wide = _given(value).try_cast(_WIDE)
     cut = F.when(wide >= 0, F.floor(wide, scale)).otherwise(F.ceil(wide, scale))
     return cut.try_cast(T.DecimalType(precision, scale))
 

@@ -22,14 +22,14 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def orphans(fact: DataFrame, foreign_key: str, dimension: DataFrame, primary_key: str) -> DataFrame:
     """Foreign key values without a dimension row, with the number of fact ``rows``.
 
-    Fact rows are counted per value before the join, so a hot value is one row in it.
+    Both sides come down to one row per value before the join, so no value is hot in it.
     """
     used = (
         fact.where(F.col(foreign_key).isNotNull())
         .groupBy(foreign_key)
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    known = dimension.select(F.col(primary_key).alias("_known"))
+    known = dimension.select(F.col(primary_key).alias("_known")).distinct()
     return used.join(known, used[foreign_key] == known["_known"], "left_anti")
 
 

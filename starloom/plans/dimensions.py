@@ -11,9 +11,9 @@ from ..operators import latest_one, latest_rows
 USER_FIELDS = ["first_name", "last_name", "gender", "level"]
 
 
-def users(events: DataFrame) -> DataFrame:
+def users(events: DataFrame, max_broadcast_bytes: int | None = None) -> DataFrame:
     """Attributes of each user at the user's last event; tied events all count."""
-    return latest_rows(events, "user_id", "ts", USER_FIELDS)
+    return latest_rows(events, "user_id", "ts", USER_FIELDS, max_broadcast_bytes)
 
 
 def users_distinct(events: DataFrame) -> DataFrame:

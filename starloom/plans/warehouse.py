@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.audit import enforced, violations
-from ..operators.layout import sorted_within, to_buckets
+from ..operators.layout import replicated, sorted_within, to_buckets
 from ..schemas import Table, staging_tables, star_tables
 
 
@@ -83,6 +83,11 @@ class Warehouse:
     def read(self, name: str) -> DataFrame:
         return self.spark.table(self.qualified(name))
 
+    def lookup(self, name: str) -> DataFrame:
+        """``read`` for joining to the fact: replicated tables are broadcast while small."""
+        table = self.read(name)
+        return replicated(table) if self.spec(name).replicated else table
+
     def append(self, name: str, rows: DataFrame, enforce: bool = True) -> None:
         """Add ``rows``, matched by column name, to a table in one write job.
 

@@ -25,6 +25,7 @@ class Table:
     foreign_keys: Mapping[str, tuple[str, str]] = field(default_factory=dict)
     distribute_by: str | None = None
     sort_by: str | None = None
+    replicated: bool = False
 
     @property
     def column_names(self) -> list[str]:
@@ -105,6 +106,7 @@ USERS = Table(
         _text("level"),
     ),
     primary_key="user_id",
+    replicated=True,
 )
 
 TIME = Table(
@@ -120,6 +122,7 @@ TIME = Table(
     ),
     primary_key="start_time",
     sort_by="start_time",
+    replicated=True,
 )
 
 
@@ -170,6 +173,7 @@ def artists(numeric_scale: int = 0) -> Table:
             Column("longitude", numeric),
         ),
         primary_key="artist_id",
+        replicated=True,
     )
 
 

@@ -78,6 +78,32 @@ def test_latest_rows_without_broadcast(spark, skewed_events):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_latest_rows_split_a_hot_key_in_the_last_join(spark):
+    """Half the rows are one user's, all tied at that user's last time."""
+    last = datetime(2024, 2, 1)
+    rows = [
+        (0, last, f"F{n}", "", "", "") if n % 2 else (n, last, "F", "", "", "") for n in range(20000)
+    ]
+    events = frame(spark, rows, EVENT, partitions=12)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        latest = ops.latest_rows(events, "user_id", "ts", FIELDS)
+        assert bag(latest) == Counter((u, *rest) for u, _, *rest in rows)
+        assert "skew=true" in plan(latest)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
 def test_latest_rows_of_nobody(spark):
     events = frame(spark, [(None, None, "F", "L", "F", "free")], EVENT, 1)
     assert bag(ops.latest_rows(events, "user_id", "ts", FIELDS)) == Counter()

@@ -70,6 +70,14 @@ def test_typical_report(spark, twice):
     assert counted(report) == [("Ann", 1, 1), ("Ann", 6, 1), ("Bob", 0, 3)]
 
 
+def test_replicated_dimensions_need_no_shuffle(twice):
+    ours, _ = twice
+    plays, artists, songs = ours.read("songplays"), ours.lookup("artists"), ours.lookup("songs")
+    joined = plays.join(artists, "artist_id")._jdf.queryExecution()
+    assert "BroadcastHashJoin" in joined.executedPlan().toString()
+    assert "broadcast" not in songs._jdf.queryExecution().logical().toString()
+
+
 def test_command_line(spark, log_dir, song_dir, tmp_path, monkeypatch):
     location = str(tmp_path / "cli")
 
