@@ -12,8 +12,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Wide enough for 20 integer and 18 fractional digits of source text.
-_WIDE = "decimal(38,18)"
+# Digits of the largest bigint.
+_BIGINT_DIGITS = 19
+
+
+def _exact(value: Column, integer_digits: int) -> Column:
+    """A decimal with as many fractional digits as Spark has left: rounding is far away."""
+    return _given(value).try_cast(T.DecimalType(38, 38 - integer_digits))
 
 
 def _given(value: Column) -> Column:
@@ -31,13 +36,13 @@ def bigint(value: Column) -> Column:
 
     Goes through a decimal, so that all 19 digits of a bigint stay exact.
     """
-    return _given(value).try_cast(_WIDE).try_cast("bigint")
+    return _exact(value, _BIGINT_DIGITS).try_cast("bigint")
 
 
 def truncated_decimal(value: Column, precision: int, scale: int) -> Column:
     """Cut to ``scale`` digits toward zero, then fit into decimal(precision, scale)."""
-    wide = _given(value).try_cast(_WIDE)
-    cut = F.when(wide >= 0, F.floor(wide, scale)).otherwise(F.ceil(wide, scale))
+    exact = _exact(value, precision - scale)
+    cut = F.when(exact >= 0, F.floor(exact, scale)).otherwise(F.ceil(exact, scale))
     return cut.try_cast(T.DecimalType(precision, scale))
 
 

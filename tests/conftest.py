@@ -23,7 +23,6 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "4g",
             "spark.sql.warehouse.dir": str(root / "warehouse"),
-            "spark.checkpoint.dir": str(root / "checkpoints"),
         },
     )
     session.sparkContext.setLogLevel("ERROR")
