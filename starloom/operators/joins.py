@@ -60,28 +60,35 @@ def _hot_grid(
     return through_table(grid)
 
 
-def _spread(df: DataFrame, keys: Sequence[str], grid: DataFrame, dealt: str, copied: str) -> DataFrame:
-    """Deal the rows of hot keys over ``dealt``_part and copy them along ``copied``_part."""
+def _hot_sides(grid: DataFrame) -> set[str]:
+    """Which sides have a hot key at all."""
+    most = grid.agg(F.max("_left_parts").alias("_left"), F.max("_right_parts").alias("_right")).first()
+    return {side for side in ("_left", "_right") if (most[side] or 1) > 1}
+
+
+def _spread(
+    df: DataFrame, keys: Sequence[str], grid: DataFrame, hot_sides: set[str], dealt: str, copied: str
+) -> DataFrame:
+    """Deal the rows of hot keys over ``dealt``_part and copy them along ``copied``_part.
+
+    What no key needs is left out of the plan: those parts are the constant 0.
+    """
+    if not hot_sides:
+        return df.select("*", *[F.lit(0).alias(p) for p in PARTS], F.lit(1).alias(f"{copied}_parts"))
     hot = F.broadcast(grid)  # bounded by _hot_grid
     same_key = _all([df[k] == hot[f"_k{i}"] for i, k in enumerate(keys)])
-    dealt_parts = F.coalesce(F.col(f"{dealt}_parts"), F.lit(1))
-    copied_parts = F.coalesce(F.col(f"{copied}_parts"), F.lit(1))
-    # Hashed, since rows of a hot key may come at regular distances.
-    row = F.xxhash64(F.monotonically_increasing_id())
-    return (
-        df.join(hot, same_key, "left")
-        .select(
-            *df.columns,
-            F.pmod(row, dealt_parts).cast("int").alias(f"{dealt}_part"),
-            copied_parts.alias(f"{copied}_parts"),
-        )
-        .select(
-            *df.columns,
-            f"{dealt}_part",
-            f"{copied}_parts",
-            F.explode(F.sequence(F.lit(0), F.col(f"{copied}_parts") - 1)).alias(f"{copied}_part"),
-        )
+    spread = df.join(hot, same_key, "left").select(
+        *df.columns, *[F.coalesce(f"{side}_parts", F.lit(1)).alias(f"{side}_parts") for side in (dealt, copied)]
     )
+    dealt_part = copied_part = F.lit(0)
+    if dealt in hot_sides:
+        # Hashed, since rows of a hot key may come at regular distances.
+        row = F.xxhash64(F.monotonically_increasing_id())
+        dealt_part = F.pmod(row, F.col(f"{dealt}_parts")).cast("int")
+    spread = spread.select(*df.columns, dealt_part.alias(f"{dealt}_part"), f"{copied}_parts")
+    if copied in hot_sides:
+        copied_part = F.explode(F.sequence(F.lit(0), F.col(f"{copied}_parts") - 1))
+    return spread.select("*", copied_part.alias(f"{copied}_part"))
 
 
 def salt_pair(
@@ -101,10 +108,10 @@ def salt_pair(
         max_groups = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     left_keys, right_keys = [lk for lk, _ in on], [rk for _, rk in on]
     grid = _hot_grid(left, right, on, max_groups, min_rows)
-    return (
-        _spread(_with_keys(left, left_keys), left_keys, grid, "_left", "_right"),
-        _spread(_with_keys(right, right_keys), right_keys, grid, "_right", "_left").drop("_left_parts"),
-    )
+    hot = _hot_sides(grid)
+    left = _spread(_with_keys(left, left_keys), left_keys, grid, hot, "_left", "_right")
+    right = _spread(_with_keys(right, right_keys), right_keys, grid, hot, "_right", "_left")
+    return left, right.drop("_left_parts")
 
 
 def left_match(

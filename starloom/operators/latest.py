@@ -3,9 +3,9 @@
 A key may hold a large share of all rows, also with all of them tied at the latest
 time, so no group is ever brought together whole. The maxima per key come from an
 aggregation that collapses a key within each split. If they can be broadcast, the rows
-are compared with them where they are. If not, each split first keeps only its own latest
-rows (Spark runs that rank below the shuffle), and what several splits still have in
-common is settled in a join with the maxima, which AQE can split on a hot key.
+are compared with them where they are. If not, they are joined with the maxima, and AQE
+can split that join on a hot key. Where keys come several times per split, each split
+first keeps only its own latest rows: Spark runs that rank below the shuffle.
 """
 
 from __future__ import annotations
@@ -48,14 +48,29 @@ def latest_rows(
         peak = through_table(peak)
     if plan_bytes(peak) <= max_broadcast_bytes:
         return _at_peak(known, F.broadcast(peak), key, order, columns)
-    latest_of_split = Window.partitionBy(key, "_split").orderBy(F.col(order).desc())
-    candidates = (
-        known.select(key, order, *columns)
+    rows = _latest_of_split(known, key, order, columns) if _recur_in_splits(known, key) else known
+    return _at_peak(rows, peak, key, order, columns)
+
+
+def _recur_in_splits(df: DataFrame, key: str, times: int = 4) -> bool:
+    """Whether the splits hold their keys over ``times`` times on average."""
+    pair = F.xxhash64(key, F.spark_partition_id())
+    found = df.select(pair.alias("pair")).agg(
+        F.approx_count_distinct("pair").alias("pairs"), F.count("pair").alias("rows")
+    )
+    pairs, rows = found.first()
+    return rows > times * pairs
+
+
+def _latest_of_split(df: DataFrame, key: str, order: str, columns: Sequence[str]) -> DataFrame:
+    """Each input split's own latest rows per key, ties kept."""
+    within = Window.partitionBy(key, "_split").orderBy(F.col(order).desc())
+    return (
+        df.select(key, order, *columns)
         .withColumn("_split", F.spark_partition_id())
-        .withColumn("_rank", F.rank().over(latest_of_split))
+        .withColumn("_rank", F.rank().over(within))
         .where(F.col("_rank") == 1)
     )
-    return _at_peak(candidates, peak, key, order, columns)
 
 
 def _at_peak(rows: DataFrame, peak: DataFrame, key: str, order: str, columns: Sequence[str]) -> DataFrame:

@@ -69,45 +69,14 @@ def test_latest_rows(skewed_events):
     assert bag(ops.latest_rows_by_join(events, "user_id", "ts", FIELDS)) == expected
 
 
-def test_latest_rows_without_broadcast(spark, skewed_events):
-    rows, events = skewed_events
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert bag(ops.latest_rows(events, "user_id", "ts", FIELDS)) == brute_latest(rows)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_latest_rows_split_a_hot_key_in_the_last_join(spark):
-    """Half the rows are one user's, all tied at that user's last time."""
-    last = datetime(2024, 2, 1)
-    rows = [
-        (0, last, f"F{n}", "", "", "") if n % 2 else (n, last, "F", "", "", "") for n in range(20000)
-    ]
-    events = frame(spark, rows, EVENT, partitions=12)
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
-    }
-    for name, value in settings.items():
-        spark.conf.set(name, value)
-    try:
-        latest = ops.latest_rows(events, "user_id", "ts", FIELDS)
-        assert bag(latest) == Counter((u, *rest) for u, _, *rest in rows)
-        assert "skew=true" in plan(latest)
-    finally:
-        for name in settings:
-            spark.conf.unset(name)
-
-
-def test_latest_rows_of_nobody(spark):
-    events = frame(spark, [(None, None, "F", "L", "F", "free")], EVENT, 1)
-    assert bag(ops.latest_rows(events, "user_id", "ts", FIELDS)) == Counter()
-    assert bag(ops.latest_one(events, "user_id", "ts", FIELDS)) == Counter()
+def test_latest_rows_of_scattered_keys(spark):
+    """Keys that hardly recur within a split go to the join as they are."""
+    start = datetime(2024, 1, 1)
+    rows = [(n % 500, start + timedelta(days=n % 7), f"F{n % 3}", "", "", "") for n in range(2000)]
+    events = frame(spark, rows, EVENT, partitions=8)
+    latest = ops.latest_rows(events, "user_id", "ts", FIELDS, 0)
+    assert "WindowGroupLimit" not in plan(latest)
+    assert bag(latest) == brute_latest(rows)
 
 
 def test_latest_rows_stay_in_place_with_few_keys(spark, skewed_events):
@@ -224,6 +193,17 @@ def test_hot_keys_are_few_and_dealt_out(spark):
     assert copied.where("j <> 'hit'").count() == 100
 
 
+def test_without_hot_keys_the_join_is_plain(spark):
+    left = frame(spark, [(f"k{n}",) for n in range(300)], "k string")
+    right = frame(spark, [(f"k{n}", n) for n in range(200)], "j string, n int")
+    text = plan(ops.left_match(left, right, [("k", "j")], ["n"], max_broadcast_bytes=0))
+    assert "Generate" not in text and "monotonically" not in text
+    # With keys hot on the left only, no left row is copied.
+    hot = frame(spark, [("hit" if n % 3 == 0 else f"k{n}",) for n in range(300)], "k string")
+    dealt, copied = ops.salt_pair(hot, right, [("k", "j")], max_groups=30, min_rows=1)
+    assert "Generate" not in plan(dealt) and "Generate" in plan(copied)
+
+
 def test_ids(spark):
     data = frame(spark, [(n,) for n in range(1000)], "n int")
     ids = [r[0] for r in ops.with_id(data, "id", 50).select("id").collect()]
