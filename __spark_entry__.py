@@ -384,10 +384,9 @@ def _calendar_sql(ts: str) -> str:
 
 def _users_sql(events: str) -> str:
     return f"""
-SELECT e.user_id, e.first_name, e.last_name, e.gender, e.level
-FROM ({events}) e
-JOIN (SELECT user_id, max(ts) AS max_ts FROM ({events}) GROUP BY user_id) m
-  ON e.user_id = m.user_id AND e.ts = m.max_ts
+SELECT user_id, first_name, last_name, gender, level
+FROM (SELECT *, max(ts) OVER (PARTITION BY user_id) AS last_ts FROM ({events}))
+WHERE user_id IS NOT NULL AND ts = last_ts
 """
 
 

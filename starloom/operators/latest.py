@@ -66,7 +66,7 @@ def _latest_of_split(df: DataFrame, key: str, order: str, columns: Sequence[str]
     """Each input split's own latest rows per key, ties kept."""
     within = Window.partitionBy(key, "_split").orderBy(F.col(order).desc())
     return (
-        df.select(key, order, *columns)
+        df.select(*dict.fromkeys([key, order, *columns]))
         .withColumn("_split", F.spark_partition_id())
         .withColumn("_rank", F.rank().over(within))
         .where(F.col("_rank") == 1)

@@ -12,7 +12,7 @@ _ROW_BITS = 33
 
 
 def next_id(existing: DataFrame, name: str) -> int:
-    """The first free id of a table that is appended to."""
+    """The first free id of a table that is appended to, by one writer at a time."""
     return existing.agg(F.coalesce(F.max(name) + 1, F.lit(0))).first()[0]
 
 

@@ -15,7 +15,9 @@ from starloom import operators as ops
 from starloom.operators import audit
 from starloom.operators.joins import PARTS, _hot_grid
 from starloom.operators.layout import sorted_within, to_buckets
+from starloom.plans.load import staged_events
 from starloom.session import plan_bytes, scratch_dir, scratch_root, through_table
+from starloom.sources import read_log
 
 
 def bag(df):
@@ -226,6 +228,12 @@ def test_keep_filter_reaches_the_scan(spark):
     assert "Or(IsNull(page),EqualTo(page,NextSong))" in plan(kept)
 
 
+def test_staging_is_one_pass_over_the_log(spark, log_dir):
+    text = plan(staged_events(read_log(spark, log_dir)))
+    assert "PushedFilters: [Or(IsNull(page),EqualTo(page,NextSong))]" in text
+    assert "Exchange" not in text
+
+
 def test_bucketed_tables_join_in_place(spark):
     text = plan(registry.bucketed_join(spark, SF_DIR))
     assert "SortMergeJoin" in text and "Exchange" not in text

@@ -30,10 +30,10 @@ def test_sql_fills_the_same_star(spark, twice):
     try:
         spark.sql("""
             INSERT INTO users
-            SELECT e.user_id, first_name, last_name, gender, level
-            FROM staging_sql.staging_events e,
-              (SELECT user_id, max(ts) AS last FROM staging_sql.staging_events GROUP BY 1) m
-            WHERE e.user_id = m.user_id AND ts = last""")
+            SELECT user_id, first_name, last_name, gender, level
+            FROM staging_sql.staging_events
+            WHERE (user_id, ts) IN
+              (SELECT user_id, max(ts) FROM staging_sql.staging_events GROUP BY user_id)""")
         spark.sql("""
             INSERT INTO songs SELECT DISTINCT song_id, title, artist_id, year, duration
             FROM staging_sql.staging_songs""")
