@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from .plans import Warehouse, insert_star, load_staging, run
+from .plans import Warehouse, insert_star, load_events, load_songs, run
 from .session import build_session
 
 
@@ -18,8 +18,10 @@ def main() -> None:
     parser.add_argument("--distinct-keys", action="store_true")
     parser.add_argument("--dense-ids", action="store_true")
     args = parser.parse_args()
-    if args.step in ("stage", "run") and not (args.log and args.songs):
-        parser.error(f"{args.step} needs --log and --songs")
+    if args.step == "run" and not (args.log and args.songs):
+        parser.error("run needs --log and --songs")
+    if args.step == "stage" and not (args.log or args.songs):
+        parser.error("stage needs --log or --songs")
 
     warehouse = Warehouse(build_session(), location=args.location)
     if args.step == "reset":
@@ -35,10 +37,13 @@ def main() -> None:
         )
     else:
         warehouse.create()
-        if args.step == "stage":
-            load_staging(warehouse, args.log, args.songs)
-        else:
+        if args.step == "insert":
             insert_star(warehouse, distinct_keys=args.distinct_keys, dense_ids=args.dense_ids)
+            return
+        if args.log:
+            load_events(warehouse, args.log)
+        if args.songs:
+            load_songs(warehouse, args.songs)
 
 
 if __name__ == "__main__":

@@ -20,21 +20,35 @@ def staged_events(raw: DataFrame) -> DataFrame:
     return drop_where_not_equal(typed_log(raw), "page", KEPT_PAGE)
 
 
+def load_events(warehouse: Warehouse, paths: str | Sequence[str], enforce: bool = True) -> None:
+    """Append log files to staging.
+
+    Records of other pages are left out before the write, so no reader ever sees them.
+    """
+    warehouse.append("staging_events", staged_events(read_log(warehouse.spark, paths)), enforce)
+
+
+def load_songs(
+    warehouse: Warehouse,
+    paths: str | Sequence[str],
+    enforce: bool = True,
+    one_per_line: bool = False,
+) -> None:
+    """Append catalogue files to staging: many tiny ones come in, some of a good size go out."""
+    raw = read_songs(warehouse.spark, paths, one_per_line=one_per_line)
+    catalogue = typed_songs(raw, warehouse.numeric_scale)
+    warehouse.append("staging_songs", catalogue.hint("rebalance"), enforce)
+
+
 def load_staging(
     warehouse: Warehouse,
     log_paths: str | Sequence[str],
     song_paths: str | Sequence[str],
     enforce: bool = True,
 ) -> None:
-    """Append both sources to their staging tables.
-
-    Records of other pages are left out before the write, so no reader ever sees them.
-    """
-    spark = warehouse.spark
-    warehouse.append("staging_events", staged_events(read_log(spark, log_paths)), enforce)
-    catalogue = typed_songs(read_songs(spark, song_paths), warehouse.numeric_scale)
-    # Many tiny files come in; files of a good size go out.
-    warehouse.append("staging_songs", catalogue.hint("rebalance"), enforce)
+    """Append both sources to their staging tables."""
+    load_events(warehouse, log_paths, enforce)
+    load_songs(warehouse, song_paths, enforce)
 
 
 def insert_star(

@@ -87,10 +87,14 @@ def test_command_line(spark, log_dir, song_dir, tmp_path, monkeypatch):
 
     sources = ["--log", log_dir, "--songs", song_dir]
     call("reset")
-    call("stage", *sources)
+    # Prefix by prefix.
+    call("stage", "--songs", song_dir)
+    call("stage", "--log", f"{log_dir}/2018/11")
+    call("stage", "--log", f"{log_dir}/2018/12")
     call("insert", "--dense-ids")
     assert spark.read.parquet(f"{location}/star/songplays").count() == 9
     call("run", *sources, "--mode", "overwrite", "--distinct-keys")
     assert spark.read.parquet(f"{location}/star/users").count() == 3
-    with pytest.raises(SystemExit):
-        call("run")
+    for step in ("run", "stage"):
+        with pytest.raises(SystemExit):
+            call(step)
