@@ -1,7 +1,7 @@
 """Left outer equi-join that holds when one key has a large share of the rows.
 
-A right side within Spark's broadcast threshold is broadcast: nothing is shuffled and
-skew does not matter. Beyond it, rows with a NULL key skip the join, and the keys that
+A right side measured to be within Spark's broadcast threshold is broadcast: nothing is
+shuffled and skew does not matter. Beyond it, rows with a NULL key skip the join, and the keys that
 are hot on either side are cut into a grid: a hot key's left rows are dealt out over
 ``_left_part`` and its right rows over ``_right_part``, each side being copied along the
 other one. Every pair of rows meets in exactly one cell.
@@ -17,7 +17,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_limit, plan_bytes, through_table
+from ..session import fits_broadcast, through_table
 
 PARTS = ["_left_part", "_right_part"]
 
@@ -129,13 +129,11 @@ def left_match(
     several times, one without any comes out once with NULLs. ``max_broadcast_bytes``
     defaults to Spark's own threshold; 0 always takes the shuffled way.
     """
-    if max_broadcast_bytes is None:
-        max_broadcast_bytes = broadcast_limit(left.sparkSession)
     names = [f"_m{i}" for i in range(len(on))]
     partners = right.select(*[F.col(rk).alias(n) for (_, rk), n in zip(on, names)], *take)
     pairs = [(lk, n) for (lk, _), n in zip(on, names)]
 
-    if plan_bytes(partners) <= max_broadcast_bytes:
+    if fits_broadcast(partners, max_broadcast_bytes):
         same_key = _all([left[lk] == F.col(n) for lk, n in pairs])
         return left.join(F.broadcast(partners), same_key, "left").select(*left.columns, *take)
 
@@ -145,7 +143,7 @@ def left_match(
         + [salted[p] == salted_partners[p] for p in PARTS]
     )
     matched = (
-        salted.join(salted_partners, same_cell, "left")
+        salted.join(salted_partners.hint("merge"), same_cell, "left")
         # An empty cell of a key that does match elsewhere is not a missing partner.
         .where((F.col("_right_parts") == 1) | F.col(names[0]).isNotNull())
         .select(*left.columns, *take)

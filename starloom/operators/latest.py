@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_limit, plan_bytes, through_table
+from ..session import fits_broadcast, through_table
 
 
 def max_per_key(df: DataFrame, key: str, order: str, name: str | None = None) -> DataFrame:
@@ -37,19 +37,15 @@ def latest_rows(
 ) -> DataFrame:
     """The rows of ``latest_rows_by_join``, planned by the size of the maxima.
 
-    ``max_broadcast_bytes`` defaults to Spark's own threshold. Where the input does not
-    prove them small, the maxima are written out first, which shows their size.
+    The maxima are written out first, to be computed once and measured.
+    ``max_broadcast_bytes`` defaults to Spark's own threshold.
     """
-    if max_broadcast_bytes is None:
-        max_broadcast_bytes = broadcast_limit(df.sparkSession)
     known = df.where(F.col(key).isNotNull() & F.col(order).isNotNull())
-    peak = max_per_key(known, key, order, "_peak")
-    if plan_bytes(peak) > max_broadcast_bytes:
-        peak = through_table(peak)
-    if plan_bytes(peak) <= max_broadcast_bytes:
+    peak = through_table(max_per_key(known, key, order, "_peak"))
+    if fits_broadcast(peak, max_broadcast_bytes):
         return _at_peak(known, F.broadcast(peak), key, order, columns)
     rows = _latest_of_split(known, key, order, columns) if _recur_in_splits(known, key) else known
-    return _at_peak(rows, peak, key, order, columns)
+    return _at_peak(rows, peak.hint("merge"), key, order, columns)
 
 
 def _recur_in_splits(df: DataFrame, key: str, times: int = 4) -> bool:

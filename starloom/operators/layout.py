@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_limit, plan_bytes
+from ..session import fits_broadcast
 
 
 def to_buckets(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
@@ -37,8 +37,7 @@ def write_distributed(
 
 def replicated(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """Mark a small table for a copy on every executor; left alone above the size limit."""
-    limit = broadcast_limit(df.sparkSession) if max_bytes is None else max_bytes
-    return F.broadcast(df) if plan_bytes(df) <= limit else df
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
 
 
 def sorted_within(df: DataFrame, key: str) -> DataFrame:

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_roots: dict[str, str] = {}
 
@@ -64,6 +65,23 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(stats.sizeInBytes()))
 
 
+def row_bytes(df: DataFrame) -> int:
+    """Bytes of all rows in memory, measured: files say little about rows that compress well."""
+    texts = [c for c, kind in df.dtypes if kind in ("string", "binary")]
+    fixed = 8 * (1 + len(df.columns) + len(texts))
+    totals = [F.count(F.lit(1)) * fixed, *[F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in texts]]
+    return int(sum(df.agg(*totals).first()))
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """Whether ``df`` is proven to be within the limit, by default Spark's own threshold.
+
+    Rows are measured only if the estimate is within the limit as well.
+    """
+    limit = broadcast_limit(df.sparkSession) if max_bytes is None else max_bytes
+    return plan_bytes(df) <= limit and row_bytes(df) <= limit
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     """``spark.sql.autoBroadcastJoinThreshold`` in bytes; -1 when broadcasting is off."""
     jvm_conf = spark._jsparkSession.sessionState().conf()

@@ -16,7 +16,14 @@ from starloom.operators import audit
 from starloom.operators.joins import PARTS, _hot_grid
 from starloom.operators.layout import sorted_within, to_buckets
 from starloom.plans.load import staged_events
-from starloom.session import plan_bytes, scratch_dir, scratch_root, through_table
+from starloom.session import (
+    fits_broadcast,
+    plan_bytes,
+    row_bytes,
+    scratch_dir,
+    scratch_root,
+    through_table,
+)
 from starloom.sources import read_log
 
 
@@ -84,20 +91,15 @@ def test_latest_rows_of_scattered_keys(spark):
 def test_latest_rows_stay_in_place_with_few_keys(spark, skewed_events):
     events = skewed_events[1]
     text = plan(ops.latest_rows(events, "user_id", "ts", FIELDS))
-    # The one shuffle is that of the maxima.
-    assert text.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in text
-    # Too large an input to tell from, small enough once written.
-    limit = 2000
-    assert plan_bytes(ops.max_per_key(events, "user_id", "ts")) > limit
-    text = plan(ops.latest_rows(events, "user_id", "ts", FIELDS, limit))
     assert "Exchange hashpartitioning" not in text and "BroadcastHashJoin" in text
+    text = plan(ops.latest_rows(events, "user_id", "ts", FIELDS, 100))
+    assert "SortMergeJoin" in text and "Broadcast" not in text
 
 
 def test_latest_rows_limits_each_split_before_the_shuffle(skewed_events):
     text = plan(ops.latest_rows(skewed_events[1], "user_id", "ts", FIELDS, 0))
-    ranked, exchange = text.index("WindowGroupLimit"), text.index("Exchange hashpartitioning")
-    assert "Partial" in text[exchange:]
-    assert ranked < exchange
+    below = text[re.search(r"Exchange hashpartitioning\(user_id#\d+, _split#\d+", text).end() :]
+    assert re.match(r".*\n.*WindowGroupLimit .*Partial", below)
 
 
 def test_latest_one(skewed_events):
@@ -182,6 +184,18 @@ def test_left_match_broadcasts_by_size_only(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_rows_are_measured_not_their_files(spark):
+    """A catalogue of copies compresses to next to nothing, and is still not broadcast."""
+    copies = through_table(spark.range(200000, numPartitions=1).selectExpr("'a' k", "repeat('x', 50) t"))
+    size = 200000 * (8 * 5 + 51)
+    assert row_bytes(copies) == size
+    assert plan_bytes(copies) < size / 10
+    assert not fits_broadcast(copies, size - 1) and fits_broadcast(copies, size)
+    plays = frame(spark, [("a",), ("b",), (None,)], "j string")
+    matched = ops.left_match(plays, copies, [("j", "k")], ["t"], max_broadcast_bytes=size // 2)
+    assert "SortMergeJoin" in plan(matched) and matched.count() == 200002
+
+
 def test_hot_keys_are_few_and_dealt_out(spark):
     left = frame(spark, [("hit" if n % 3 == 0 else f"k{n}",) for n in range(3000)], "k string")
     right = frame(spark, [("hit",)] + [(f"k{n}",) for n in range(100)], "j string")
