@@ -1,10 +1,10 @@
 """Left outer equi-join that holds when one key has a large share of the rows.
 
 A right side measured to be within Spark's broadcast threshold is broadcast: nothing is
-shuffled and skew does not matter. Beyond it, rows with a NULL key skip the join, and the keys that
-are hot on either side are cut into a grid: a hot key's left rows are dealt out over
-``_left_part`` and its right rows over ``_right_part``, each side being copied along the
-other one. Every pair of rows meets in exactly one cell.
+shuffled and skew does not matter. Beyond it, rows with a NULL key skip the join, and the
+keys that are hot on either side are cut into a grid: a hot key's left rows are dealt out
+over ``_left_part`` and its right rows over ``_right_part``, each side being copied along
+the other one. Every pair of rows meets in exactly one cell.
 """
 
 from __future__ import annotations

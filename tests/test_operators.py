@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -312,6 +313,21 @@ def test_scratch_is_below_the_configured_folder(spark, tmp_path):
     assert scratch_dir(spark).startswith(scratch_root(spark))
 
 
+def test_a_cluster_needs_a_shared_folder():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    def session(master):
+        return SimpleNamespace(
+            conf=Conf(), sparkContext=SimpleNamespace(master=master, applicationId="app-test")
+        )
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(session("yarn"))
+    assert scratch_root(session("local[2]")) == scratch_root(session("local[2]"))
+
+
 def test_only_used_columns_are_read(spark):
     text = plan(registry.time_dim(spark, SF_DIR))
     assert re.search(r"ReadSchema: struct<ts:timestamp_ntz>", text)
