@@ -50,6 +50,14 @@ from starloom.plans import Warehouse, dimensions, run, songplays  # noqa: E402
 from starloom.session import scratch_dir  # noqa: E402
 from starloom.sources import read_log, read_songs, typed_log, typed_songs  # noqa: E402
 
+try:  # the training-data operators may be left out
+    import corpus_pipeline
+    from starloom.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "starloom.llm"):
+        raise
+    llm_queries = corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -374,7 +382,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         star_run,
         star_violations,
     ]
-    return {query.__name__: query for query in registered}
+    named = {query.__name__: query for query in registered}
+    if llm_queries:
+        named |= {**llm_queries.queries(), "pipeline": corpus_pipeline.run}
+    return named
 
 
 def _calendar_sql(ts: str) -> str:
@@ -475,7 +486,12 @@ def oracle_sql() -> dict[str, str]:
 SELECT o_orderkey, o_orderdate FROM orders
 WHERE o_orderdate BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1997-12-31'
 """
-    return {
+    llm = {}
+    if llm_queries:
+        llm = llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            llm["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return llm | {
         "load_events_json": all_log,
         "load_songs_json": SONGS_SQL,
         "coerce_epoch_ms": "SELECT event_id, date_trunc('millisecond', ts) AS start_time FROM events",
