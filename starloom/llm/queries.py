@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from starloom.llm.ngram_join import ngram_join
 from starloom.llm.packing import pack
 from starloom.llm.tables import read
 from starloom.llm.token_count import count_tokens
@@ -14,6 +15,10 @@ from starloom.llm.token_files import read_token_files, write_token_files
 from starloom.session import scratch_dir
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(read(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -29,7 +34,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op3_packing, op6_token_counts, op9_token_files]
+    registered = [op2_ngram_join, op3_packing, op6_token_counts, op9_token_files]
     return {query.__name__: query for query in registered}
 
 

@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 import starloom
-from starloom.session import scratch_dir
+from starloom.session import fits_broadcast, scratch_dir
+
+#: Bytes of a table that may be copied to every executor, measured before it is.
+COPIED_BYTES = 16 << 20
 
 _shipped: set[str] = set()
 
@@ -42,6 +45,14 @@ def stored(df: DataFrame, codec: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(target)
 
 
+def beside(small: DataFrame) -> DataFrame:
+    """``small`` marked for a broadcast join if it is measured to be small enough; else as it is.
+
+    Without the mark the join is a shuffled one that can split hot keys.
+    """
+    return F.broadcast(small) if fits_broadcast(small, COPIED_BYTES) else small
+
+
 def write_files(df: DataFrame, column: str, path: str) -> None:
     """One file per row of ``df``, holding the bytes of a binary column and a line feed.
 
