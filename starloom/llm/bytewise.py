@@ -31,6 +31,15 @@ ALNUM[[*range(ord("0"), ord("9") + 1), *range(ord("A"), ord("Z") + 1), *range(or
 ALNUM[0x80:] = True
 
 
+def folded(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with A-Z and the capitals of Latin-1 in lower case, each at its place."""
+    data = LOWER[data]
+    after = np.flatnonzero(data[:-1] == 0xC3) + 1
+    after = after[(data[after] >= 0x80) & (data[after] <= 0x9E) & (data[after] != 0x97)]
+    data[after] += 0x20
+    return data
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit integers (splitmix64's finaliser)."""
     x = x.astype(np.uint64, copy=True)

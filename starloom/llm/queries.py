@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from starloom.llm.decontaminate import contaminated
 from starloom.llm.ngram_join import ngram_join
 from starloom.llm.packing import pack
 from starloom.llm.tables import read
@@ -15,6 +16,10 @@ from starloom.llm.token_files import read_token_files, write_token_files
 from starloom.session import scratch_dir
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(read(spark, sf_dir, "documents"))
 
@@ -34,7 +39,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op2_ngram_join, op3_packing, op6_token_counts, op9_token_files]
+    registered = [op1_decontamination, op2_ngram_join, op3_packing, op6_token_counts, op9_token_files]
     return {query.__name__: query for query in registered}
 
 
