@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from starloom.llm.decontaminate import contaminated
 from starloom.llm.ngram_join import ngram_join
 from starloom.llm.packing import pack
+from starloom.llm.secret_scan import scan_secrets
 from starloom.llm.tables import read
 from starloom.llm.token_count import count_tokens
 from starloom.llm.token_files import read_token_files, write_token_files
@@ -28,6 +29,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(read(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -39,7 +44,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op1_decontamination, op2_ngram_join, op3_packing, op6_token_counts, op9_token_files]
+    registered = [op1_decontamination, op2_ngram_join, op3_packing, op4_secret_scan, op6_token_counts, op9_token_files]
     return {query.__name__: query for query in registered}
 
 
