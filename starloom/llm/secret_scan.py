@@ -51,8 +51,9 @@ _SPANS = "array<struct<start:bigint,rank:int,end:bigint>>"
 def _spans(text: Column, kind: str, pattern: str, value_group: int = 0, value_length: int = 0) -> Column:
     """All matches of one kind from left to right, as (start, rank, end), then those with too short a value dropped."""
     rank = KINDS.index(kind)
-    # Each piece is what lies before a match, and the match; group numbers move up by one.
-    piece = f"(?s).*?({pattern})"
+    # Each piece is what lies before a match, and the match; group numbers move up by one. The last
+    # piece takes the rest of the text, which would else be searched anew from each of its places.
+    piece = f"(?s).*?(?:({pattern})|\\z)"
     pieces = F.regexp_extract_all(text, F.lit(piece), F.lit(0))
     found = F.regexp_extract_all(text, F.lit(piece), F.lit(1))
     values = F.regexp_extract_all(text, F.lit(piece), F.lit(value_group + 1)) if value_length else found
@@ -66,7 +67,7 @@ def _spans(text: Column, kind: str, pattern: str, value_group: int = 0, value_le
     def step(state: Column, row: Column) -> Column:
         end = state["at"] + row["p"]
         span = F.struct((end - row["f"]).alias("start"), F.lit(rank).alias("rank"), end.alias("end"))
-        kept = F.when(row["v"] >= value_length, F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
+        kept = F.when((row["f"] > 0) & (row["v"] >= value_length), F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
         return F.struct(end.alias("at"), kept.cast(_SPANS).alias("spans"))
 
     start = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("spans"))
