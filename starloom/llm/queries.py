@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starloom.llm.decontaminate import contaminated
 from starloom.llm.ngram_join import ngram_join
@@ -14,6 +15,9 @@ from starloom.llm.secret_scan import scan_secrets
 from starloom.llm.tables import read
 from starloom.llm.token_count import count_tokens
 from starloom.llm.token_files import read_token_files, write_token_files
+from starloom.llm.topk import top_k
+from starloom.llm.url_filter import judge_urls
+from starloom.llm.warc import archive_round_trip
 from starloom.session import scratch_dir
 
 
@@ -37,14 +41,40 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages have no time of capture; their ids stand in for it, in seconds."""
+    path = f"{scratch_dir(spark)}/warc"
+    return archive_round_trip(read(spark, sf_dir, "pages"), path, seconds=F.col("page_id"))
+
+
+#: (verdict, host, path) of the query's rules, fixed values.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's label is that of the document of its number."""
+    pages, labels = read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels")
+    return judge_urls(pages, labels, URL_RULES, min_support=0.002)
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_dir(spark)}/token_files"
     write_token_files(read(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
     return read_token_files(spark, path)
 
 
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op1_decontamination, op2_ngram_join, op3_packing, op4_secret_scan, op6_token_counts, op9_token_files]
+    registered = [op1_decontamination, op2_ngram_join, op3_packing, op4_secret_scan, op6_token_counts, op7_warc, op8_url_filter, op9_token_files, op10_top_k]
     return {query.__name__: query for query in registered}
 
 
