@@ -4,19 +4,53 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from starloom.llm.decontaminate import without_contaminated
+from starloom.llm.ngram_join import without_similar
 from starloom.llm.packing import pack
+from starloom.llm.quality import fit, score
+from starloom.llm.secret_scan import redact_secrets
 from starloom.llm.tables import read, stored
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject."""
+    model = fit(docs, read(spark, sf_dir, "labels"))
+    scored = score(docs, model)
+    return scored.where("predicted = 1").select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares 85 of 100 four-word n-grams, that of the smallest id."""
+    return without_similar(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    return without_contaminated(docs, read(spark, sf_dir, "benchmark"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets masked; n_chars follows the text."""
+    masked = redact_secrets(docs)
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, in pieces of whole windows."""
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("packing", packing)]
+STAGES = [
+    ("quality classifier", quality),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("secret scans", secrets),
+    ("packing", packing),
+]
 
-#: No SQL expresses a tokenizer or a trained classifier.
+#: No SQL expresses a trained classifier or a tokenizer.
 ORACLE_SQL = None
 
 

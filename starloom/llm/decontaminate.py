@@ -185,32 +185,63 @@ def contaminated(
     Repeated rows and rows of one id give one row per item, the best; a null id is kept as an id.
     Other columns are not read. Without items or without texts there are no rows.
     """
-    spark = docs.sparkSession
-    ship(spark)
-    text = F.col(text_column).cast("string")
-    source = docs.select(F.col(id_column).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
-    items = benchmark.select(
-        F.col(item_column).cast("long").alias("item"), F.coalesce(F.col(item_text_column).cast("string"), F.lit("")).alias("text")
-    ).distinct()
-    found = None
-    for rows in _blocks(items):
-        rows = [r for r, w in zip(rows, word_rows(pa.array([r["text"] for r in rows], pa.string())), strict=True) if len(w) >= max(n, min_words)]
-        if rows:
-            part = _in_block(source, _Block(rows, n), threshold, n)
-            found = part if found is None else found.unionAll(part)
-    if found is None:
-        kinds = "id long, item long, score double, first_word long, end_word long"
-        found = spark.createDataFrame([], kinds)
-    best = found.groupBy("id", "item").agg(F.max(F.struct("score", -F.col("first_word"), "end_word")).alias("best"))
+    source, items = _source(docs, id_column, text_column), _items(benchmark, item_column, item_text_column)
+    found = _found(source, items, threshold, n, min_words)
+    place = F.struct("score", (-F.col("first_word")).alias("back"), "end_word")
+    best = found.groupBy("id", "item").agg(F.max(place).alias("best"))
     return best.select(
         F.col("id").alias(id_column),
-        F.col("item").alias(item_column if item_column != id_column else "item"),
+        F.col("item").alias(item_column),
         "best.score",
-        (-F.col("best.col2")).alias("first_word"),
+        (-F.col("best.back")).alias("first_word"),
         "best.end_word",
     )
 
 
+def without_contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    threshold: float = 0.42,
+    n: int = 3,
+    min_words: int = 8,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    item_column: str = "item_id",
+    item_text_column: str = "text",
+) -> DataFrame:
+    """``docs`` without the rows whose texts contain an item, as ``contaminated`` finds them."""
+    source, items = _source(docs, id_column, text_column), _items(benchmark, item_column, item_text_column)
+    found = _found(source, items, threshold, n, min_words)
+    gone = found.select(F.col("id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
+    text_hash = F.xxhash64(F.col(text_column).cast("string"))
+    same = F.col(id_column).cast("long").eqNullSafe(F.col("gone_id")) & (text_hash == F.col("gone_hash"))
+    return docs.join(beside(stored(gone)), same, "left_anti")
+
+
+def _source(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    text = F.col(text_column).cast("string")
+    return docs.select(F.col(id_column).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+
+
+def _items(benchmark: DataFrame, item_column: str, item_text_column: str) -> DataFrame:
+    text = F.coalesce(F.col(item_text_column).cast("string"), F.lit(""))
+    return benchmark.select(F.col(item_column).cast("long").alias("item"), text.alias("text")).distinct()
+
+
+_FOUND = "id long, text_hash long, item long, score double, first_word long, end_word long"
+
+
+def _found(source: DataFrame, items: DataFrame, threshold: float, n: int, min_words: int) -> DataFrame:
+    ship(source.sparkSession)
+    found = source.sparkSession.createDataFrame([], _FOUND)
+    for rows in _blocks(items):
+        counts = [len(w) for w in word_rows(pa.array([r["text"] for r in rows], pa.string()))]
+        rows = [r for r, k in zip(rows, counts, strict=True) if k >= max(n, min_words)]
+        if rows:
+            found = found.unionAll(_in_block(source, _Block(rows, n), threshold, n))
+    return found
+
+
 def _blocks(items: DataFrame) -> Iterator[list]:
     """Items in lists of some BLOCK_WORDS words, read one after the other."""
     size = F.sum(F.octet_length("text")).alias("bytes")
@@ -235,23 +266,23 @@ def _in_block(source: DataFrame, block: _Block, threshold: float, n: int) -> Dat
     ))
     wanted = beside(candidates.withColumnsRenamed({"id": "wanted_id", "text_hash": "wanted_hash"}))
     same = F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("text_hash") == F.col("wanted_hash"))
-    texts = source.join(wanted, same).select("id", "text", "tries")
+    texts = source.join(wanted, same).select("id", "text_hash", "text", "tries")
     shared = spark.sparkContext.broadcast((block.ids, block.words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, item_words = shared.value
         for batch in batches:
-            out = ([], [], [], [], [])
-            for text_id, text, tries in zip(batch.column(0).to_pylist(), word_rows(batch.column(1)), batch.column(2), strict=True):
+            out = ([], [], [], [], [], [])
+            named = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            for (text_id, text_hash), text, tries in zip(named, word_rows(batch.column(2)), batch.column(3), strict=True):
                 for one in tries.as_py():
                     item = item_words[one["item"]]
                     score, first, end = best_window(item, text, one["begins"])
                     if score >= threshold:
-                        for column, value in zip(out, (text_id, ids[one["item"]], score, first, end), strict=True):
+                        for column, value in zip(out, (text_id, text_hash, ids[one["item"]], score, first, end), strict=True):
                             column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, k) for x, k in zip(out, kinds, strict=True)], ["id", "item", "score", "first_word", "end_word"]
-            )
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
+            names = ["id", "text_hash", "item", "score", "first_word", "end_word"]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names)
 
-    return texts.mapInArrow(run, "id long, item long, score double, first_word long, end_word long")
+    return texts.mapInArrow(run, _FOUND)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from starloom.llm.decontaminate import contaminated
 from starloom.llm.ngram_join import ngram_join
 from starloom.llm.packing import pack
+from starloom.llm.quality import classify
 from starloom.llm.secret_scan import scan_secrets
 from starloom.llm.tables import read
 from starloom.llm.token_count import count_tokens
@@ -37,6 +38,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(read(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -74,7 +79,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = [op1_decontamination, op2_ngram_join, op3_packing, op4_secret_scan, op6_token_counts, op7_warc, op8_url_filter, op9_token_files, op10_top_k]
+    registered = [op1_decontamination, op2_ngram_join, op3_packing, op4_secret_scan, op5_quality, op6_token_counts, op7_warc, op8_url_filter, op9_token_files, op10_top_k]
     return {query.__name__: query for query in registered}
 
 
