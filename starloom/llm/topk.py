@@ -156,7 +156,8 @@ def top_k(
         for batch in batches:
             for width, ids, rows, q_ids, q_rows in zip(*[c for c in batch.columns], strict=True):
                 ids, q_ids = (np.frombuffer(x.as_buffer(), np.int64) for x in (ids, q_ids))
-                rows, q_rows = (np.frombuffer(x.as_buffer(), np.float64).reshape(-1, width.as_py()) for x in (rows, q_rows))
+                rows = np.frombuffer(rows.as_buffer(), np.float64).reshape(len(ids), width.as_py())
+                q_rows = np.frombuffer(q_rows.as_buffer(), np.float64).reshape(len(q_ids), width.as_py())
                 order = np.argsort(ids, kind="stable")
                 best = block_best(q_ids, q_rows, ids[order], rows[order], k, levels)
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in best], ["query_id", "id", "score"])

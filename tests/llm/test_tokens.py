@@ -1,0 +1,165 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
+
+from starloom.llm.packing import Mixture, pack, play
+from starloom.llm.pieces import Encoder
+from starloom.llm.token_count import count_tokens, whole_tokens
+from starloom.llm.token_files import Shard, encode_shard, ids_of, planes_of, read_token_files, write_token_files
+from starloom.session import scratch_dir
+
+BYTES, WORDS = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+LETTERS = [*"abst'mdrevl  \n\t\r  12½²_!-<|>éÉßµªÀ×'' ", "<|endoftext|>", "'ll", "'re", "'S", "Σ", "İ", "中", "́", "\x1c", "\x85", "'ve"]
+ODD = ["", None, " ", "\n\n x", "it's we'll ''s", "<|endoftext|>a<|endoftext|>", "word " * 3000 + "  end  ", "ß" * 5000]
+SCHEMA = "doc_id long, text string, source string"
+
+
+@pytest.fixture(scope="module")
+def library():
+    return {path: Tokenizer.from_file(path) for path in (BYTES, WORDS)}
+
+
+def ids(library, path, text):
+    return library[path].encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_encoder_gives_the_ids_of_the_library(path, library):
+    rnd = random.Random(1)
+    texts = ODD + ["".join(rnd.choice(LETTERS) for _ in range(rnd.randint(0, 60))) for _ in range(4000)]
+    encoder = Encoder(path)
+    assert encoder.kind
+    found = [x.tolist() for x in encoder.ids(pa.array(texts, pa.string()))]
+    assert found == [ids(library, path, t) for t in texts]
+    assert encoder.counts(pa.array(texts, pa.string())).tolist() == [len(x) for x in found]
+
+
+def test_whole_tokens_are_one_token_each(library):
+    proven = whole_tokens(BYTES)
+    assert len(proven) > 45_000
+    for text in random.Random(2).sample(sorted(proven), 500):
+        assert ids(library, BYTES, text) == [proven[text]]
+
+
+def odd_rows():
+    return [(n, t, None if n % 3 == 0 else f"s{n % 2}") for n, t in enumerate(ODD)] + [(None, "null id", "s1"), (3, ODD[3], None)] * 2
+
+
+def test_counts(make, library):
+    rows = odd_rows()
+    got = count_tokens(make(rows, SCHEMA, ("n_tokens", "id")), BYTES, limit=100).collect()
+    want = sorted((str(i), len((t or "").encode()), len(ids(library, BYTES, t))) for i, t, _ in rows)
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_tokens) for r in got) == want
+    assert all(r.over_limit == (r.n_tokens > 100) for r in got)
+    assert count_tokens(make([], SCHEMA), BYTES).collect() == []
+
+
+@pytest.mark.parametrize("planes", [4, 32])
+@pytest.mark.parametrize("count", [0, 1, 7, 8, 1000])
+def test_planes_are_exact(planes, count):
+    values = np.random.default_rng(1).integers(0, 1 << 32, count, dtype=np.uint64).astype("<u4")
+    assert (ids_of(planes_of(values, planes), count) == values).all()
+    shard = Shard(encode_shard(9, values, [1, None], [count, 0], planes, block=100))
+    assert shard.number == 9 and shard.text_ids == [1, None] and (shard.ids() == values).all()
+    if count == 1000:
+        assert (shard.block_ids(3) == values[300:400]).all()
+
+
+def test_a_damaged_block_is_noticed():
+    content = bytearray(encode_shard(0, np.arange(1000, dtype="<u4"), [1], [1000]))
+    content[20] ^= 0xFF
+    with pytest.raises(Exception):
+        Shard(bytes(content)).ids()
+
+
+@pytest.mark.parametrize("planes", ["byte", "bit"])
+def test_token_files_round_trip(spark, make, library, planes):
+    rows = odd_rows()
+    path = f"{scratch_dir(spark)}/files"
+    write_token_files(make(rows, SCHEMA, ("id", "start")), path, WORDS, planes=planes, shard_ids=2000)
+    got = sorted(read_token_files(spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == sorted((i for i, _, _ in rows), key=lambda i: (i is not None, i or 0))
+    at = 0
+    crcs = {(i, zlib.crc32(np.array(ids(library, WORDS, t) + [1], "<u4").tobytes())) for i, t, _ in rows}
+    for row in got:
+        assert row.start == at and (row.doc_id, row.ids_crc32) in crcs
+        at += row.n_tokens
+    assert len({r.shard for r in got}) > 1
+
+
+def test_empty_token_files(spark, make):
+    path = f"{scratch_dir(spark)}/files"
+    write_token_files(make([], SCHEMA), path, WORDS)
+    assert read_token_files(spark, path).collect() == []
+
+
+def check_pieces(pieces, rows, library, window):
+    texts = {}
+    for p in pieces:
+        texts.setdefault((p.doc_id, p.queue), []).append(p)
+    found = []
+    for (doc, _), parts in texts.items():
+        parts.sort(key=lambda p: (p.start, p.sequence_id))
+        found.append((doc, sum(p.length for p in parts)))
+    sequences = {}
+    for p in pieces:
+        sequences.setdefault(p.sequence_id, []).append(p)
+    for parts in sequences.values():
+        parts.sort(key=lambda p: p.offset)
+        at = 0
+        for p in parts:
+            assert p.offset == at
+            at += p.length
+        assert at <= parts[0].padded_length <= window
+        assert parts[0].padded_length == window or (parts[0].padded_length & (parts[0].padded_length - 1)) == 0
+    assert sum(n for _, n in found) == sum(len(ids(library, BYTES, t)) + 1 for _, t, _ in rows)
+    return sequences
+
+
+def test_packing_keeps_every_id(make, library, prose):
+    rows = odd_rows() + [(100 + n, prose(1 + n % 90), f"s{n % 5}") for n in range(300)]
+    pieces = pack(make(rows, SCHEMA, ("id", "length")), BYTES, window=256, span=8).collect()
+    check_pieces(pieces, rows, library, 256)
+    one = {i: np.array(ids(library, BYTES, t) + [1], "<u4") for i, t, _ in rows if i is not None and i >= 100}
+    for p in pieces:
+        if p.doc_id in one:
+            part = one[p.doc_id][p.start : p.start + p.length]
+            assert len(part) == p.length and p.ids_crc32 == zlib.crc32(part.tobytes())
+    assert pack(make([], SCHEMA), BYTES).collect() == []
+
+
+def test_windows_have_the_target_shares(make, library, prose):
+    rows = [(n, prose(60), "ab"[n % 2]) for n in range(400)]
+    pieces = pack(make(rows, SCHEMA), BYTES, shares={"a": 3, "b": 1}, window=512, span=4).collect()
+    sequences = check_pieces(pieces, rows, library, 512)
+    by_source = {n: s for n, _, s in rows}
+    full = [s for _, s in sorted(sequences.items()) if sum(p.length for p in s) == 512]
+    first = [sum(p.length for p in s if by_source[p.doc_id] == "a") for s in full[: len(full) // 3]]
+    assert all(abs(n - 384) <= 2 for n in first)
+
+
+@pytest.mark.parametrize("quotas", [[5], [0, 7], [1000, 1, 1, 0, 333], [3] * 50, [100_000, 17, 2, 9000]])
+def test_rounds_give_each_quota_once_and_fill_windows(quotas):
+    served = play(np.array(quotas), 64)
+    assert served.sum(0).tolist() == quotas and (served >= 0).all()
+    assert (served[:-1].sum(1) == 64).all() and served[-1].sum() <= 64
+    ideal = np.outer(np.arange(1, len(served) + 1) * 64, np.array(quotas) / sum(quotas))
+    assert (abs(np.cumsum(served, 0)[:-1] - ideal[:-1]) < 2.01).all()
+
+
+@pytest.mark.parametrize("shares", [None, [1, 1, 1], [5, 0, 1]])
+def test_mixture_gives_everything_in_order(shares):
+    mixture = Mixture([5000, 70, 1], shares, window=64, span=4)
+    steps = [mixture.given(k) for k in range(mixture.spans + 1)]
+    assert steps[0] == [0, 0, 0] and steps[-1] == [5000, 70, 1]
+    assert all(a <= b for x, y in zip(steps, steps[1:]) for a, b in zip(x, y))
+    assert all(sum(y) - sum(x) <= 64 * 4 for x, y in zip(steps, steps[1:]))
+    for queue, length in enumerate([5000, 70, 1]):
+        for position in range(0, length, 13):
+            span = mixture.span_of(queue, position)
+            assert steps[span][queue] <= position < steps[span + 1][queue]
