@@ -10,7 +10,9 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.errors import PySparkException as SparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,7 @@ from standins import (  # noqa: E402
     by_day,
     log,
     raw_log,
+    raw_songs,
     songs,
     table,
     truncated_sql,
@@ -46,9 +49,9 @@ from starloom.operators import (  # noqa: E402
 )
 from starloom.operators.joins import PARTS  # noqa: E402
 from starloom.operators.layout import sorted_within  # noqa: E402
-from starloom.plans import Warehouse, dimensions, run, songplays  # noqa: E402
+from starloom.plans import Warehouse, dimensions, load_events, load_songs, run, songplays  # noqa: E402
 from starloom.session import scratch_dir  # noqa: E402
-from starloom.sources import read_log, read_songs, typed_log, typed_songs  # noqa: E402
+from starloom.sources import LOG_KEYS, read_log, read_songs, typed_log, typed_songs  # noqa: E402
 
 try:  # the training-data operators may be left out
     import corpus_pipeline
@@ -84,6 +87,47 @@ def load_songs_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(typed_songs(read_songs(spark, files)))
 
 
+def load_songs_many_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of many objects each: a line apiece, over several lines, and in arrays."""
+    raw = raw_songs(spark, sf_dir)
+    record = F.to_json(F.struct("*"))
+    pretty = F.to_json(F.struct("*"), {"pretty": "true"})
+    chunks = raw.select(F.pmod(F.xxhash64("song_id"), F.lit(23)).alias("chunk"), record.alias("line"), pretty.alias("lines"))
+    files = chunks.groupBy("chunk").agg(F.array_sort(F.collect_list("line")).alias("line"), F.array_sort(F.collect_list("lines")).alias("lines"))
+    arrays = F.concat(F.lit("["), F.array_join("line", ","), F.lit("]"))
+    value = F.when(F.col("chunk") % 3 == 0, F.array_join("line", "\n")).when(F.col("chunk") % 3 == 1, F.array_join("lines", "\n"))
+    target = f"{scratch_dir(spark)}/many"
+    files.select(value.otherwise(arrays)).write.option("maxRecordsPerFile", 1).text(target)
+    return comparable(typed_songs(read_songs(spark, target), strict=True))
+
+
+def load_events_two_per_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_log(spark, sf_dir)
+    both = raw.select(F.to_json(F.struct("*")).alias("record"), "sessionId", F.floor(F.col("itemInSession") / 2).alias("pair"))
+    lines = both.groupBy("sessionId", "pair").agg(F.array_join(F.collect_list("record"), " ").alias("value"))
+    target = f"{scratch_dir(spark)}/pairs"
+    lines.select("value").write.text(target)
+    return comparable(typed_log(read_log(spark, target), strict=True))
+
+
+def load_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load without enforcement reports of values that do not convert, by key."""
+    broken = raw_log(spark, sf_dir).withColumns(
+        {
+            "sessionId": F.expr("CASE WHEN status = 404 THEN 'none' ELSE CAST(sessionId AS STRING) END"),
+            "itemInSession": F.expr("CASE WHEN itemInSession % 10 = 3 THEN 9999999999 ELSE itemInSession END"),
+            "length": F.expr("CASE WHEN level = 'paid' THEN 1e20 ELSE length END"),
+            "status": F.col("status").cast("double"),
+        }
+    )
+    target = f"{scratch_dir(spark)}/broken"
+    broken.write.option("ignoreNullFields", False).json(target)
+    warehouse = new_warehouse(spark)
+    warehouse.create()
+    losses = load_events(warehouse, target, enforce=False)
+    return spark.createDataFrame(sorted(losses.items()), "field string, lost long")
+
+
 def coerce_epoch_ms(spark: SparkSession, sf_dir: str) -> DataFrame:
     millis = F.expr("timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
     events = table(spark, sf_dir, "events")
@@ -99,7 +143,7 @@ def coerce_text_int(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def coerce_float_bigint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.expr("CAST(CAST(1540919166796 + event_id AS DOUBLE) AS STRING)")
+    text = F.expr("CAST(CAST(1600000123456 + event_id AS DOUBLE) AS STRING)")
     return table(spark, sf_dir, "events").select("event_id", bigint(text).alias("registration"))
 
 
@@ -334,6 +378,40 @@ def star_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return users
 
 
+def reset_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loaded, reset and loaded again: the rows of each table once."""
+    warehouse = _loaded(spark, sf_dir)
+    warehouse.reset()
+    empty = sum(warehouse.read(t.name).count() for tables in warehouse.schemas.values() for t in tables)
+    base = scratch_dir(spark)
+    run(warehouse, write_log_files(spark, sf_dir, f"{base}/log"), write_song_files(spark, sf_dir, f"{base}/songs"))
+    counts = [
+        warehouse.read(t.name).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t.name).alias("table_name"), F.col("n_rows") + empty)
+        for t in schemas.star_tables()
+    ]
+    return reduce(DataFrame.unionAll, counts).toDF("table_name", "n_rows")
+
+
+def staged_atomic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A title over its limit stops the insert into songs: nothing of it is there, staging is whole."""
+    long = raw_songs(spark, sf_dir).withColumn("title", F.expr("CASE WHEN num_songs = 1 AND year = 1970 THEN repeat('é', 128) ELSE title END"))
+    target = f"{scratch_dir(spark)}/long"
+    long.write.option("ignoreNullFields", False).json(target)
+    warehouse = new_warehouse(spark)
+    warehouse.create()
+    load_songs(warehouse, target, one_per_line=True)
+    stopped = 0
+    try:
+        warehouse.append("songs", dimensions.songs(warehouse.read("staging_songs")))
+    except SparkException as error:
+        stopped = int("songs.title is over 255 bytes" in str(error))
+    counted = [
+        warehouse.read(name).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+        for name in ("staging_songs", "songs")
+    ]
+    return reduce(DataFrame.unionAll, counted).withColumn("stopped", F.lit(stopped))
+
+
 def star_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON files to star; violations of the declared constraints."""
     return _loaded(spark, sf_dir).violations()
@@ -348,6 +426,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = [
         load_events_json,
         load_songs_json,
+        load_songs_many_per_file,
+        load_events_two_per_line,
+        load_losses,
         coerce_epoch_ms,
         coerce_text_int,
         coerce_float_bigint,
@@ -380,6 +461,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         audit_not_null,
         audit_length,
         star_run,
+        reset_reload,
+        staged_atomic,
         star_violations,
     ]
     named = {query.__name__: query for query in registered}
@@ -478,6 +561,18 @@ def _star_violations_sql() -> str:
     return "\nUNION ALL\n".join(selects)
 
 
+def _losses_sql() -> str:
+    lost = {
+        "sessionId": "event_type = 'error'",
+        "itemInSession": "event_id % 50 % 10 = 3",
+        "length": "value >= 20",
+    }
+    selects = [
+        f"SELECT '{key}' AS field, count(*) FILTER (WHERE {lost.get(key, 'false')}) AS lost FROM events" for key in LOG_KEYS
+    ]
+    return "\nUNION ALL\n".join(selects)
+
+
 def oracle_sql() -> dict[str, str]:
     fields = ", ".join(dimensions.USER_FIELDS)
     all_log = f"SELECT * REPLACE (CAST(length AS DOUBLE) AS length) FROM ({LOG_SQL})"
@@ -494,6 +589,9 @@ WHERE o_orderdate BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1997-12-31'
     return llm | {
         "load_events_json": all_log,
         "load_songs_json": SONGS_SQL,
+        "load_songs_many_per_file": SONGS_SQL,
+        "load_events_two_per_line": all_log,
+        "load_losses": _losses_sql(),
         "coerce_epoch_ms": "SELECT event_id, date_trunc('millisecond', ts) AS start_time FROM events",
         "coerce_text_int": """
 SELECT event_id, CASE WHEN event_type IN ('click', 'error') THEN NULL ELSE CAST(user_id AS INTEGER) END
@@ -501,7 +599,7 @@ SELECT event_id, CASE WHEN event_type IN ('click', 'error') THEN NULL ELSE CAST(
 FROM events
 """,
         "coerce_float_bigint": """
-SELECT event_id, CAST(CAST(1540919166796 + event_id AS DOUBLE) AS BIGINT) AS registration FROM events
+SELECT event_id, CAST(CAST(1600000123456 + event_id AS DOUBLE) AS BIGINT) AS registration FROM events
 """,
         "coerce_decimal_trunc": f"""
 SELECT event_id,
@@ -573,5 +671,12 @@ SELECT doc_id, octet_length(encode(text)) AS n_bytes, source FROM documents
 WHERE octet_length(encode(text)) > 255 OR octet_length(encode(source)) > 10
 """,
         "star_run": _star_run_sql(),
+        "reset_reload": "\nUNION ALL\n".join(
+            f"SELECT '{t.name}' AS table_name, count(*) AS n_rows FROM ({_STAR_SQL[t.name]})" for t in schemas.star_tables()
+        ),
+        "staged_atomic": """
+SELECT 'staging_songs' AS table_name, count(*) AS n_rows, CAST(1 AS INTEGER) AS stopped FROM part
+UNION ALL SELECT 'songs', CAST(0 AS BIGINT), CAST(1 AS INTEGER)
+""",
         "star_violations": _star_violations_sql(),
     }

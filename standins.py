@@ -45,7 +45,7 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN event_type = 'view' THEN 'PUT' ELSE 'GET' END AS method",
         "CASE event_type WHEN 'view' THEN 'NextSong' WHEN 'click' THEN 'Home' "
         "WHEN 'error' THEN NULL ELSE event_type END AS page",
-        "CAST(1540919166796 + user_id * 1000 AS DOUBLE) AS registration",
+        "CAST(1600000123456 + user_id * 1000 AS DOUBLE) AS registration",
         "(event_id DIV 50) % 1000000 AS sessionId",
         "CASE WHEN k % 13 = 5 THEN NULL ELSE concat('Track ', song_no DIV 4) END AS song",
         "CASE WHEN event_type = 'error' THEN 404 ELSE 200 END AS status",
@@ -150,7 +150,7 @@ SELECT
   CASE WHEN event_type = 'view' THEN 'PUT' ELSE 'GET' END AS method,
   CASE event_type WHEN 'view' THEN 'NextSong' WHEN 'click' THEN 'Home'
     WHEN 'error' THEN NULL ELSE event_type END AS page,
-  1540919166796 + user_id * 1000 AS registration,
+  1600000123456 + user_id * 1000 AS registration,
   CAST((event_id // 50) % 1000000 AS INTEGER) AS session_id,
   CASE WHEN k % 13 = 5 THEN NULL ELSE 'Track ' || (song_no // 4) END AS song,
   CAST(CASE WHEN event_type = 'error' THEN 404 ELSE 200 END AS INTEGER) AS status,

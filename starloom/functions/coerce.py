@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 # Digits of the largest bigint.
 _BIGINT_DIGITS = 19
+_MOST_MILLIS = (2**63 - 1) // 1000
 
 
 def _exact(value: Column, integer_digits: int) -> Column:
@@ -27,8 +28,10 @@ def _given(value: Column) -> Column:
 
 
 def integer(value: Column) -> Column:
-    """``"39"`` -> 39, ``""`` -> NULL."""
-    return _given(value).try_cast("int")
+    """``"39"`` and ``39.0`` -> 39, ``""`` and what has a fraction -> NULL."""
+    exact = _exact(value, _BIGINT_DIGITS)
+    whole = F.when(exact == F.floor(exact), exact.try_cast("int"))
+    return F.coalesce(_given(value).try_cast("int"), whole)
 
 
 def bigint(value: Column) -> Column:
@@ -49,7 +52,10 @@ def truncated_decimal(value: Column, precision: int, scale: int) -> Column:
 def epoch_millis(value: Column) -> Column:
     """Epoch milliseconds -> UTC wall clock, whatever the session time zone is."""
     epoch = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
-    return F.timestamp_add("MILLISECOND", bigint(value), epoch)
+    millis = bigint(value)
+    # Further ones have more microseconds than a bigint.
+    millis = F.when(millis.between(-_MOST_MILLIS, _MOST_MILLIS), millis)
+    return F.timestamp_add("MILLISECOND", millis, epoch)
 
 
 def coerce_to(value: Column, target: T.DataType) -> Column:

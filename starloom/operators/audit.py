@@ -43,21 +43,22 @@ def too_long(df: DataFrame, max_bytes: Mapping[str, int]) -> DataFrame:
     return df.where(reduce(or_, [F.octet_length(c) > n for c, n in max_bytes.items()]))
 
 
+def loss_counts(rules: Mapping[str, Column]) -> list[Column]:
+    """For each raw column the count of values that are not empty and have no typed value."""
+    counts = []
+    for name, typed in rules.items():
+        given = F.col(f"`{name}`").cast("string")
+        lost = given.isNotNull() & (F.trim(given) != "") & typed.isNull()
+        counts.append(F.count_if(lost).alias(name))
+    return counts
+
+
 def coercion_losses(raw: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """Per typed column, how many non-empty raw values came out as NULL.
 
     ``rules`` maps the raw column to its conversion. One pass, no shuffle of rows.
     """
-    counts = raw.agg(
-        *[
-            F.count_if(
-                F.col(name).isNotNull()
-                & (F.trim(F.col(name).cast("string")) != "")
-                & typed.isNull()
-            ).alias(name)
-            for name, typed in rules.items()
-        ]
-    )
+    counts = raw.agg(*loss_counts(rules))
     return counts.unpivot([], list(rules), "field", "lost")
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
-from ..operators import drop_where_not_equal, next_id, with_dense_id, with_id
-from ..sources import read_log, read_songs, typed_log, typed_songs
+from ..operators import audit, drop_where_not_equal, next_id, with_dense_id, with_id
+from ..schemas import Table
+from ..sources import LOG_KEYS, SONG_KEYS, conversions, read_log, read_songs, typed_log, typed_songs
 from . import dimensions
 from .facts import songplays
 from .warehouse import Warehouse
@@ -15,17 +16,36 @@ from .warehouse import Warehouse
 KEPT_PAGE = "NextSong"
 
 
-def staged_events(raw: DataFrame) -> DataFrame:
+def staged_events(
+    raw: DataFrame, keys: Mapping[str, str] = LOG_KEYS, strict: bool = False
+) -> DataFrame:
     """Typed log records without those of other pages."""
-    return drop_where_not_equal(typed_log(raw), "page", KEPT_PAGE)
+    return drop_where_not_equal(typed_log(raw, keys, strict), "page", KEPT_PAGE)
 
 
-def load_events(warehouse: Warehouse, paths: str | Sequence[str], enforce: bool = True) -> None:
-    """Append log files to staging.
+def _counted(raw: DataFrame, keys: Mapping[str, str], table: Table) -> tuple[DataFrame, Observation]:
+    """``raw`` with a count of the values of each key that will be lost, made as it is read."""
+    seen = Observation(f"losses of {table.name}")
+    return raw.observe(seen, *audit.loss_counts(conversions(keys, table))), seen
+
+
+def load_events(
+    warehouse: Warehouse,
+    paths: str | Sequence[str],
+    enforce: bool = True,
+    file_glob: str | None = None,
+    keys: Mapping[str, str] = LOG_KEYS,
+) -> dict[str, int]:
+    """Append log files to staging; how many values of each key did not convert and became NULL.
 
     Records of other pages are left out before the write, so no reader ever sees them.
+    ``enforce`` stops at the first value of a kept record that does not convert, so there are no
+    losses among these.
     """
-    warehouse.append("staging_events", staged_events(read_log(warehouse.spark, paths)), enforce)
+    raw = read_log(warehouse.spark, paths, file_glob, keys)
+    raw, seen = _counted(raw, keys, warehouse.spec("staging_events"))
+    warehouse.append("staging_events", staged_events(raw, keys, enforce), enforce)
+    return seen.get
 
 
 def load_songs(
@@ -33,11 +53,18 @@ def load_songs(
     paths: str | Sequence[str],
     enforce: bool = True,
     one_per_line: bool = False,
-) -> None:
-    """Append catalogue files to staging: many tiny ones come in, some of a good size go out."""
-    raw = read_songs(warehouse.spark, paths, one_per_line=one_per_line)
-    catalogue = typed_songs(raw, warehouse.numeric_scale)
+    file_glob: str | None = None,
+    keys: Mapping[str, str] = SONG_KEYS,
+) -> dict[str, int]:
+    """Append catalogue files to staging, as ``load_events`` does with logs.
+
+    Many tiny files come in, some of a good size go out.
+    """
+    raw = read_songs(warehouse.spark, paths, file_glob, one_per_line, keys)
+    raw, seen = _counted(raw, keys, warehouse.spec("staging_songs"))
+    catalogue = typed_songs(raw, warehouse.numeric_scale, keys, enforce)
     warehouse.append("staging_songs", catalogue.hint("rebalance"), enforce)
+    return seen.get
 
 
 def load_staging(
@@ -45,10 +72,18 @@ def load_staging(
     log_paths: str | Sequence[str],
     song_paths: str | Sequence[str],
     enforce: bool = True,
-) -> None:
-    """Append both sources to their staging tables."""
-    load_events(warehouse, log_paths, enforce)
-    load_songs(warehouse, song_paths, enforce)
+    *,
+    log_glob: str | None = None,
+    song_glob: str | None = None,
+    one_per_line: bool = False,
+    log_keys: Mapping[str, str] = LOG_KEYS,
+    song_keys: Mapping[str, str] = SONG_KEYS,
+) -> dict[str, dict[str, int]]:
+    """Append both sources to their staging tables; the losses of each table."""
+    return {
+        "staging_events": load_events(warehouse, log_paths, enforce, log_glob, log_keys),
+        "staging_songs": load_songs(warehouse, song_paths, enforce, one_per_line, song_glob, song_keys),
+    }
 
 
 def insert_star(
@@ -80,13 +115,18 @@ def run(
     enforce: bool = True,
     distinct_keys: bool = False,
     dense_ids: bool = False,
-) -> None:
-    """Load and transform. ``mode`` "overwrite" empties the warehouse first."""
+    **source_options,
+) -> dict[str, dict[str, int]]:
+    """Load and transform. ``mode`` "overwrite" empties the warehouse first.
+
+    ``source_options`` go to ``load_staging``, whose losses are returned.
+    """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"mode must be append or overwrite, not {mode!r}")
     if mode == "overwrite":
         warehouse.reset()
     else:
         warehouse.create()
-    load_staging(warehouse, log_paths, song_paths, enforce)
+    losses = load_staging(warehouse, log_paths, song_paths, enforce, **source_options)
     insert_star(warehouse, enforce, distinct_keys, dense_ids)
+    return losses

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,15 @@ from ..operators.layout import replicated, sorted_within, to_buckets
 from ..schemas import Table, staging_tables, star_tables
 
 
+_BUCKET_FILE = re.compile(r"_\d{5}\.c\d+[^/]*$")
+
+
+def _quoted(text: str) -> str:
+    """A SQL string literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Two schemas, one for staging and one for the star, and how their tables are kept.
@@ -46,10 +56,42 @@ class Warehouse:
     def create(self) -> None:
         """Create what does not exist yet; files already at ``location`` are picked up."""
         for schema, tables in self.schemas.items():
-            place = f" LOCATION '{self._folder(schema)}'" if self.location else ""
+            place = f" LOCATION {_quoted(self._folder(schema))}" if self.location else ""
             self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`{place}")
             for table in tables:
+                fresh = not self.spark.catalog.tableExists(f"`{schema}`.`{table.name}`")
                 self.spark.sql(self._create_statement(schema, table))
+                try:
+                    self._check_shape(schema, table, fresh)
+                except ValueError:
+                    if fresh:  # files of another shape stay as they are, without a table
+                        self.spark.sql(f"DROP TABLE `{schema}`.`{table.name}`")
+                    raise
+
+    def _check_shape(self, schema: str, table: Table, fresh: bool) -> None:
+        """Raise if an existing table, or files that a new one finds, were made in another way."""
+        name = f"{schema}.{table.name}"
+        found = self.spark.table(self.qualified(table.name))
+        is_, wanted = found.dtypes, [(c.name, c.type.simpleString()) for c in table.columns]
+        if is_ != wanted:
+            raise ValueError(f"{name} has the columns {is_}, not {wanted}")
+        described = self.spark.sql(f"DESCRIBE EXTENDED `{schema}`.`{table.name}`").collect()
+        facts = {r["col_name"]: r["data_type"] for r in described}
+        buckets = int(facts.get("Num Buckets") or 0)
+        columns = facts.get("Bucket Columns", "[]")
+        if buckets != (self.buckets if self._bucketed(table) else 0) or (
+            buckets and columns != f"[`{table.distribute_by}`]"
+        ):
+            raise ValueError(f"{name} has {buckets} buckets by {columns}, not {self.buckets}")
+        if fresh and self.location:
+            files = found.inputFiles()
+            if files:
+                stored = self.spark.read.parquet(f"{self._folder(schema)}/{table.name}").dtypes
+                if stored != wanted:
+                    raise ValueError(f"the files of {name} have the columns {stored}, not {wanted}")
+                # Bucketed files carry their bucket's number at the end of their names.
+                if self._bucketed(table) != all(_BUCKET_FILE.search(f) for f in files):
+                    raise ValueError(f"the files of {name} are bucketed in another way")
 
     def _create_statement(self, schema: str, table: Table) -> str:
         columns = ", ".join(f"`{c.name}` {c.type.simpleString()}" for c in table.columns)
@@ -57,7 +99,7 @@ class Warehouse:
         if self._bucketed(table):
             statement += f" CLUSTERED BY (`{table.distribute_by}`) INTO {self.buckets} BUCKETS"
         if self.location:
-            statement += f" LOCATION '{self._folder(schema)}/{table.name}'"
+            statement += f" LOCATION {_quoted(f'{self._folder(schema)}/{table.name}')}"
         return statement
 
     def _folder(self, schema: str) -> str:

@@ -1,15 +1,17 @@
 """JSON sources: the activity log and the song catalogue.
 
 Both are read below one or more prefixes, at any depth, with a fixed all-text
-schema (no inference pass) and typed afterwards by ``functions.coerce``. A record
-that is not JSON stops the load, as it does in a bulk load without error allowance.
+schema (no inference pass) and typed afterwards by ``functions.coerce``. A line or
+file may hold any number of objects, one after the other or in an array: all are
+loaded. Anything else between them, and a record that is not JSON, stops the load,
+as it does in a bulk load without error allowance.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,9 +43,39 @@ LOG_KEYS = {
 # The catalogue's keys are the staging column names.
 SONG_KEYS = {name: name for name in schemas.staging_songs().column_names}
 
+# An object, strings aware, with objects and arrays inside it up to a depth. Nothing is
+# matched twice, so that a long record does not go deep.
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
+_INSIDE = rf'[^{{}}"]++|{_STRING}'
+_DEPTH = 4
+# What may stand between records: blanks, commas, and one array's brackets around them.
+_BETWEEN = r"[\s,\uFEFF]+"
 
-def _text_schema(keys: Mapping[str, str]) -> T.StructType:
-    return T.StructType([T.StructField(key, T.StringType()) for key in keys])
+
+def _object_pattern() -> str:
+    pattern = rf"\{{(?:{_INSIDE})*+\}}"
+    for _ in range(_DEPTH):
+        pattern = rf"\{{(?:{_INSIDE}|{pattern})*+\}}"
+    return f"(?s){pattern}"
+
+
+def _records(texts: DataFrame, keys: Mapping[str, str]) -> DataFrame:
+    """Every object in the texts, one column of text per key; ``a.b`` is key b of object a."""
+    pattern = F.lit(_object_pattern())
+    found = F.regexp_extract_all("value", pattern, F.lit(0))
+    rest = F.regexp_replace(F.regexp_replace("value", pattern, F.lit("")), _BETWEEN, "")
+    stop = F.raise_error(F.concat(F.lit("MALFORMED_RECORD in "), F.input_file_name(), F.lit(": "), F.left(rest, F.lit(100))))
+    objects = texts.select(F.explode(F.when(rest.isin("", "[]"), found).otherwise(stop)).alias("object"))
+    tops = list(dict.fromkeys(key.split(".")[0] for key in keys))
+    schema = T.StructType([T.StructField(top, T.StringType()) for top in tops])
+    parsed = objects.select(F.from_json("object", schema, {"mode": "FAILFAST"}).alias("record"))
+
+    def value(key: str):
+        top, _, below = key.partition(".")
+        text = F.col("record").getField(top)
+        return (F.get_json_object(text, f"$.{below}") if below else text).alias(key)
+
+    return parsed.select(*[value(key) for key in keys])
 
 
 def _below(spark: SparkSession, file_glob: str | None) -> DataFrameReader:
@@ -55,27 +87,51 @@ def _listed(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def _typed(raw: DataFrame, keys: Mapping[str, str], table: schemas.Table) -> DataFrame:
+def conversions(keys: Mapping[str, str], table: schemas.Table) -> dict[str, Column]:
+    """The typed value of each key, from a column of text of that name."""
     types = {c.name: c.type for c in table.columns}
-    return raw.select(*[coerce_to(F.col(key), types[name]).alias(name) for key, name in keys.items()])
+    return {key: coerce_to(F.col(f"`{key}`"), types[name]) for key, name in keys.items()}
+
+
+def _typed(raw: DataFrame, keys: Mapping[str, str], table: schemas.Table, strict: bool) -> DataFrame:
+    columns = []
+    for key, typed in conversions(keys, table).items():
+        if strict:
+            given = F.col(f"`{key}`").cast("string")
+            message = F.concat(F.lit(f"{table.name}.{keys[key]} cannot hold "), given)
+            lost = (given != "") & typed.isNull()
+            typed = F.when(lost, F.raise_error(message).cast(table_type(table, keys[key]))).otherwise(typed)
+        columns.append(typed.alias(keys[key]))
+    return raw.select(*columns)
+
 
+def table_type(table: schemas.Table, name: str) -> T.DataType:
+    return next(c.type for c in table.columns if c.name == name)
 
-def typed_log(raw: DataFrame) -> DataFrame:
-    """Raw log records -> the 18 typed staging columns."""
-    return _typed(raw, LOG_KEYS, schemas.STAGING_EVENTS)
 
+def typed_log(raw: DataFrame, keys: Mapping[str, str] = LOG_KEYS, strict: bool = False) -> DataFrame:
+    """Raw log records -> typed staging columns; ``keys`` maps keys to columns.
 
-def typed_songs(raw: DataFrame, numeric_scale: int = 0) -> DataFrame:
-    """Raw catalogue records -> the 10 typed staging columns."""
-    return _typed(raw, SONG_KEYS, schemas.staging_songs(numeric_scale))
+    ``strict`` stops at the first value that does not convert, else it becomes NULL.
+    """
+    return _typed(raw, keys, schemas.STAGING_EVENTS, strict)
+
+
+def typed_songs(
+    raw: DataFrame, numeric_scale: int = 0, keys: Mapping[str, str] = SONG_KEYS, strict: bool = False
+) -> DataFrame:
+    """Raw catalogue records -> typed staging columns, as ``typed_log`` does it."""
+    return _typed(raw, keys, schemas.staging_songs(numeric_scale), strict)
 
 
 def read_log(
-    spark: SparkSession, paths: str | Sequence[str], file_glob: str | None = None
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    file_glob: str | None = None,
+    keys: Mapping[str, str] = LOG_KEYS,
 ) -> DataFrame:
-    """Line-delimited log files (splittable) below ``paths``, as text fields."""
-    reader = _below(spark, file_glob).schema(_text_schema(LOG_KEYS))
-    return reader.option("mode", "FAILFAST").json(_listed(paths))
+    """Log files below ``paths``, as text fields: splittable, any number of objects on a line."""
+    return _records(_below(spark, file_glob).text(_listed(paths)), keys)
 
 
 def read_songs(
@@ -83,16 +139,11 @@ def read_songs(
     paths: str | Sequence[str],
     file_glob: str | None = None,
     one_per_line: bool = False,
+    keys: Mapping[str, str] = SONG_KEYS,
 ) -> DataFrame:
     """Catalogue files below ``paths``, as text fields.
 
-    A file holds one JSON object, on one or many lines, or an array of objects; with
-    ``one_per_line`` it holds an object on every line.
-
-    Files are read whole and parsed from memory: to hand out a number as text, the JSON
-    reader's multi-line mode goes back to the file for it, number by number.
+    A file holds any number of objects, over any lines, or arrays of them, and is read whole;
+    with ``one_per_line`` no object goes over a line's end and large files are split.
     """
-    schema = _text_schema(SONG_KEYS)
-    files = _below(spark, file_glob).text(_listed(paths), wholetext=not one_per_line)
-    objects = F.from_json("value", T.ArrayType(schema), {"mode": "FAILFAST"})
-    return files.select(F.inline(objects))
+    return _records(_below(spark, file_glob).text(_listed(paths), wholetext=not one_per_line), keys)

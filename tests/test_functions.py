@@ -43,26 +43,31 @@ def test_decimals_are_cut_toward_zero(spark, scale):
 
 
 def test_integers(spark):
-    values = ["0", "-7", "2147483647", "2147483648", "1.5", "", " ", "x", None, "007"]
+    values = ["0", "-7", "2147483647", "2147483648", "1.5", "", " ", "x", None, "007", "200.0", "-3e2", "1e20"]
     assert results(texts(spark, values), integer(F.col("v"))) == [
-        0, -7, 2147483647, None, None, None, None, None, None, 7,
+        0, -7, 2147483647, None, None, None, None, None, None, 7, 200, -300, None,
     ]
 
 
 def test_bigints(spark):
-    values = ["1540919166796.0", "1.540919166796E12", "9223372036854775807", "-9223372036854775808",
+    values = ["1600000123456.0", "1.600000123456E12", "9223372036854775807", "-9223372036854775808",
               "9223372036854775808", "", "x", None, "-1.9"]
     assert results(texts(spark, values), bigint(F.col("v"))) == [
-        1540919166796, 1540919166796, 9223372036854775807, -9223372036854775808, None, None, None, None, -1,
+        1600000123456, 1600000123456, 9223372036854775807, -9223372036854775808, None, None, None, None, -1,
     ]
 
 
 def test_epoch_millis(spark):
-    values = [0, -1, 1541105830796, 951782400000, 4102444800123, -62135596800000]
+    values = [0, -1, 1530203040506, 951782400000, 4102444800123, -62135596800000]
     got = results(texts(spark, [str(v) for v in values]), epoch_millis(F.col("v")))
     assert got == [datetime(1970, 1, 1) + timedelta(milliseconds=v) for v in values]
 
 
+def test_milliseconds_beyond_any_timestamp(spark):
+    values = ["9223372036854775807", "-9223372036854775808", "9223372036854776", "1e30", "x"]
+    assert results(texts(spark, values), epoch_millis(F.col("v"))) == [None] * 5
+
+
 def test_calendar(spark):
     start = datetime(1995, 12, 20, 3, 30)
     days = [start + timedelta(days=d, hours=d % 24) for d in range(0, 12000, 3)]
