@@ -27,7 +27,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join(read(spark, sf_dir, "documents"))
+    return ngram_join(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +49,8 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages have no time of capture; their ids stand in for it, in seconds."""
     path = f"{scratch_dir(spark)}/warc"
-    return archive_round_trip(read(spark, sf_dir, "pages"), path, seconds=F.col("page_id"))
+    captures = archive_round_trip(read(spark, sf_dir, "pages"), path, seconds=F.col("page_id"))
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 #: (verdict, host, path) of the query's rules, fixed values.
@@ -83,5 +84,55 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {query.__name__: query for query in registered}
 
 
+_NGRAM_JOIN_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), g AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda k: array_to_string(words[k:k + 3], ' '))) END AS grams
+  FROM w
+), s AS (SELECT doc_id, unnest(grams) AS gram FROM g),
+n AS (SELECT doc_id, CAST(len(grams) AS BIGINT) AS n_shingles FROM g),
+few AS (SELECT gram FROM s GROUP BY gram HAVING count(*) > 1),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id < b.doc_id
+  WHERE a.gram IN (SELECT gram FROM few) GROUP BY ALL
+), pairs AS (
+  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * shared >= 85 * (x.n_shingles + y.n_shingles - shared)
+), links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT n.doc_id, n.n_shingles, c.component_id FROM n JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = n.doc_id
+"""
+
+_WARC_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (SELECT payload_digest, max(page_id) AS first FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+  CASE WHEN f.first IS NULL OR f.first = p.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN f.first <> p.page_id THEN f.first END AS refers_to
+FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest
+"""
+
+_TOP_K_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS row FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.row, c.row) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+) WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for the queries that it can express; the others have tests against brute force."""
+    return {"op2_ngram_join": _NGRAM_JOIN_SQL, "op7_warc": _WARC_SQL, "op10_top_k": _TOP_K_SQL}

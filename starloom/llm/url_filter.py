@@ -18,6 +18,8 @@ from starloom.llm.tables import beside, stored
 
 #: The token that marks a bad URL; no URL's token has a blank.
 BAD = "label bad"
+#: Labelled URLs that must have a rule's tokens, however few there are.
+LEAST_ROWS = 20
 #: Different tokens of a URL that may enter a rule. FP-growth's work doubles with each more.
 RULE_TOKENS = 24
 
@@ -58,11 +60,17 @@ def tokens_of(host: Column, path: Column, url: Column) -> Column:
 def mine_rules(
     labelled: DataFrame, min_support: float = 0.01, min_confidence: float = 0.5, rule_tokens: int = RULE_TOKENS
 ) -> DataFrame:
-    """(rule_id, tokens, confidence, support) from (tokens, bad). A URL's rarest tokens beyond ``rule_tokens`` form no rules."""
+    """(rule_id, tokens, confidence, support) from (tokens, bad).
+
+    A rule's tokens are together in ``min_support`` of the rows and in LEAST_ROWS of them, or more. A
+    URL's rarest tokens beyond ``rule_tokens`` form no rules.
+    """
     labelled = stored(labelled.where("tokens IS NOT NULL AND bad IS NOT NULL").withColumn("row", F.monotonically_increasing_id()))
+    rows = labelled.count()
+    min_support = min(1.0, max(min_support, LEAST_ROWS / max(rows, 1)))
     seen = labelled.select("row", "bad", F.explode("tokens").alias("token"))
     frequent = seen.groupBy("token").count()
-    least = min_support * labelled.count()
+    least = min_support * rows
     common = seen.join(beside(stored(frequent.where(F.col("count") >= least))), "token")
     order = Window.partitionBy("row").orderBy(F.desc("count"), "token")
     kept = common.withColumn("place", F.row_number().over(order)).where(F.col("place") <= rule_tokens)

@@ -93,7 +93,7 @@ def test_urls(make):
     rnd = random.Random(5)
     hosts = ["example.com", "www.example.com", "WWW.EXAMPLE.com", "notexample.com", "com", "a.net", "É.org", "spam.org", "mail.spam.org", "x.org", ""]
     paths = ["", "/", "/en/", "/en", "/es/1", "/fr/", "/buy/now", "?u=http://b.com/en/", "#f", "/en/x?y#z", "/a://b"]
-    urls = [f"{rnd.choice(['http', 'https'])}://{rnd.choice(hosts)}{rnd.choice(paths)}" for _ in range(600)]
+    urls = [f"{rnd.choice(['http', 'https'])}://{rnd.choice(hosts)}{rnd.choice(paths)}" for _ in range(6000)]
     rows = [(n, u) for n, u in enumerate(urls)] + [(None, "http://a.net/es/"), (9000, None), (9001, ""), (9002, "a b"), (3, "http://x.org/again")]
     rows += [(9003, "http://long.org/" + "/".join(f"p{k}x" for k in range(3000))), (9004, "http://x\n.org/\n/en/")]
     bad = lambda u: "spam.org" in u and "/buy" in u
