@@ -17,7 +17,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import fits_broadcast, through_table
+from ..session import fits_broadcast, settled, through_table
 
 PARTS = ["_left_part", "_right_part"]
 
@@ -75,6 +75,8 @@ def _spread(
     """
     if not hot_sides:
         return df.select("*", *[F.lit(0).alias(p) for p in PARTS], F.lit(1).alias(f"{copied}_parts"))
+    if dealt in hot_sides:
+        df = settled(df)  # rows are dealt by their places
     hot = F.broadcast(grid)  # bounded by _hot_grid
     same_key = _all([df[k] == hot[f"_k{i}"] for i, k in enumerate(keys)])
     spread = df.join(hot, same_key, "left").select(

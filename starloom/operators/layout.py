@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import fits_broadcast
+from ..session import fits_broadcast, settled
 
 
 def to_buckets(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
@@ -50,7 +50,7 @@ def range_clustered(df: DataFrame, key: str, partitions: int | None = None) -> D
 
     A row number as second sort column lets a hot key value span several files.
     """
-    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    numbered = settled(df).withColumn("_row", F.monotonically_increasing_id())
     by = [F.col(key), F.col("_row")]
     ranged = numbered.repartitionByRange(partitions, *by) if partitions else numbered.repartitionByRange(*by)
     return ranged.sortWithinPartitions(key).drop("_row")

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation
 
-from ..operators import audit, drop_where_not_equal, next_id, with_dense_id, with_id
+from ..operators import audit, drop_where_not_equal, next_id, with_dense_id
 from ..schemas import Table
 from ..sources import LOG_KEYS, SONG_KEYS, conversions, read_log, read_songs, typed_log, typed_songs
 from . import dimensions
@@ -103,8 +103,10 @@ def insert_star(
     warehouse.append("time", time(events), enforce)
     plays = songplays(events, catalogue)
     start = next_id(warehouse.read("songplays"), "songplay_id")
-    numbered = (with_dense_id if dense_ids else with_id)(plays, "songplay_id", start)
-    warehouse.append("songplays", numbered, enforce)
+    if dense_ids:
+        warehouse.append("songplays", with_dense_id(plays, "songplay_id", start), enforce)
+    else:
+        warehouse.append("songplays", plays, enforce, number=("songplay_id", start))
 
 
 def run(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.audit import enforced, violations
 from ..operators.layout import replicated, sorted_within, to_buckets
+from ..operators.surrogate import with_id
 from ..schemas import Table, staging_tables, star_tables
 
 
@@ -130,13 +131,22 @@ class Warehouse:
         table = self.read(name)
         return replicated(table) if self.spec(name).replicated else table
 
-    def append(self, name: str, rows: DataFrame, enforce: bool = True) -> None:
+    def append(
+        self,
+        name: str,
+        rows: DataFrame,
+        enforce: bool = True,
+        number: tuple[str, int] | None = None,
+    ) -> None:
         """Add ``rows``, matched by column name, to a table in one write job.
 
         ``enforce`` stops the job on a NULL in a required column or a text over its
-        limit; nothing is added then.
+        limit; nothing is added then. ``number`` names a column that ``rows`` lacks and its first
+        value: the ids are given after the last shuffle, so a task run again cannot repeat one.
         """
         table = self.spec(name)
+        if number:
+            rows = rows.withColumn(number[0], F.lit(number[1]))
         rows = rows.select(*[F.col(c.name).cast(c.type).alias(c.name) for c in table.columns])
         if enforce:
             rows = enforced(rows, table)
@@ -144,6 +154,8 @@ class Warehouse:
             rows = to_buckets(rows, [table.distribute_by], self.buckets)
         if table.sort_by:
             rows = sorted_within(rows, table.sort_by)
+        if number:
+            rows = with_id(rows.drop(number[0]), *number).select(*table.column_names)
         rows.write.insertInto(self.qualified(name))
 
     def append_by_position(self, name: str, rows: DataFrame, enforce: bool = True) -> None:

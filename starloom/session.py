@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -59,6 +60,16 @@ def through_table(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(target)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` with rows at places that stay: as it is if no row is shuffled in it, else written once.
+
+    Behind a shuffle a task that is run again may see its rows in another order, so what is dealt or
+    numbered by place there could lose or double rows.
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return through_table(df) if re.search(r"(?<!Broadcast)Exchange\b", plan) else df
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Spark's own size estimate, the one its broadcast threshold is compared with."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()

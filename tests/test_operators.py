@@ -339,3 +339,14 @@ def test_types_without_a_rule_are_refused():
 
     with pytest.raises(TypeError):
         coerce_to(F.lit("1"), T.BooleanType())
+
+
+def test_no_row_is_dealt_by_its_place_behind_a_shuffle(spark):
+    shuffled = frame(spark, [("hit",)] * 900 + [(f"k{n}",) for n in range(90)], "k string").repartition(5)
+    right = frame(spark, [("hit",)], "j string")
+    dealt, _ = ops.salt_pair(shuffled, right, [("k", "j")], max_groups=30, min_rows=1)
+    for df in (dealt, ops.range_clustered(shuffled, "k", 4)):
+        text = plan(df)
+        assert "monotonically" in text
+        assert "Exchange" not in text[text.index("monotonically") :].replace("BroadcastExchange", "")
+    assert dealt.count() == 990
