@@ -26,13 +26,23 @@ SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 #: Code points below this are proven to be split, lowered and composed as the library does.
 LATIN_END = 0x250
 #: More different pre-tokens than this are not kept; the table begins anew.
-MAX_KEPT = 1_000_000
+MAX_KEPT = 500_000
 
 #: How the two known files cut texts (fixed values of the vocabularies).
 GPT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CLIP_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+def byte_letters() -> list[str]:
+    """The printable letter that byte-level vocabularies write for each byte."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = iter(range(0x100, 0x200))
+    return [chr(b) if b in plain else chr(next(rest)) for b in range(0x100)]
+
+
+BYTE_LETTERS = dict(enumerate(byte_letters()))
+
+
 @lru_cache(maxsize=1)
 def classes() -> np.ndarray:
     """The class of every code point below LATIN_END."""
@@ -152,6 +162,11 @@ class Encoder:
     def _library_ids(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _piece_ids(self, pieces: list[str]) -> list[list[int]]:
+        """The library's merges of single pre-tokens, without splitting them again."""
+        merge = self.library.model.tokenize
+        return [[t.id for t in merge(p.encode().decode("latin-1").translate(BYTE_LETTERS))] for p in pieces]
+
     def _entries_of(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The entry of each piece; pieces seen for the first time are merged by the library."""
         hashes, first, inverse = np.unique(span_hashes(points, starts, ends), return_index=True, return_inverse=True)
@@ -165,7 +180,7 @@ class Encoder:
             raw = points.astype("<u4", copy=False).tobytes()
             texts = [raw[4 * a : 4 * b].decode("utf-32-le") for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)]
             count = len(self.entries)
-            self._keep([keys[k] for k in missing], self._library_ids(texts))
+            self._keep([keys[k] for k in missing], self._piece_ids(texts))
             for n, k in enumerate(missing):
                 found[k] = count + n
         return np.array(found, np.int64)[inverse]

@@ -18,17 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.bytewise import utf8
-from starloom.llm.pieces import LATIN_END, Encoder, encoder, lowered, split_clip, split_gpt
+from starloom.llm.pieces import BYTE_LETTERS, LATIN_END, Encoder, encoder, lowered, split_clip, split_gpt
 from starloom.llm.tables import ship
 
 
-def byte_letters() -> dict[str, int]:
-    """The printable letter that byte-level vocabularies write for each byte, as letter -> byte."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(0x100) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(rest)}
-
-
 @lru_cache(maxsize=4)
 def whole_tokens(path: str) -> dict[str, int]:
     """The strings of the vocabulary that are proven to be one token when they stand as one piece."""
@@ -37,7 +30,7 @@ def whole_tokens(path: str) -> dict[str, int]:
         return {}
     with open(path, encoding="utf-8") as file:
         vocabulary = json.load(file)["model"]["vocab"]
-    letters = byte_letters()
+    letters = {letter: byte for byte, letter in BYTE_LETTERS.items()}
     candidates = {}
     for token, number in vocabulary.items():
         token = token.removesuffix("</w>") if tokens.kind == "clip" else token
