@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 
 from ..operators import audit, drop_where_not_equal, next_id, with_dense_id
 from ..schemas import Table
@@ -23,10 +23,11 @@ def staged_events(
     return drop_where_not_equal(typed_log(raw, keys, strict), "page", KEPT_PAGE)
 
 
-def _counted(raw: DataFrame, keys: Mapping[str, str], table: Table) -> tuple[DataFrame, Observation]:
-    """``raw`` with a count of the values of each key that will be lost, made as it is read."""
-    seen = Observation(f"losses of {table.name}")
-    return raw.observe(seen, *audit.loss_counts(conversions(keys, table))), seen
+def _losses(raw: DataFrame, keys: Mapping[str, str], table: Table, enforce: bool) -> dict[str, int]:
+    """How many values of each key do not convert: none where that stops the load, else counted."""
+    if enforce:
+        return dict.fromkeys(keys, 0)
+    return raw.agg(*audit.loss_counts(conversions(keys, table))).first().asDict()
 
 
 def load_events(
@@ -39,13 +40,12 @@ def load_events(
     """Append log files to staging; how many values of each key did not convert and became NULL.
 
     Records of other pages are left out before the write, so no reader ever sees them.
-    ``enforce`` stops at the first value of a kept record that does not convert, so there are no
-    losses among these.
+    ``enforce`` stops at the first value of a kept record that does not convert; without it the
+    sources are read once more to count.
     """
     raw = read_log(warehouse.spark, paths, file_glob, keys)
-    raw, seen = _counted(raw, keys, warehouse.spec("staging_events"))
     warehouse.append("staging_events", staged_events(raw, keys, enforce), enforce)
-    return seen.get
+    return _losses(raw, keys, warehouse.spec("staging_events"), enforce)
 
 
 def load_songs(
@@ -61,10 +61,9 @@ def load_songs(
     Many tiny files come in, some of a good size go out.
     """
     raw = read_songs(warehouse.spark, paths, file_glob, one_per_line, keys)
-    raw, seen = _counted(raw, keys, warehouse.spec("staging_songs"))
     catalogue = typed_songs(raw, warehouse.numeric_scale, keys, enforce)
     warehouse.append("staging_songs", catalogue.hint("rebalance"), enforce)
-    return seen.get
+    return _losses(raw, keys, warehouse.spec("staging_songs"), enforce)
 
 
 def load_staging(
