@@ -1,14 +1,15 @@
 """Benchmark items found in training texts, also when edited.
 
-1. Every n-gram of words of an item is looked up in all texts; the hits are written down, and the
-   number of texts with each n-gram is counted from them over the whole corpus.
-2. Of each n consecutive n-grams of an item the rarest is a seed, so that every part of an item has
-   one, however common its words. A text with a rare seed, or with two seeds of an item, is a
-   candidate for it.
-3. Around its seeds a candidate's words are aligned with the item's by Smith-Waterman. The score is
-   that of the best local alignment, as a part of the item's score against itself.
-
-Items are taken in blocks of bounded size, a block's n-grams being copied to the executors.
+1. Every n-gram of words of an item is looked up in all texts, and each one found is a seed, however
+   common it is: a text is a candidate for every item of which it has an n-gram, so an edited copy
+   is found by any n-gram that the edit has left.
+2. A candidate that has too few of the item's words for the threshold, wherever they stand, is
+   dropped; no alignment could score enough.
+3. Around its seeds a candidate's words are aligned with the item's by Smith-Waterman, as far to
+   either side as an alignment of enough score can reach. The score is that of the best local
+   alignment, as a part of the item's score against itself.
+
+Items are taken in blocks of bounded size, a block's n-grams and words being copied to the executors.
 """
 
 from __future__ import annotations
@@ -26,8 +27,6 @@ from starloom.llm.tables import beside, ship, stored
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Words of benchmark items in a block.
 BLOCK_WORDS = 200_000
-#: A seed in at most this part of all texts (or in RARE_TEXTS) is rare.
-RARE_PART, RARE_TEXTS = 1e-4, 20
 
 
 def word_rows(texts: pa.Array) -> Iterator[np.ndarray]:
@@ -59,110 +58,77 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def best_window(item: np.ndarray, text: np.ndarray, places: list[int]) -> tuple[float, int, int]:
-    """(score of 0 to 1, first word, end word) of the best alignment near the places where the item may begin."""
-    slack = len(item) // 2 + 4
-    windows: list[list[int]] = []
-    for place in sorted(places):
-        low, high = max(0, place - slack), min(len(text), place + len(item) + slack)
-        if windows and low <= windows[-1][1]:
-            windows[-1][1] = max(high, windows[-1][1])
-        else:
-            windows.append([low, high])
+def best_window(item: np.ndarray, text: np.ndarray, lows: np.ndarray, highs: np.ndarray, threshold: float) -> tuple[float, int, int]:
+    """(score of 0 to 1, first word, end word) of the best alignment of ``threshold`` or more in the windows, else zeros."""
+    order = np.argsort(lows, kind="stable")
+    lows, reach = lows[order], np.maximum.accumulate(highs[order])
+    # Windows that meet are one.
+    last = np.append(lows[1:] > reach[:-1], True)
+    first = np.append(True, last[:-1])
     found = (0.0, 0, 0)
-    for low, high in windows:
+    for low, high in zip(lows[first].tolist(), reach[last].tolist(), strict=True):
+        low, high = max(0, low), min(len(text), high)
+        if np.isin(item, text[low:high]).sum() / len(item) < max(threshold, found[0]):
+            continue
         score, end = align(item, text[low:high])
-        if score / (MATCH * len(item)) > found[0]:
+        if score / (MATCH * len(item)) > found[0] and score / (MATCH * len(item)) >= threshold:
             back, length = align(item[::-1], text[low : low + end][::-1])
             found = (score / (MATCH * len(item)), low + end - length, low + end)
     return found
 
 
+def _gathered(offsets: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the entries of some keys in a flat list whose parts begin at ``offsets``, and where each key's begin."""
+    lengths = offsets[keys + 1] - offsets[keys]
+    begins = np.cumsum(lengths) - lengths
+    return np.repeat(offsets[keys] - begins, lengths) + np.arange(lengths.sum()), begins
+
+
 class _Block:
-    """N-grams of a block of items."""
+    """A block of items by their n-grams and by their words."""
 
-    def __init__(self, rows: list, n: int):
+    def __init__(self, rows: list, n: int, threshold: float):
+        self.threshold = threshold
         self.ids = [r["item"] for r in rows]
         self.words = list(word_rows(pa.array([r["text"] for r in rows], pa.string())))
         grams = [ngram_hashes(w, n) for w in self.words]
         self.grams = np.unique(np.concatenate(grams))
-        self.of_item = [np.searchsorted(self.grams, g) for g in grams]
-
-    def seeds(self, texts_with: np.ndarray, n: int) -> dict[int, list[tuple[int, int]]]:
-        """(item, place in it) by the number of the n-gram: the rarest of each n in a row."""
-        chosen: dict[int, list[tuple[int, int]]] = {}
-        for item, numbers in enumerate(self.of_item):
-            counts = texts_with[numbers]
-            for begin in range(0, len(numbers), n):
-                place = begin + int(counts[begin : begin + n].argmin())
-                chosen.setdefault(int(numbers[place]), []).append((item, place))
-        return chosen
-
-
-def _hits(source: DataFrame, grams: np.ndarray, n: int) -> DataFrame:
-    """(id, text_hash, numbers, places) of texts with n-grams of the block."""
-    shared = source.sparkSession.sparkContext.broadcast(grams)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        for batch in batches:
-            rows, numbers, places = [], [], []
-            at = 0
-            for first, end, data, offsets in slices(batch.column(1)):
-                data = folded(data)
-                starts, ends, row = words(data, offsets, ~ALNUM)
-                found = ngram_hashes(span_hashes(data, starts, ends), n)
-                number = np.searchsorted(known, found)
-                number[number == len(known)] = 0
-                hit = (known[number] == found) & (row[: len(found)] == row[n - 1 : n - 1 + len(found)])
-                place = np.flatnonzero(hit)
-                bounds = row_bounds(row, end - first)
-                owner = row[place]
-                cuts = row_bounds(owner, end - first).tolist()
-                for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                    if b > a:
-                        rows.append(at + k)
-                        numbers.append(number[place[a:b]])
-                        places.append(place[a:b] - bounds[k])
-                at += end - first
-            lengths = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in numbers]))), pa.int32())
-            flat = [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int32()) for x in (numbers, places)]
-            taken = pa.array(rows, pa.int64())
-            columns = [batch.column(0).take(taken), batch.column(2).take(taken)]
-            columns += [pa.ListArray.from_arrays(lengths, x) for x in flat]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "text_hash", "numbers", "places"])
-
-    return source.mapInArrow(run, "id long, text_hash long, numbers array<int>, places array<int>")
-
-
-def _candidates(hits: DataFrame, seeds: dict, rare: set[int]) -> DataFrame:
-    """(id, text_hash, item, begins): where an item may begin in a text, by its seeds there."""
-    shared = hits.sparkSession.sparkContext.broadcast((seeds, rare))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds, rare = shared.value
-        for batch in batches:
-            out = ([], [], [], [])
-            for number, text_id, text_hash, numbers, places in zip(range(batch.num_rows), *[c.to_pylist() for c in batch.columns], strict=False):
-                begins: dict[int, set[int]] = {}
-                weight: dict[int, set[int]] = {}
-                sure = set()
-                for gram, place in zip(numbers, places, strict=True):
-                    for item, inside in seeds.get(gram, ()):
-                        begins.setdefault(item, set()).add(place - inside)
-                        weight.setdefault(item, set()).add(gram)
-                        if gram in rare:
-                            sure.add(item)
-                for item, found in begins.items():
-                    if item in sure or len(weight[item]) > 1:
-                        for column, value in zip(out, (text_id, text_hash, item, sorted(found)), strict=True):
-                            column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, k) for x, k in zip(out, kinds, strict=True)], ["id", "text_hash", "item", "begins"]
-            )
-
-    return hits.mapInArrow(run, "id long, text_hash long, item int, begins array<int>")
+        # Of each item its n-grams by number, with the first and the last place of each.
+        self.of_item = []
+        for found in grams:
+            numbers, first = np.unique(np.searchsorted(self.grams, found), return_index=True)
+            _, behind = np.unique(found[::-1], return_index=True)
+            self.of_item.append((numbers, first, len(found) - 1 - behind))
+        numbers = np.concatenate([x[0] for x in self.of_item])
+        order = np.argsort(numbers, kind="stable")
+        self.items = np.repeat(np.arange(len(rows)), [len(x[0]) for x in self.of_item])[order]
+        self.items_at = np.searchsorted(numbers[order], np.arange(len(self.grams) + 1))
+        self.vocabulary, flat = np.unique(np.concatenate(self.words), return_inverse=True)
+        self.word_numbers = flat
+        self.lengths = np.array([len(w) for w in self.words])
+        self.words_at = np.concatenate(([0], np.cumsum(self.lengths)))
+
+    def in_text(self, text: np.ndarray, numbers: np.ndarray, places: np.ndarray) -> Iterator[tuple[int, float, int, int]]:
+        """(item, score, first word, end word) by a text's words and its n-grams of the block with their places."""
+        items = np.unique(self.items[_gathered(self.items_at, np.unique(numbers))[0]])
+        number = np.searchsorted(self.vocabulary, text)
+        number[number == len(self.vocabulary)] = 0
+        present = np.zeros(len(self.vocabulary), bool)
+        present[number[self.vocabulary[number] == text]] = True
+        flat, begins = _gathered(self.words_at, items)
+        matched = np.add.reduceat(present[self.word_numbers[flat]].astype(np.int64), begins)
+        for item in items[matched / self.lengths[items] >= self.threshold].tolist():
+            own, first, last = self.of_item[item]
+            at = np.searchsorted(own, numbers)
+            at[at == len(own)] = 0
+            hit = own[at] == numbers
+            place, at, length = places[hit], at[hit], len(self.words[item])
+            # An alignment loses at least one for each word it inserts, so it can hold no more of them than this.
+            slack = int(MATCH * length * max(0.0, 1 - self.threshold) / -GAP) + 1
+            lows, highs = place - last[at] - slack, place - first[at] + length + slack
+            score, begin, end = best_window(self.words[item], text, lows, highs, self.threshold)
+            if end and score >= self.threshold:
+                yield item, score, begin, end
 
 
 def contaminated(
@@ -238,7 +204,7 @@ def _found(source: DataFrame, items: DataFrame, threshold: float, n: int, min_wo
         counts = [len(w) for w in word_rows(pa.array([r["text"] for r in rows], pa.string()))]
         rows = [r for r, k in zip(rows, counts, strict=True) if k >= max(n, min_words)]
         if rows:
-            found = found.unionAll(_in_block(source, _Block(rows, n), threshold, n))
+            found = found.unionAll(_in_block(source, _Block(rows, n, threshold), n))
     return found
 
 
@@ -251,38 +217,38 @@ def _blocks(items: DataFrame) -> Iterator[list]:
         yield part.orderBy("item", "text").collect()
 
 
-def _in_block(source: DataFrame, block: _Block, threshold: float, n: int) -> DataFrame:
-    spark = source.sparkSession
-    hits = stored(_hits(source, block.grams, n))
-    counted = hits.select(F.explode(F.array_distinct("numbers")).alias("number")).groupBy("number").count()
-    texts_with = np.zeros(len(block.grams), np.int64)
-    for row in counted.collect():  # as many as the block has n-grams
-        texts_with[row["number"]] = row["count"]
-    seeds = block.seeds(texts_with, n)
-    most = max(RARE_TEXTS, RARE_PART * source.count())
-    rare = {k for k in seeds if texts_with[k] <= most}
-    candidates = stored(_candidates(hits, seeds, rare).groupBy("id", "text_hash").agg(
-        F.collect_set(F.struct("item", "begins")).alias("tries")
-    ))
-    wanted = beside(candidates.withColumnsRenamed({"id": "wanted_id", "text_hash": "wanted_hash"}))
-    same = F.col("id").eqNullSafe(F.col("wanted_id")) & (F.col("text_hash") == F.col("wanted_hash"))
-    texts = source.join(wanted, same).select("id", "text_hash", "text", "tries")
-    shared = spark.sparkContext.broadcast((block.ids, block.words))
+def _in_block(source: DataFrame, block: _Block, n: int) -> DataFrame:
+    shared = source.sparkSession.sparkContext.broadcast(block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, item_words = shared.value
+        block = shared.value
+        known = block.grams
         for batch in batches:
-            out = ([], [], [], [], [], [])
-            named = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-            for (text_id, text_hash), text, tries in zip(named, word_rows(batch.column(2)), batch.column(3), strict=True):
-                for one in tries.as_py():
-                    item = item_words[one["item"]]
-                    score, first, end = best_window(item, text, one["begins"])
-                    if score >= threshold:
-                        for column, value in zip(out, (text_id, text_hash, ids[one["item"]], score, first, end), strict=True):
-                            column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
-            names = ["id", "text_hash", "item", "score", "first_word", "end_word"]
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names)
-
-    return texts.mapInArrow(run, _FOUND)
+            rows, out = [], ([], [], [], [])
+            at = 0
+            for first, end, data, offsets in slices(batch.column(1)):
+                data = folded(data)
+                starts, ends, row = words(data, offsets, ~ALNUM)
+                hashes = span_hashes(data, starts, ends)
+                found = ngram_hashes(hashes, n)
+                number = np.searchsorted(known, found)
+                number[number == len(known)] = 0
+                hit = (known[number] == found) & (row[: len(found)] == row[n - 1 : n - 1 + len(found)])
+                place = np.flatnonzero(hit)
+                bounds = row_bounds(row, end - first)
+                cuts = row_bounds(row[place], end - first).tolist()
+                for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+                    if b > a:
+                        text = hashes[bounds[k] : bounds[k + 1]]
+                        for item, *place_of in block.in_text(text, number[place[a:b]], place[a:b] - bounds[k]):
+                            rows.append(at + k)
+                            for column, value in zip(out, (block.ids[item], *place_of), strict=True):
+                                column.append(value)
+                at += end - first
+            taken = pa.array(rows, pa.int64())
+            kinds = (pa.int64(), pa.float64(), pa.int64(), pa.int64())
+            columns = [batch.column(0).take(taken), batch.column(2).take(taken)]
+            columns += [pa.array(x, k) for x, k in zip(out, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "text_hash", "item", "score", "first_word", "end_word"])
+
+    return source.mapInArrow(run, _FOUND)

@@ -145,6 +145,45 @@ def test_edited_items_are_found_and_clean_texts_left(make, prose):
     assert Counter(r.doc_id for r in left.collect()) == Counter(i for i, _ in rows + odd if i is not None and i not in gone)
 
 
+def test_a_single_copy_is_found_by_what_its_edit_has_left(make):
+    words = [f"w{k}x" for k in range(18)]
+    copy = ["new" if k in (3, 9, 15) else w for k, w in enumerate(words)]
+    docs = make([(1, " ".join(copy)), (2, "other words that say nothing at all")], SCHEMA)
+    got = contaminated(docs, make([(1, " ".join(words))], BENCH)).collect()
+    assert [(r.doc_id, r.score, r.first_word, r.end_word) for r in got] == [(1, 27 / 36, 0, 18)]
+
+
+def test_one_left_n_gram_is_enough_also_in_thousands_of_texts(make):
+    words = [f"w{k}x" for k in range(10)]
+    copy = " ".join(f"{w}" if k not in (3, 6, 9) else "new" for k, w in enumerate(words))
+    rows = [(n, f"a{n} b{n} {copy} c{n}") for n in range(2500)] + [(5000 + n, f"a{n} w0x w1x w2x c{n}") for n in range(500)]
+    got = contaminated(make(rows, SCHEMA), make([(1, " ".join(words))], BENCH)).collect()
+    assert {r.doc_id for r in got} == set(range(2500)) and {r.score for r in got} == {12 / 20}
+
+
+def test_texts_with_an_n_gram_of_an_item_are_judged_like_the_full_table(make):
+    rnd = random.Random(12)
+    vocabulary = [f"v{k}" for k in range(60)]
+    items = [(k, [rnd.choice(vocabulary) for _ in range(rnd.randrange(12, 24))]) for k in range(12)]
+    rows = []
+    for n in range(48):
+        copy = list(items[n % 12][1])
+        for k in rnd.sample(range(len(copy)), round(len(copy) * rnd.choice([0.15, 0.2, 0.25]))):
+            copy[k] = f"new{k}"
+        if n % 4 == 0:  # words put in at one place
+            copy[9:9] = [f"put{k}" for k in range(rnd.randrange(10, 16))]
+        rows.append((n, [rnd.choice(vocabulary) for _ in range(8)] + copy + [f"end{n}"] * 3))
+    want = {}
+    for d, text in rows:
+        grams = {tuple(text[k : k + 3]) for k in range(len(text))}
+        for i, item in items:
+            score = smith_waterman(item, text) / (2 * len(item))
+            if score >= 0.42 and any(tuple(item[k : k + 3]) in grams for k in range(len(item) - 2)):
+                want[d, i] = score
+    got = contaminated(make([(d, " ".join(t)) for d, t in rows], SCHEMA), make([(i, " ".join(t)) for i, t in items], BENCH))
+    assert {(r.doc_id, r.item_id): r.score for r in got.collect()} == want and len(want) > 40
+
+
 def test_no_items_or_no_texts(make, prose):
     docs, none = make([(1, "some text")], SCHEMA), make([], BENCH)
     assert contaminated(docs, none).collect() == []
