@@ -22,8 +22,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares 85 of 100 four-word n-grams, that of the smallest id."""
-    return without_similar(docs)
+    """One document of each group that shares 80 of 100 five-word n-grams, that of the smallest id."""
+    return without_similar(docs, percent=80, n=5)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__
 import corpus_pipeline
+from starloom.llm.ngram_join import without_similar
 from starloom.llm.quality import BUCKETS, WIDTH, Network, calibrate, classify, fold_of, index_vectors, token_rows, train
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -113,6 +114,19 @@ def test_stages(spark, make, prose, tmp_path):
     assert 1002 in seen[4]
 
 
+def test_near_duplicate_stage_takes_pairs_between_the_thresholds(spark, make, tmp_path):
+    rows = []
+    for pair, edits in enumerate([3, 4, 5]):  # 4-grams: 0.885, 0.8498, 0.816; 5-grams: 0.858, 0.815, 0.774
+        words = [f"p{pair}w{k}" for k in range(200)]
+        copy = [f"{w}new" if k in range(20, 20 + 40 * edits, 40) else w for k, w in enumerate(words)]
+        rows += [(2 * pair + k, " ".join(w), "en", "s", 1) for k, w in enumerate((words, copy))]
+    docs = make(rows, DOCS, ())
+    left = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path))
+    assert sorted(r.doc_id for r in left.collect()) == [0, 2, 4, 5]
+    apart = without_similar(docs)
+    assert sorted(r.doc_id for r in apart.collect()) == [0, 2, 3, 4, 5]
+
+
 def test_every_operator_is_registered():
     names = set(__spark_entry__.queries())
     assert "pipeline" in names
