@@ -115,21 +115,26 @@ def _links(found: DataFrame, reach: int) -> DataFrame:
     """(_key, _linked): weak spans with complementary parts in scope, once per different text."""
     parts = found.where("_key IS NOT NULL").select("_key", "_base", "_weak").dropDuplicates(["_key"])
     parts = parts.select("_key", F.explode(F.concat("_base", "_weak")).alias("part")).select("_key", "part.*")
-    # A scope reaches from the part's start and end; parts are met by their starts and by their ends.
-    nearby = Window.partitionBy("_key").orderBy("at").rangeBetween(-reach, reach)
-    ends = parts.withColumn("at", F.explode(F.array_distinct(F.array("start", F.col("end") - 1))))
+    # A part is in scope if it begins at most at the scope's end and ends at least at its start: if the
+    # furthest end of all parts that begin up to the scope's end reaches its start. So each part is
+    # met twice, where it begins, and where its scope ends.
+    last, opens = F.col("end") - 1, F.lit(True).alias("opens")
+    met = F.array(F.struct(F.col("start").alias("at"), opens), F.struct((last + reach).alias("at"), F.lit(False).alias("opens")))
+    events = parts.select("*", F.inline(met))
+    begun = Window.partitionBy("_key").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     ranks = {k: n for n, k in enumerate(KINDS)}
 
     def near(*kinds: str) -> Column:
-        return F.max(F.col("rank").isin(*[ranks[k] for k in kinds])).over(nearby)
+        of_kind = F.col("opens") & F.col("rank").isin(*[ranks[k] for k in kinds])
+        return F.coalesce(F.max(F.when(of_kind, last)).over(begun) >= F.col("start") - reach, F.lit(False))
 
-    seen = ends.withColumns(
+    seen = events.withColumns(
         {
             "near_id": near("access", "link_id"),
             "near_secret": near("assign", "hex", "link_secret"),
             "near_endpoint": near("link_endpoint"),
         }
-    )
+    ).where(~F.col("opens"))
     kept = (
         (F.col("rank") == ranks["link_secret"]) & (F.col("near_id") | F.col("near_endpoint"))
         | (F.col("rank") == ranks["link_id"]) & F.col("near_secret")

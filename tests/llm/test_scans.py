@@ -88,6 +88,33 @@ def test_weak_parts_are_reported_only_together(make):
     assert linked == {1: 0, 2: 2, 3: 1, 4: 0, 5: 0, 6: 3}
 
 
+def interval_spans(text):
+    """As all_spans, by the distance of intervals: none for parts that lie in or over one another."""
+    base = base_spans(text)
+    weak = [(m.start(), k, m.end()) for k, p in ((3, LINK_ID), (4, LINK_SECRET), (5, LINK_ENDPOINT)) for m in re.finditer(p, text, re.A)]
+
+    def near(one, *ranks):
+        return any(o[1] in ranks and max(one[0] - (o[2] - 1), o[0] - (one[2] - 1), 0) <= REACH for o in base + weak)
+
+    kept = []
+    for one in weak:
+        identifier, secret = near(one, 1, 3), near(one, 0, 2, 4)
+        if {3: secret, 4: identifier or near(one, 5), 5: identifier and secret}[one[1]]:
+            kept.append(one)
+    return sorted(set(base + kept))
+
+
+def test_parts_inside_long_parts_are_linked(make):
+    url = "https://db.example.com/" + "u/" * 128 + "AKIAABCDEFGHIJKL" + "/v" * 119  # 533 long, the key at 279
+    rows = [(0, f"{url} passphrase: abcdefg"), (1, f"token={'z' * 300}.user=bob1.{'y' * 300} https://db.example.com")]
+    rnd = random.Random(9)
+    long_bits = [*BITS, "z" * 500, "https://x.example.com/" + "q/" * 260, "token=" + "y" * 600, " " * 190, "/aB3" + "x" * 37 + "/", "0f" * 270]
+    rows += [(n, "".join(rnd.choice(long_bits) for _ in range(rnd.randint(2, 20)))) for n in range(2, 400)]
+    got = {r.doc_id: r.spans for r in scan_secrets(make(rows, SCHEMA, ("spans", "_row", "at", "last"))).collect()}
+    assert got == {n: written(interval_spans(text)) for n, text in rows}
+    assert "link_endpoint:0:533" in got[0] and sum(interval_spans(t) != all_spans(t) for _, t in rows) > 5
+
+
 def smith_waterman(item, text):
     cells = [[0] * (len(text) + 1) for _ in range(len(item) + 1)]
     for a in range(1, len(item) + 1):
