@@ -5,23 +5,25 @@ tokens are bad; it is kept if enough labelled URLs have the tokens (support), en
 bad (confidence), and no rule of fewer of its tokens is as sure. Rules are matched by an inverted
 index: each is filed under its least frequent token, URLs look up their tokens, and only rules that
 are found so are compared in full.
+
+FP-growth's work doubles with each token of a basket, so tokens are left out of baskets where that
+changes no rule that is kept: those in too few bad URLs; all but one of tokens that are in the same
+URLs, each of which may stand for the other in any rule; and those that are in bad URLs only or in
+all URLs, as any rule of more tokens is no surer than the one without the others or without them.
 """
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from starloom.llm.tables import beside, stored
 
 #: The token that marks a bad URL; no URL's token has a blank.
 BAD = "label bad"
-#: Labelled URLs that must have a rule's tokens, however few there are.
-LEAST_ROWS = 20
-#: Different tokens of a URL that may enter a rule. FP-growth's work doubles with each more.
-RULE_TOKENS = 24
 
 Rule = tuple[str, str, str]
 
@@ -57,44 +59,53 @@ def tokens_of(host: Column, path: Column, url: Column) -> Column:
     return F.filter(F.transform(every, lambda x: F.regexp_replace(x, r"\s", "_")), lambda x: F.length(x) > 2)
 
 
-def mine_rules(
-    labelled: DataFrame, min_support: float = 0.01, min_confidence: float = 0.5, rule_tokens: int = RULE_TOKENS
-) -> DataFrame:
-    """(rule_id, tokens, confidence, support) from (tokens, bad).
+def mine_rules(labelled: DataFrame, min_support: float = 0.01, min_confidence: float = 0.5) -> DataFrame:
+    """(rule_id, needed, confidence, support, filed) from (tokens, bad), once for each token a rule is filed under.
 
-    A rule's tokens are together in ``min_support`` of the rows and in LEAST_ROWS of them, or more. A
-    URL's rarest tokens beyond ``rule_tokens`` form no rules.
+    A rule's tokens are together in ``min_support`` of the rows as bad ones, whatever the number of
+    rows. ``needed`` has a list of tokens for each token of the rule, one of which a URL must have.
     """
-    labelled = stored(labelled.where("tokens IS NOT NULL AND bad IS NOT NULL").withColumn("row", F.monotonically_increasing_id()))
+    labelled = labelled.where("tokens IS NOT NULL AND bad IS NOT NULL").select("bad", F.array_distinct("tokens").alias("tokens"))
+    labelled = stored(labelled.withColumn("row", F.monotonically_increasing_id()))
     rows = labelled.count()
-    min_support = min(1.0, max(min_support, LEAST_ROWS / max(rows, 1)))
+    least = max(1, ceil(min_support * rows))
     seen = labelled.select("row", "bad", F.explode("tokens").alias("token"))
-    frequent = seen.groupBy("token").count()
-    least = min_support * rows
-    common = seen.join(beside(stored(frequent.where(F.col("count") >= least))), "token")
-    order = Window.partitionBy("row").orderBy(F.desc("count"), "token")
-    kept = common.withColumn("place", F.row_number().over(order)).where(F.col("place") <= rule_tokens)
+    # Tokens of equal rows have equal digests of them, of 128 bits.
+    digests = [F.bit_xor(F.xxhash64("row", F.lit(k))).alias(f"rows{k}") for k in range(2)]
+    counted = seen.groupBy("token").agg(F.count(F.lit(1)).alias("count"), F.count_if("bad").alias("n_bad"), *digests)
+    groups = counted.where(F.col("n_bad") >= least).groupBy("count", "n_bad", "rows0", "rows1")
+    groups = stored(groups.agg(F.min("token").alias("token"), F.collect_list("token").alias("members")))
+    alone = (F.col("n_bad") == F.col("count")) | (F.col("count") == rows)
+    confidence = F.col("n_bad") / F.col("count")
+    single = groups.where(alone & (confidence >= min_confidence))
+    single = single.select(F.array("token").alias("tokens"), confidence.alias("confidence"), (F.col("n_bad") / rows).alias("support"))
+    kept = seen.join(beside(stored(groups.where(~alone).select("token"))), "token")
     baskets = kept.groupBy("row", "bad").agg(F.collect_set("token").alias("tokens"))
     baskets = baskets.select(F.when(F.col("bad"), F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items"))
     absent = labelled.join(kept.select("row").distinct(), "row", "left_anti")
     baskets = baskets.unionAll(absent.select(F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>")).alias("items")))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(stored(baskets))
     rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD)))
-    rules = rules.select(F.sort_array("antecedent").alias("tokens"), "confidence", "support")
+    rules = rules.select(F.sort_array("antecedent").alias("tokens"), "confidence", "support").unionAll(single)
     rules = stored(rules.withColumn("rule_id", F.xxhash64("tokens")))
     # A rule goes if one of its parts is as sure; parts are found by their filed token, like URLs.
-    filed = _filed(rules, frequent)
+    filed = _filed(rules, groups)
     parts = filed.select(F.col("rule_id").alias("part_id"), F.col("tokens").alias("part"), F.col("confidence").alias("part_confidence"), "filed")
     wider = rules.select("rule_id", "tokens", "confidence", F.explode("tokens").alias("filed")).join(parts, "filed")
     covered = wider.where(
         (F.size("part") < F.size("tokens")) & (F.col("part_confidence") >= F.col("confidence")) & (F.size(F.array_except("part", "tokens")) == 0)
     )
-    return stored(filed.join(covered.select("rule_id").distinct(), "rule_id", "left_anti"))
+    sure = stored(filed.join(covered.select("rule_id").distinct(), "rule_id", "left_anti"))
+    members = sure.select("rule_id", F.explode("tokens").alias("token")).join(groups.select("token", "members"), "token")
+    needed = members.groupBy("rule_id").agg(F.collect_list("members").alias("needed"))
+    under = groups.select(F.col("token").alias("filed"), F.col("members").alias("under"))
+    sure = sure.join(needed, "rule_id").join(under, "filed")
+    return stored(sure.select("rule_id", "needed", "confidence", "support", F.explode("under").alias("filed")))
 
 
-def _filed(rules: DataFrame, frequent: DataFrame) -> DataFrame:
+def _filed(rules: DataFrame, groups: DataFrame) -> DataFrame:
     """Adds the least frequent token of each rule."""
-    tokens = rules.select("rule_id", F.explode("tokens").alias("token")).join(frequent, "token")
+    tokens = rules.select("rule_id", F.explode("tokens").alias("token")).join(groups.select("token", "count"), "token")
     rarest = tokens.groupBy("rule_id").agg(F.min(F.struct("count", "token")).alias("rarest"))
     return stored(rules.join(rarest.select("rule_id", F.col("rarest.token").alias("filed")), "rule_id"))
 
@@ -128,9 +139,9 @@ def judge_urls(
     labelled = source.join(marks, "id").join(urls, "url").select("tokens", "bad")
     mined = mine_rules(labelled, min_support, min_confidence)
     looked_up = urls.select("url", "tokens", F.explode("tokens").alias("filed")).join(
-        beside(mined.select(F.col("tokens").alias("needed"), "confidence", "filed")), "filed"
+        beside(mined.select("needed", "confidence", "filed")), "filed"
     )
-    fitting = looked_up.where(F.size(F.array_except("needed", "tokens")) == 0)
+    fitting = looked_up.where(F.forall("needed", lambda one_of: F.arrays_overlap(one_of, F.col("tokens"))))
     sure = beside(stored(fitting.groupBy("url").agg(F.max("confidence").alias("mined_confidence"))))
     rule, verdict = given_rule(F.col("host"), F.col("path"), rules)
     judged = parsed.join(sure, "url", "left").select("id", "host", "path", rule.alias("rule"), verdict.alias("given"), "mined_confidence")

@@ -111,6 +111,51 @@ def test_urls(make):
     assert any(r.rule is None and r.verdict == "block" for r in got)
 
 
+def surest(rows, labelled, min_support, min_confidence):
+    """The surest rule's confidence for each token set, by trying all sets of tokens."""
+    names = sorted(set().union(*rows))
+    bits = [sum(1 << names.index(t) for t in r) for r in rows]
+    sure = {}
+    for x in range(1, 1 << len(names)):
+        fits = [bad for b, bad in zip(bits, labelled) if bad is not None and b & x == x]
+        if sum(fits) >= max(1, min_support * sum(bad is not None for bad in labelled)) and sum(fits) / len(fits) >= min_confidence:
+            sure[x] = sum(fits) / len(fits)
+    return [max((c for x, c in sure.items() if b & x == x), default=None) for b in bits]
+
+
+@pytest.mark.parametrize("seed, count", [(1, 60), (2, 300)])
+def test_mined_rules_are_those_of_all_token_sets(make, seed, count):
+    rnd = random.Random(seed)
+    rows, labelled = [], []
+    for n in range(count):
+        keys = {f"q:k{k}" for k in range(6) if rnd.random() < 0.4}
+        if n % 7 < 3:
+            keys |= {"q:one", "q:two"} if n < count * 0.8 else {rnd.choice(["q:one", "q:two"])}  # as one in labelled rows
+        bad = rnd.random() < (0.8 if {"q:k1", "q:k2"} <= keys else 0.2) or "q:k3" in keys and "q:one" in keys
+        rows.append(keys | {"h:org"})
+        labelled.append(int(bad) if n < count * 0.8 else None)
+    urls = [(n, "x://org?" + "&".join(sorted(t[2:] for t in r if t != "h:org"))) for n, r in enumerate(rows)]
+    labels = [(n, 1 - bad) for n, bad in enumerate(labelled) if bad is not None]
+    got = judge_urls(make(urls, "page_id long, url string"), make(labels, "doc_id long, quality int"), [], min_support=0.05, min_confidence=0.6).collect()
+    want = surest(rows, labelled, 0.05, 0.6)
+    assert {r.page_id: r.mined_confidence for r in got} == dict(enumerate(want)) and len(set(want)) > 5
+
+
+@pytest.mark.parametrize("mixed", [True, False])
+def test_rules_over_the_rarer_tokens_of_long_urls(make, mixed):
+    rnd = random.Random(4)
+    rows, labels = [], []
+    for n in range(2000):
+        tracks = rnd.sample(range(120), 36) if mixed else range(40) if n % 4 else []
+        keys = [f"track{k}" for k in tracks] + ["ra"] * (n % 10 == 1) + ["rb"] * (n % 6 == 1)
+        rows.append((n, f"https://shop.org/?{'&'.join(f'{k}x=1' for k in keys)}"))
+        if n % 3 != 2:
+            labels.append((n, 0 if n % 30 == 1 else 1))
+    got = judge_urls(make(rows, "page_id long, url string"), make(labels, "doc_id long, quality int"), [], min_support=0.02, min_confidence=0.9).collect()
+    assert {r.page_id for r in got if r.verdict == "block"} == {n for n in range(2000) if n % 30 == 1}
+    assert {r.mined_confidence for r in got} == {None, 1.0}
+
+
 def test_urls_without_labels_or_pages(make):
     none = make([], "doc_id long, quality int")
     got = judge_urls(make([(1, "http://a.org/x")], "page_id long, url string"), none, URL_RULES).collect()
