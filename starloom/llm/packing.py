@@ -31,7 +31,8 @@ from starloom.llm.tables import ship, stored
 WINDOW = 2048
 #: Windows in a span. Only the last window of a span may be short.
 SPAN = 1024
-#: Sources with a queue of their own; any beyond the most frequent share the last queue.
+#: Queues, if not more sources have a target share: those and the most frequent ones have a queue of
+#: their own, any others have the last one in common.
 QUEUES = 1024
 
 
@@ -143,7 +144,7 @@ def pack(
     from the text's beginning, ``offset`` within the sequence, where pieces follow each other without
     a gap from 0. ``padded_length`` is the window, or for a span's short last sequence the least power
     of two that holds it. ``shares`` gives target proportions by source (missing: 0, served last);
-    without it they are those of the whole table. A null text counts as empty and has the end id alone.
+    without it they are those of the whole table. Sources beyond QUEUES without a share have one queue. A null text counts as empty and has the end id alone.
     A null source is a queue of its own. Repeated rows and null ids are packed like others. An empty
     table gives no pieces. Other columns are not read.
     """
@@ -153,8 +154,10 @@ def pack(
         F.col(text_column).cast("string").alias("text"),
         F.col(source_column).cast("string").alias("source"),
     )
-    counted = source.groupBy("source").count().orderBy(F.desc("count"), F.asc_nulls_first("source"))
-    names = [r["source"] for r in counted.limit(QUEUES - 1).collect()]
+    targets = [n for n in shares or {} if n is not None]
+    has_share = F.coalesce(F.col("source").isin(targets), F.lit(None in (shares or {})))
+    counted = source.groupBy("source").count().orderBy(has_share.desc(), F.desc("count"), F.asc_nulls_first("source"))
+    names = [r["source"] for r in counted.limit(max(QUEUES - 1, len(shares or {}))).collect()]
     queue_of = {name: k for k, name in enumerate(names)}
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -143,6 +143,18 @@ def test_windows_have_the_target_shares(make, library, prose):
     assert all(abs(n - 384) <= 2 for n in first)
 
 
+def test_a_share_counts_for_a_source_beyond_the_most_frequent(make, library, prose):
+    rows = [(n, prose(2), f"s{n // 2}") for n in range(2200)] + [(5000, prose(200), "rare"), (5001, prose(200), None)]
+    rows += [(6000 + n, prose(60), "often") for n in range(5)]
+    pieces = pack(make(rows, SCHEMA), BYTES, shares={"rare": 1, None: 1, "often": 2}, window=64, span=32).collect()
+    sequences = check_pieces(pieces, rows, library, 64)
+    for number in range(12):
+        given = {}
+        for p in sequences[number]:
+            given[min(p.doc_id, 6000)] = given.get(min(p.doc_id, 6000), 0) + p.length
+        assert abs(given[5000] - 16) <= 2 and abs(given[5001] - 16) <= 2 and abs(given[6000] - 32) <= 2
+
+
 @pytest.mark.parametrize("quotas", [[5], [0, 7], [1000, 1, 1, 0, 333], [3] * 50, [100_000, 17, 2, 9000]])
 def test_rounds_give_each_quota_once_and_fill_windows(quotas):
     served = play(np.array(quotas), 64)
