@@ -113,8 +113,8 @@ def _bucket(key: Column, bounds: list[tuple]) -> Column:
     return _let(key, found)
 
 
-def with_next(docs: DataFrame, order: str, carried: list[str]) -> DataFrame:
-    """Every row with ``next_...`` of the columns ``carried`` of the row after it, by rising ``order``.
+def with_next(docs: DataFrame, order: str, carried: dict[str, Column]) -> DataFrame:
+    """Every row with the columns ``carried``, and ``next_...`` of the row after it, by rising ``order``.
 
     The last row is followed by the first. Rows are dealt into ranges; the first row of each stands
     once more at the end of the range before it, so that rows are shuffled once and no task sees more
@@ -130,17 +130,17 @@ def with_next(docs: DataFrame, order: str, carried: list[str]) -> DataFrame:
     least = keyed.select("_key").repartitionByRange(ranges, "_key").groupBy(F.spark_partition_id()).agg(F.min("_key").alias("_key"))
     bounds = sorted(tuple(row["_key"]) for row in least.collect())
     if not bounds:
-        return docs.select("*", *[F.col(c).alias(f"next_{c}") for c in carried])
+        return docs.withColumns(carried | {f"next_{name}": value for name, value in carried.items()})
     before = [(*key, (n - 1) % len(bounds) + 1 if n else len(bounds)) for n, key in enumerate(bounds)]
     firsts = docs.sparkSession.createDataFrame(before, f"{_KEY}, _range int").select(
         F.struct("known", "id", "place").alias("_key"), "_range"
     )
     own = keyed.withColumn("_range", _bucket(F.col("_key"), bounds)).withColumn("_again", F.lit(False))
     again = keyed.join(F.broadcast(firsts), "_key").withColumn("_again", F.lit(True))
-    both = own.unionByName(again.select(*own.columns))
+    both = own.unionByName(again.select(*own.columns)).withColumns(carried)
     following = Window.partitionBy("_range").orderBy("_again", "_key")
-    led = [F.lead(c).over(following).alias(f"next_{c}") for c in carried]
-    return both.select(*docs.columns, "_again", *led).where(~F.col("_again")).drop("_again")
+    led = {f"next_{name}": F.lead(name).over(following) for name in carried}
+    return both.withColumns(led).where(~F.col("_again")).drop("_again", "_range", "_key")
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -158,7 +158,7 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     plain = docs.select(
         F.col(f"`{id_column}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text")
     )
-    beside = with_next(plain.withColumn("kept", sketch(F.col("text"))), "id", ["text", "kept"])
+    beside = with_next(plain, "id", {"text": F.col("text"), "kept": sketch(F.col("text"))})
     n_chars = F.char_length("text")
     half = F.floor(n_chars / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n_chars - half), F.substring("next_text", F.lit(1), half))
