@@ -19,7 +19,10 @@ KEPT_PAGE = "NextSong"
 def staged_events(
     raw: DataFrame, keys: Mapping[str, str] = LOG_KEYS, strict: bool = False
 ) -> DataFrame:
-    """Typed log records without those of other pages."""
+    """Typed log records without those of other pages.
+
+    ``read_log`` with ``page`` leaves them out earlier, before their other fields are parsed.
+    """
     return drop_where_not_equal(typed_log(raw, keys, strict), "page", KEPT_PAGE)
 
 
@@ -43,8 +46,9 @@ def load_events(
     ``enforce`` stops at the first value of a kept record that does not convert; without it the
     sources are read once more to count.
     """
+    kept = read_log(warehouse.spark, paths, file_glob, keys, page=KEPT_PAGE)
+    warehouse.append("staging_events", typed_log(kept, keys, enforce), enforce)
     raw = read_log(warehouse.spark, paths, file_glob, keys)
-    warehouse.append("staging_events", staged_events(raw, keys, enforce), enforce)
     return _losses(raw, keys, warehouse.spec("staging_events"), enforce)
 
 

@@ -1,5 +1,6 @@
 """The whole load on the micro fixture, with its edge cases worked out by hand."""
 
+import json
 from datetime import datetime
 from decimal import Decimal
 
@@ -338,3 +339,62 @@ def test_an_apostrophe_in_the_location(spark, warehouse, log_dir, song_dir, tmp_
     other = replace(warehouse, location=str(tmp_path / "it's here"))
     run(other, log_dir, song_dir)
     assert other.read("songplays").count() == 9
+
+
+def nested(depth):
+    return '{"a":' * depth + '"}{\\" {"' + "}" * depth
+
+
+def test_records_of_any_depth(spark, tmp_path):
+    deep = [f'{{"song_id": "S{d}", "title": {nested(d)}, "year": {d}}}' for d in (1, 2, 5, 7, 40, 300)]
+    (tmp_path / "a.json").write_text("[" + ",\n".join(deep) + "]")
+    (tmp_path / "b.json").write_text("".join(deep[:4]))
+    got = rows(typed_songs(read_songs(spark, str(tmp_path)), strict=True).select("song_id", "year"))
+    want = [(f"S{d}", d) for d in (1, 2, 5, 7, 40, 300)]
+    assert got == sorted(want + want[:4])
+    log = tmp_path / "log"
+    log.mkdir()
+    (log / "one.json").write_text("\n".join(f'{{"page": "NextSong", "ts": {d}, "x": {nested(d)}}} {{"ts": "0"}}' for d in (1, 9, 40)))
+    assert sorted(r.ts for r in read_log(spark, str(log)).collect()) == ["0", "0", "0", "1", "40", "9"]
+    (log / "two.json").write_text('{"ts": ' + nested(9)[:-1] + "}")
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_log(spark, str(log)).collect()
+
+
+def test_large_files_over_many_lines_are_read_by_several_tasks(spark, tmp_path):
+    catalogue = tmp_path / "songs"
+    catalogue.mkdir()
+    record = lambda k: {"song_id": f"S{k}", "title": '}{ "q" \\ [' + "x" * (k % 90), "year": k, "more": {"a": [{"b": {}}, k]}}
+    several = [json.dumps(record(k), indent=k % 4) for k in range(3000)]
+    (catalogue / "array.json").write_text("[\n" + ",\n".join(several) + "\n]\n")
+    (catalogue / "stream.json").write_text("\n".join(several[:500]) + " ".join(several[500:1000]))
+    (catalogue / "small.json").write_text(several[7])
+    (catalogue / "empty.json").write_text("[\n\n]" + " " * 30_000)
+    split, usual = "16k", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        raw = read_songs(spark, str(catalogue))
+        got = rows(typed_songs(raw, strict=True).select("song_id", "title", "year"))
+        assert got == sorted([(f"S{k}", record(k)["title"], k) for k in [*range(3000), *range(1000), 7]])
+        assert read_songs(spark, f"{catalogue}/array.json").count() == 3000
+        for n, wrong in enumerate(["[\n" + ",\n".join(several), ",\n".join(several) + "\n}", "x\n" + "\n".join(several), "]" + "\n".join(several) + "["]):
+            folder = tmp_path / f"wrong{n}"
+            folder.mkdir()
+            (folder / "a.json").write_text(wrong)
+            with pytest.raises(Exception, match="MALFORMED"):
+                read_songs(spark, str(folder)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+
+
+def test_records_of_other_pages_are_left_out_before_they_are_parsed(spark, log_dir, tmp_path):
+    kept = read_log(spark, log_dir, page="NextSong")
+    want = read_log(spark, log_dir).where("page IS NULL OR page = 'NextSong'")
+    assert rows(kept) == rows(want) and kept.count() < read_log(spark, log_dir).count()
+    (tmp_path / "a.json").write_text('{"page": "Home", "ts": 1, "page": "NextSong"}\n{"p": {"q": "Home"}, "ts": 2}\n{"ts": 3}')
+    assert sorted(r.ts for r in read_log(spark, str(tmp_path), page="NextSong").collect()) == ["1", "2", "3"]
+    keys = {"p.q": "page", "ts": "ts"}
+    assert sorted(r.ts for r in read_log(spark, str(tmp_path), keys=keys, page="NextSong").collect()) == ["1", "3"]
+    (tmp_path / "b.json").write_text('{"page": "Home", "ts": }')
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST|malformed"):
+        read_log(spark, str(tmp_path), page="NextSong").collect()
