@@ -1,6 +1,6 @@
 """Texts of an Arrow batch as flat numpy arrays, and hashes of their words and pieces.
 
-Everything works on slices of a few million characters at a time, so memory does not grow
+Everything works on slices of half a million bytes at a time, so memory does not grow
 with the batch; a single longer text is a slice of its own.
 """
 
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)

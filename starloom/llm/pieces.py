@@ -2,29 +2,34 @@
 
 A text is cut into pre-tokens for a whole slice of texts at a time. Each different
 pre-token goes through the ``tokenizers`` library once per worker; its ids are kept by the
-hash of its characters. Texts that the split is not proven for (special strings, and for the
-lower-casing vocabulary letters outside Latin) go through the library whole. The ids are
-those of the library in every case.
+hash of its characters. The classes and lower cases of all code points are those of the library. Words
+of the lower-casing vocabulary that its normalization may join or rewrite, such as letters with
+marks of their own, go through the library one by one, and so do texts that hold special strings or,
+in the other vocabulary, unassigned code points. The ids are those of the library in every case.
+
+A text of any length is worked on as it is, in a time that grows with its length; null counts as empty.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import unicodedata
 from functools import lru_cache
 
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
 import numpy as np  # noqa: E402
 import pyarrow as pa  # noqa: E402
-import regex  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
 from starloom.llm.bytewise import codepoints, slices, span_hashes  # noqa: E402
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
-#: Code points below this are proven to be split, lowered and composed as the library does.
-LATIN_END = 0x250
+#: Code points, and what marks those of words that the library takes whole.
+POINTS = 0x110000
+#: Code points of white space (fixed values).
+BLANKS = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: More different pre-tokens than this are not kept; the table begins anew.
 MAX_KEPT = 500_000
 
@@ -45,20 +50,44 @@ BYTE_LETTERS = dict(enumerate(byte_letters()))
 
 @lru_cache(maxsize=1)
 def classes() -> np.ndarray:
-    """The class of every code point below LATIN_END."""
-    table = np.full(LATIN_END, OTHER, np.uint8)
-    for code in range(LATIN_END):
-        char = chr(code)
-        for kind, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (SPACE, r"\p{White_Space}")):
-            if regex.fullmatch(pattern, char):
-                table[code] = kind
+    """The class of every code point."""
+    kinds = {"L": LETTER, "N": NUMBER}
+    table = np.fromiter((kinds.get(unicodedata.category(chr(k))[0], OTHER) for k in range(POINTS)), np.uint8, POINTS)
+    table[BLANKS] = SPACE
     return table
 
 
+@lru_cache(maxsize=1)
+def unassigned() -> np.ndarray:
+    """Where a code point has no character here; the library may know one."""
+    return np.fromiter((unicodedata.category(chr(k)) == "Cn" for k in range(POINTS)), bool, POINTS)
+
+
 @lru_cache(maxsize=1)
 def lowered() -> np.ndarray:
-    """Lower case of every code point below LATIN_END; U+0130, which becomes two, is left out."""
-    return np.array([ord(c) if len(c := chr(k).lower()) == 1 else k for k in range(LATIN_END)], np.uint32)
+    """The lower case of every code point that has one of a single code point; others stay."""
+    table = np.arange(POINTS, dtype=np.uint32)
+    for k in range(POINTS):
+        lower = chr(k).lower()
+        if len(lower) == 1:
+            table[k] = ord(lower)
+    return table
+
+
+@lru_cache(maxsize=1)
+def unsettled() -> np.ndarray:
+    """Where lower-casing and canonical composition may do more than ``lowered`` says, but for white space."""
+    table = unassigned().copy()
+    for k in np.flatnonzero(~table).tolist():
+        char = chr(k)
+        parts = unicodedata.decomposition(char)
+        if parts and not parts.startswith("<"):
+            table[int(parts.split()[-1], 16)] = True  # it may be joined to what stands before it
+        if unicodedata.combining(char) or len(char.lower()) > 1 or not unicodedata.is_normalized("NFC", char):
+            table[k] = True
+    table[[*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)]] = True  # Hangul vowels and final consonants
+    table[BLANKS] = False
+    return table
 
 
 def _mark_contractions(points: np.ndarray, kinds: np.ndarray, begins: np.ndarray, row_start: np.ndarray) -> None:
@@ -83,7 +112,7 @@ def _mark_contractions(points: np.ndarray, kinds: np.ndarray, begins: np.ndarray
 
 
 def split_gpt(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the pre-tokens of byte_bpe files; all code points below LATIN_END."""
+    """Starts and ends of the pre-tokens of byte_bpe files."""
     kinds = classes()[points]
     row_start = np.zeros(len(points) + 1, bool)
     row_start[offsets] = True
@@ -102,8 +131,13 @@ def split_gpt(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, np.append(starts[1:], len(points))
 
 
-def split_clip(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the pre-tokens of word_bpe files in lowered text; blanks are in none."""
+def split_clip(
+    points: np.ndarray, offsets: np.ndarray, whole: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the pre-tokens of word_bpe files in lowered text; blanks are in none.
+
+    Words marked in ``whole`` are not cut.
+    """
     kinds = classes()[points]
     row_start = np.zeros(len(points) + 1, bool)
     row_start[offsets] = True
@@ -112,12 +146,29 @@ def split_clip(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     begins[1:] |= kinds[1:] != kinds[:-1]
     begins[0] = True
     _mark_contractions(points, kinds, begins, row_start)
+    if whole is not None and whole.any():
+        blank = kinds == SPACE
+        word_start = row_start | blank
+        word_start[1:] |= blank[:-1]
+        begins = np.where(whole, word_start, begins)
     starts = np.flatnonzero(begins)
     ends = np.append(starts[1:], len(points))
     kept = kinds[starts] != SPACE
     return starts[kept], ends[kept]
 
 
+def in_words_with(points: np.ndarray, offsets: np.ndarray, marked: np.ndarray) -> np.ndarray:
+    """Whether each code point is in a word, between blanks of its row, that has a marked code point."""
+    blank = classes()[points] == SPACE
+    starts = blank.copy()
+    starts[1:] |= blank[:-1]
+    starts[offsets[:-1][offsets[:-1] < len(points)]] = True
+    word = np.cumsum(starts)
+    found = np.zeros(int(word[-1]) + 1, bool)
+    found[word[marked]] = True
+    return found[word] & ~blank
+
+
 class Encoder:
     """Ids of whole texts as the library gives them for one vocabulary file, without added ids.
 
@@ -177,10 +228,17 @@ class Encoder:
         missing = [k for k, x in enumerate(found) if x is None]
         if missing:
             where = first[missing]
-            raw = points.astype("<u4", copy=False).tobytes()
+            whole = points[starts[where]] >= POINTS
+            raw = np.where(points >= POINTS, points - np.uint32(POINTS), points).astype("<u4", copy=False).tobytes()
             texts = [raw[4 * a : 4 * b].decode("utf-32-le") for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)]
             count = len(self.entries)
-            self._keep([keys[k] for k in missing], self._piece_ids(texts))
+            if whole.any():
+                words = iter(self._library_ids([t for t, w in zip(texts, whole, strict=True) if w]))
+                cut = iter(self._piece_ids([t for t, w in zip(texts, whole, strict=True) if not w]))
+                merged = [next(words if w else cut) for w in whole]
+            else:
+                merged = self._piece_ids(texts)
+            self._keep([keys[k] for k in missing], merged)
             for n, k in enumerate(missing):
                 found[k] = count + n
         return np.array(found, np.int64)[inverse]
@@ -188,8 +246,12 @@ class Encoder:
     def _slice(self, points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(entry of each piece, ids in each piece, pieces before each row)."""
         if self.kind == "clip":
-            points = lowered()[points]
-            starts, ends = split_clip(points, offsets)
+            marked = unsettled()[points]
+            whole = in_words_with(points, offsets, marked) if marked.any() else None
+            raw, points = points, lowered()[points]
+            starts, ends = split_clip(points, offsets, whole)
+            if whole is not None:  # as they are in the text, and apart from lowered pieces
+                points = np.where(whole, raw + np.uint32(POINTS), points)
         else:
             starts, ends = split_gpt(points, offsets)
         entries = self._entries_of(points, starts, ends)
@@ -200,12 +262,9 @@ class Encoder:
         for first, end, data, offsets in slices(texts):
             points, at = codepoints(data, offsets)
             rows = end - first
-            bad = (points >= LATIN_END) | (points == 0x130)
-            counts = np.zeros(len(points) + 1, np.int64)
-            np.cumsum(bad, out=counts[1:])
-            plain = counts[at[1:]] == counts[at[:-1]]
-            if self.kind is None:
-                plain[:] = False
+            plain = np.full(rows, self.kind is not None)
+            if self.kind == "gpt" and (bad := unassigned()[points]).any():
+                plain[np.searchsorted(at, np.flatnonzero(bad), side="right") - 1] = False
             raw = data.tobytes()
             for mark in self.special:
                 code, where = mark.encode(), -1

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.bytewise import utf8
-from starloom.llm.pieces import BYTE_LETTERS, LATIN_END, Encoder, encoder, lowered, split_clip, split_gpt
+from starloom.llm.pieces import BYTE_LETTERS, Encoder, encoder, lowered, split_clip, split_gpt, unassigned, unsettled
 from starloom.llm.tables import ship
 
 
@@ -30,6 +30,7 @@ def whole_tokens(path: str) -> dict[str, int]:
         return {}
     with open(path, encoding="utf-8") as file:
         vocabulary = json.load(file)["model"]["vocab"]
+    open_ = unsettled() if tokens.kind == "clip" else unassigned()
     letters = {letter: byte for byte, letter in BYTE_LETTERS.items()}
     candidates = {}
     for token, number in vocabulary.items():
@@ -38,7 +39,7 @@ def whole_tokens(path: str) -> dict[str, int]:
             text = bytes(letters[c] for c in token).decode("utf-8")
         except (KeyError, UnicodeDecodeError):
             continue
-        if text and text not in tokens.special and all(ord(c) < LATIN_END and ord(c) != 0x130 for c in text):
+        if text and text not in tokens.special and not any(open_[ord(c)] for c in text):
             candidates.setdefault(text, []).append(number)
     texts = list(candidates)
     proven = {}

@@ -39,6 +39,30 @@ def test_encoder_gives_the_ids_of_the_library(path, library):
     assert encoder.counts(pa.array(texts, pa.string())).tolist() == [len(x) for x in found]
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_every_code_point_is_split_and_lowered_as_the_library_does(path, library):
+    codes = [k for k in range(0x110000) if not 0xD800 <= k < 0xE000]
+    texts = [" ".join(f"a{chr(k)}1{chr(k)}!{chr(k)}B {chr(k)}{chr(k)}" for k in codes[n : n + 40]) for n in range(0, len(codes), 40)]
+    encoder = Encoder(path)
+    for begin in range(0, len(texts), 2000):
+        part = texts[begin : begin + 2000]
+        want = [x.ids for x in library[path].encode_batch_fast(part, add_special_tokens=False)]
+        assert [x.tolist() for x in encoder.ids(pa.array(part, pa.string()))] == want
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_texts_of_many_scripts_and_marks(path, library):
+    rnd = random.Random(6)
+    letters = [*"Əəɔ Ɛ Ⱥ ⱥ Σσς Щщ ña é n\u0303 e\u0301\u0323 中文 한국 \u1112\u1161\u11ab ๆไทย हिन्दी עִב 😀👩‍🔧 “‘’” – — … \u2028\u3000 ﬁ Å Ω ǅ İı 1²Ⅷ٣ '", *"'s 'LL the The"]
+    texts = ["Əli", "ƏLİ Ɛ", "İstanbul'da", "\u0301 x", "x \u0301y"] + ["".join(rnd.choice(letters) for _ in range(rnd.randint(1, 80))) for _ in range(3000)]
+    encoder = Encoder(path)
+    asked = []
+    whole = encoder._library_ids
+    encoder._library_ids = lambda some: asked.extend(some) or whole(some)
+    assert [x.tolist() for x in encoder.ids(pa.array(texts, pa.string()))] == [ids(library, path, t) for t in texts]
+    assert not asked if path == BYTES else all(not any(c in t for c in " \u2028\u3000") for t in asked)
+
+
 def test_whole_tokens_are_one_token_each(library):
     proven = whole_tokens(BYTES)
     assert len(proven) > 45_000
@@ -47,6 +71,7 @@ def test_whole_tokens_are_one_token_each(library):
 
 
 def odd_rows():
+    """Texts of odd characters, nulls, repeats and a text of megabytes."""
     return [(n, t, None if n % 3 == 0 else f"s{n % 2}") for n, t in enumerate(ODD)] + [(None, "null id", "s1"), (3, ODD[3], None)] * 2
 
 
