@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.bytewise import ALNUM, folded, ngram_hashes, row_bounds, slices, span_hashes, words
-from starloom.llm.tables import beside, ship, stored
+from starloom.llm.tables import beside, carried, quoted, ship, stored
 
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Words of benchmark items in a block.
@@ -175,13 +175,18 @@ def without_contaminated(
     item_column: str = "item_id",
     item_text_column: str = "text",
 ) -> DataFrame:
-    """``docs`` without the rows whose texts contain an item, as ``contaminated`` finds them."""
+    """``docs`` without the rows whose texts contain an item, as ``contaminated`` finds them.
+
+    Columns and their order stay, whatever their names, and so do null and empty texts, repeated rows of
+    clean texts and an empty table.
+    """
     source, items = _source(docs, id_column, text_column), _items(benchmark, item_column, item_text_column)
     found = _found(source, items, threshold, n, min_words)
-    gone = found.select(F.col("id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
-    text_hash = F.xxhash64(F.col(text_column).cast("string"))
-    same = F.col(id_column).cast("long").eqNullSafe(F.col("gone_id")) & (text_hash == F.col("gone_hash"))
-    return docs.join(beside(stored(gone)), same, "left_anti")
+    gone = found.select(F.col("id").alias("its_id"), F.col("text_hash").alias("its_hash")).distinct()
+    text = F.col(quoted(text_column)).cast("string")
+    rows = carried(docs, id=F.col(quoted(id_column)).cast("long"), text_hash=F.xxhash64(text))
+    same = F.col("id").eqNullSafe(F.col("its_id")) & (F.col("text_hash") == F.col("its_hash"))
+    return rows.join(beside(stored(gone)), same, "left_anti").select("row.*")
 
 
 def _source(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:

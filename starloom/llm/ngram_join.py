@@ -39,7 +39,7 @@ from pyspark.sql.window import Window
 
 from starloom.llm.bytewise import BLANK, LOWER, mix, ngram_hashes, row_bounds, slices, span_hashes, words
 from starloom.llm.graph import components
-from starloom.llm.tables import beside, ship, stored
+from starloom.llm.tables import beside, carried, quoted, ship, stored
 
 #: N-grams of target sets in a block, and of the sets compared with them in one go.
 BLOCK_GRAMS = 1_000_000
@@ -400,7 +400,9 @@ def without_similar(
     """``docs`` with one row of each group of linked rows, that of the smallest id (null: the largest).
 
     Of rows of one id in a group the one with the smallest hash of its text stays; of rows with the
-    same id and text, one. Rows with an empty set are in no group and all stay.
+    same id and text, one. Rows with an empty set (null and empty texts) are in no group and all stay.
+    Columns and their order stay, whatever their names; an empty table stays one. Texts of any length
+    are hashed whole.
     """
     joined = stored(NgramJoin(docs, percent, n, id_column, text_column).run().where("component_name IS NOT NULL"))
     order = F.struct(F.col("id").isNull().alias("last"), "id", "text_hash")
@@ -411,14 +413,13 @@ def without_similar(
     gone = rows.where(~same).select("id", "text_hash").distinct()
     again = rows.where(same).groupBy("id", "text_hash").count().where("count > 1").select("id", "text_hash")
 
-    def at(name: str) -> Column:
-        text_hash = F.xxhash64(F.col(text_column).cast("string"))
-        return F.col(id_column).cast("long").eqNullSafe(F.col(f"{name}_id")) & (text_hash == F.col(f"{name}_hash"))
+    def keyed(table: DataFrame) -> DataFrame:
+        return beside(stored(table.select(F.col("id").alias("its_id"), F.col("text_hash").alias("its_hash"))))
 
-    def keyed(table: DataFrame, name: str) -> DataFrame:
-        return beside(stored(table.withColumnsRenamed({"id": f"{name}_id", "text_hash": f"{name}_hash"})))
-
-    left = docs.join(keyed(gone, "gone"), at("gone"), "left_anti")
-    again = keyed(again, "again")
-    repeated = left.join(again, at("again"), "left_semi").dropDuplicates([id_column, text_column])
-    return left.join(again, at("again"), "left_anti").unionAll(repeated)
+    text = F.col(quoted(text_column)).cast("string")
+    rows = carried(docs, id=F.col(quoted(id_column)).cast("long"), text_hash=F.xxhash64(text), text=text)
+    at = F.col("id").eqNullSafe(F.col("its_id")) & (F.col("text_hash") == F.col("its_hash"))
+    left = rows.join(keyed(gone), at, "left_anti")
+    again = keyed(again)
+    repeated = left.join(again, at, "left_semi").dropDuplicates(["id", "text"])
+    return left.join(again, at, "left_anti").unionAll(repeated).select("row.*")

@@ -1,7 +1,7 @@
 """Quality classifier: random-indexing word vectors, pooled per text, and a two-layer network.
 
 Every token has a sparse random index vector, fixed by its hash. The vector of a token is the sum of
-the index vectors of its neighbours in the training texts, so tokens of like surroundings have like
+the index vectors of its neighbours in all texts, so tokens of like surroundings have like
 vectors; tokens share a table of fixed size by hash. A text is the mean of its tokens' vectors and
 of its tokens' own index vectors, and a few rates. A network of two layers, in numpy, gives a
 logit, which a temperature fitted on a part of the training rows turns into a probability.
@@ -17,11 +17,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.bytewise import BLANK, LOWER, mix, row_bounds, slices, span_hashes, words
-from starloom.llm.tables import beside, ship, stored
+from starloom.llm.tables import beside, carried, quoted, ship, stored
 
 #: Labelled rows that are learned from at most, those of the smallest hashes.
 TRAIN_ROWS = 12_000
@@ -29,72 +30,95 @@ TRAIN_ROWS = 12_000
 BUCKETS, WIDTH, SPARSE = 1 << 14, 48, 4
 #: Neighbours on either side.
 REACH = 2
+#: Tokens whose neighbours are added up at a time, and tasks that add up the sums of all tasks.
+CONTEXT_TOKENS, ADDERS = 1 << 16, 16
 HIDDEN, ROUNDS, BATCH, RATE = 32, 40, 256, 3e-3
 EXTRA = 10
 
 
+def index_entries() -> tuple[np.ndarray, np.ndarray]:
+    """Of the random index vector of every bucket the places of its SPARSE entries, and these: 1 or -1."""
+    rows = np.arange(BUCKETS, dtype=np.uint64)
+    drawn = [mix(rows * np.uint64(SPARSE) + np.uint64(k + 1)) for k in range(SPARSE)]
+    places = np.stack([(d % np.uint64(WIDTH)).astype(np.int64) for d in drawn], axis=1)
+    return places, np.stack([np.where(d >> np.uint64(63), 1.0, -1.0) for d in drawn], axis=1)
+
+
 def index_vectors() -> np.ndarray:
-    """The random index vector of every bucket: SPARSE entries of 1 or -1."""
+    """The random index vector of every bucket, written out."""
     out = np.zeros((BUCKETS, WIDTH), np.float32)
-    rows = np.arange(BUCKETS, dtype=np.uint64)
-    for k in range(SPARSE):
-        drawn = mix(rows * np.uint64(SPARSE) + np.uint64(k + 1))
-        place = (drawn % np.uint64(WIDTH)).astype(np.int64)
-        sign = np.where(drawn >> np.uint64(63), 1.0, -1.0)
-        out[np.arange(BUCKETS), place] += sign
+    for place, sign in zip(*(x.T for x in index_entries()), strict=True):
+        out[np.arange(BUCKETS), place] += sign.astype(np.float32)
     return out
 
 
+def _token_buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket, last byte and row of each token: a run between blanks, letters in lower case."""
+    starts, ends, row = words(data, offsets, BLANK)
+    return (span_hashes(LOWER[data], starts, ends) % np.uint64(BUCKETS)).astype(np.int64), ends - 1, row
+
+
 def token_rows(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(bucket of each token, rates) of each text. Tokens are runs between blanks, letters in lower case.
+    """(bucket of each token, rates) of each text.
 
     Rates are about form: length, the parts of bytes that are capitals, digits, marks or blanks, the
     part of tokens that repeat the one before, that differ at all, that end in a mark, and the mean
     length of tokens and lines.
     """
     for first, end, data, offsets in slices(texts):
-        starts, ends, row = words(data, offsets, BLANK)
-        buckets = (span_hashes(LOWER[data], starts, ends) % np.uint64(BUCKETS)).astype(np.int64)
+        buckets, last, row = _token_buckets(data, offsets)
         capital = (data >= 65) & (data <= 90)
         digit = (data >= 48) & (data <= 57)
         mark = (data < 128) & ~BLANK[data] & ~digit & ~capital & ~((data >= 97) & (data <= 122))
-        sums = {}
-        for name, flag in (("capital", capital), ("digit", digit), ("mark", mark), ("blank", BLANK[data]), ("line", data == 10)):
-            sums[name] = np.concatenate(([0], np.cumsum(flag)))
-        marked = np.concatenate(([0], np.cumsum(mark[np.maximum(ends - 1, 0)])))
+        flags = {"capital": capital, "digit": digit, "mark": mark, "blank": BLANK[data], "line": data == 10}
+        marked = mark[last]
         same = np.zeros(len(buckets), bool)
         same[1:] = (buckets[1:] == buckets[:-1]) & (row[1:] == row[:-1])
-        repeated = np.concatenate(([0], np.cumsum(same)))
         bounds = row_bounds(row, end - first).tolist()
         for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
             low, high = int(offsets[k]), int(offsets[k + 1])
             size, count = max(1, high - low), max(1, b - a)
-            found = {name: x[high] - x[low] for name, x in sums.items()}
+            found = {name: np.count_nonzero(flag[low:high]) for name, flag in flags.items()}
             tokens = buckets[a:b]
             rates = [
                 np.log1p(high - low) / 10,
                 *[found[name] / size for name in ("capital", "digit", "mark", "blank")],
-                (repeated[b] - repeated[a]) / count,
+                np.count_nonzero(same[a:b]) / count,
                 len(np.unique(tokens)) / count,
-                (marked[b] - marked[a]) / count,
+                np.count_nonzero(marked[a:b]) / count,
                 min(size / count, 50) / 50,
                 min(size / (found["line"] + 1), 2000) / 2000,
             ]
             yield tokens, np.array(rates, np.float32)
 
 
-def context_sums(tokens: np.ndarray, indexes: np.ndarray, into: np.ndarray) -> None:
-    """Adds the index vectors of each token's neighbours to its row."""
-    for gap in range(1, REACH + 1):
-        if len(tokens) > gap:
-            np.add.at(into, tokens[gap:], indexes[tokens[:-gap]])
-            np.add.at(into, tokens[:-gap], indexes[tokens[gap:]])
+def context_sums(texts: pa.Array, into: np.ndarray) -> None:
+    """Adds the index vectors of each token's neighbours in its text to the row of its bucket; whole numbers."""
+    places, signs = _entries()
+    for _, _, data, offsets in slices(texts):
+        buckets, _, row = _token_buckets(data, offsets)
+        for begin in range(0, len(buckets), CONTEXT_TOKENS):
+            some, of = (x[begin : begin + CONTEXT_TOKENS + REACH] for x in (buckets, row))
+            cells, values = [], []
+            for gap in range(1, REACH + 1):
+                # Pairs belong to the run in which the first of the two lies.
+                near = np.flatnonzero(of[gap:] == of[:-gap])
+                near = near[near < CONTEXT_TOKENS]
+                left, right = some[near], some[near + gap]
+                for token, neighbour in ((left, right), (right, left)):
+                    cells.append((token[:, None] * WIDTH + places[neighbour]).ravel())
+                    values.append(signs[neighbour].ravel())
+            if cells:
+                into += np.bincount(np.concatenate(cells), np.concatenate(values), len(into)).astype(np.int64)
 
 
 def pooled(tokens: np.ndarray, rates: np.ndarray, vectors: np.ndarray, indexes: np.ndarray) -> np.ndarray:
     """A text as one vector; one without tokens has zeros for its tokens."""
     if not len(tokens):
         return np.concatenate((np.zeros(2 * WIDTH, np.float32), rates))
+    if len(tokens) > BUCKETS:
+        counts = np.bincount(tokens, minlength=BUCKETS) / len(tokens)
+        return np.concatenate((counts @ vectors, counts @ indexes, rates)).astype(np.float32)
     return np.concatenate((vectors[tokens].mean(0), indexes[tokens].mean(0), rates))
 
 
@@ -185,6 +209,44 @@ def _indexes() -> np.ndarray:
     return _kept["indexes"]
 
 
+def _entries() -> tuple[np.ndarray, np.ndarray]:
+    if "entries" not in _kept:
+        _kept["entries"] = index_entries()
+    return _kept["entries"]
+
+
+def context_vectors(texts: DataFrame) -> np.ndarray:
+    """The vector of every bucket, of length 1, from the neighbours of its tokens in all ``texts`` (one column).
+
+    Each task adds up its texts, some tasks add up theirs, a last one adds up these. Sums are whole
+    numbers, so the vectors do not depend on how texts are dealt.
+    """
+    size = BUCKETS * WIDTH
+    schema = "slot int, sums binary"
+
+    def row(total: np.ndarray) -> pa.RecordBatch:
+        slot = TaskContext.get().partitionId()
+        return pa.RecordBatch.from_arrays([pa.array([slot], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["slot", "sums"])
+
+    def of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.int64)
+        for batch in batches:
+            context_sums(batch.column(0), total)
+        yield row(total)
+
+    def of_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.int64)
+        for batch in batches:
+            for one in batch.column(1):
+                total += np.frombuffer(one.as_buffer(), np.int64)
+        yield row(total)
+
+    parts = texts.mapInArrow(of_texts, schema).repartition(ADDERS, "slot").mapInArrow(of_sums, schema)
+    whole = np.frombuffer(parts.repartition(1).mapInArrow(of_sums, schema).first()["sums"], np.int64)
+    vectors = whole.reshape(BUCKETS, WIDTH).astype(np.float32)
+    return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-6)
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -195,7 +257,7 @@ def fit(
 ) -> Model:
     """Learns from labelled rows whose crc32(id) mod 5 is not 0, ``train_rows`` of them at most.
 
-    The rows of the smallest hashes of their ids are taken; those with crc32 mod 5 = 1 set the
+    The context vectors of words need no labels and are summed over the texts of all rows. The rows of the smallest hashes of their ids are taken; those with crc32 mod 5 = 1 set the
     temperature only. An id with several labels counts as bad if one says so; null labels and ids say
     nothing. With no rows, or only one label among them, the score is the rate of good ones (0.5
     without rows).
@@ -207,26 +269,10 @@ def fit(
     )
     chosen = marks.where(F.col("id").isNotNull() & (fold != 0)).orderBy(F.xxhash64("id"), "id").limit(train_rows)
     chosen = beside(stored(chosen.withColumn("fold", fold.cast("int"))))
-    source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
+    source = docs.select(F.col(quoted(id_column)).cast("long").alias("id"), F.col(quoted(text_column)).cast("string").alias("text"))
     sample = stored(source.join(chosen, "id").select("text", "mark", "fold"))
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((BUCKETS, WIDTH), np.float32)
-        for batch in batches:
-            for tokens, _ in token_rows(batch.column(0)):
-                context_sums(tokens, _indexes(), total)
-        touched = np.flatnonzero(total.any(1))
-        flat = pa.array(total[touched].reshape(-1), pa.float32())
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(touched) + 1) * WIDTH, pa.int32()), flat)
-        yield pa.RecordBatch.from_arrays([pa.array(touched, pa.int32()), lists], ["bucket", "sums"])
-
-    partial = sample.where("fold <> 1").select("text").coalesce(8).mapInArrow(sums, "bucket int, sums array<float>")
-    whole = partial.select("bucket", F.posexplode("sums")).groupBy("bucket", "pos").agg(F.sum("col").alias("value"))
-    vectors = np.zeros((BUCKETS, WIDTH), np.float32)
-    rows = whole.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("row"))
-    for row in rows.select("bucket", "row.value").toLocalIterator():  # BUCKETS at most
-        vectors[row["bucket"]] = row["value"]
-    vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-6)
+    vectors = context_vectors(source.select("text"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -248,30 +294,26 @@ def fit(
     return Model(vectors, network, float(y.mean()))
 
 
-def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text", least: float = 0.3) -> DataFrame:
-    """``docs`` with held_out (crc32(id) mod 5 is 0), score and predicted (1 from ``least`` on), any such columns replaced."""
+def scored(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text", least: float = 0.3) -> DataFrame:
+    """(row, id, held_out, score, predicted): ``docs`` as structs, with crc32(id) mod 5 = 0, and 1 from ``least`` on.
+
+    ``row`` has every column as it was, also columns of the names of results. Null and empty texts have
+    a score like others; a null id is not held out; repeated rows score alike; an empty table gives no
+    rows. Texts of any length are scored whole, in slices with the others of their batch.
+    """
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def scored(texts):
-        return _series(shared.value.scores(pa.array(texts, pa.string(), from_pandas=True)))
+    @F.arrow_udf("double")
+    def of_text(texts: pa.Array) -> pa.Array:
+        return pa.array(shared.value.scores(texts), pa.float64())
 
-    out = docs.withColumns(
-        {
-            "held_out": F.coalesce(F.crc32(F.col(id_column).cast("string")) % 5 == 0, F.lit(False)),
-            "score": scored(F.col(text_column).cast("string")),
-        }
-    )
+    id_ = F.col(quoted(id_column))
+    held_out = F.coalesce(F.crc32(id_.cast("string")) % 5 == 0, F.lit(False))
+    out = carried(docs, id=id_, held_out=held_out, score=of_text(F.coalesce(F.col(quoted(text_column)).cast("string"), F.lit(""))))
     return out.withColumn("predicted", (F.col("score") >= least).cast("int"))
 
 
-def _series(values: np.ndarray):
-    import pandas as pd
-
-    return pd.Series(values)
-
-
 def classify(
     docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", train_rows: int = TRAIN_ROWS
 ) -> DataFrame:
@@ -282,7 +324,8 @@ def classify(
     read. An empty table gives no rows.
     """
     model = fit(docs, labels, id_column, text_column, train_rows=train_rows)
-    return score(docs.select(id_column, text_column), model, id_column, text_column).select(id_column, "held_out", "score", "predicted")
+    found = scored(docs.select(quoted(id_column), quoted(text_column)), model, id_column, text_column)
+    return found.select(F.col("id").alias(id_column), "held_out", "score", "predicted")
 
 
 def fold_of(number: int) -> int:

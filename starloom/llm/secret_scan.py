@@ -11,11 +11,13 @@ No match crosses the end of a line. Positions are code points, ends exclusive.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from starloom.llm.tables import beside, stored
+from starloom.llm.tables import beside, carried, quoted, stored
 
 #: Base kinds in the order of the digest, with the pattern and the group that must have a length.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -48,6 +50,42 @@ _HINTS = {
 _SPANS = "array<struct<start:bigint,rank:int,end:bigint>>"
 
 
+#: Entries of an array that are walked over in one go.
+_RUN = 256
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, also inside of lambdas."""
+    return F.transform(F.array(value), body).getItem(0)
+
+
+def _runs(values: Column) -> Column:
+    """An array cut into arrays of ``_RUN`` entries."""
+    last = F.floor((F.size(values) - 1) / _RUN).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), last), lambda n: F.slice(values, n * _RUN + 1, _RUN))
+    return F.when(F.size(values) > 0, cut).otherwise(F.slice(F.array(values), 1, 0))
+
+
+def running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """For each entry of an array of longs (0 or more) the sum, or what ``join`` makes, of those before it; 0 before the first.
+
+    An array grows by copying, so entries are walked over in runs of ``_RUN``, then the runs' totals.
+    """
+    empty = F.array().cast("array<bigint>")
+    start = F.struct(F.lit(0).cast("long").alias("upto"), empty.alias("each"))
+
+    def step(state: Column, value: Column) -> Column:
+        return F.struct(join(state["upto"], value).alias("upto"), F.concat(state["each"], F.array(state["upto"])).alias("each"))
+
+    def shifted(walked: Column) -> Column:
+        before = F.aggregate(walked, start, lambda state, run: step(state, run["upto"]), lambda state: state["each"])
+        pairs = F.arrays_zip(walked.alias("run"), before.alias("before"))
+        return F.flatten(F.transform(pairs, lambda p: F.transform(p["run"]["each"], lambda x: join(p["before"], x))))
+
+    walked = F.transform(_let(values, _runs), lambda run: F.aggregate(run, start, step, lambda state: state))
+    return _let(walked, shifted)
+
+
 def _spans(text: Column, kind: str, pattern: str, value_group: int = 0, value_length: int = 0) -> Column:
     """All matches of one kind from left to right, as (start, rank, end), then those with too short a value dropped."""
     rank = KINDS.index(kind)
@@ -57,22 +95,23 @@ def _spans(text: Column, kind: str, pattern: str, value_group: int = 0, value_le
     pieces = F.regexp_extract_all(text, F.lit(piece), F.lit(0))
     found = F.regexp_extract_all(text, F.lit(piece), F.lit(1))
     values = F.regexp_extract_all(text, F.lit(piece), F.lit(value_group + 1)) if value_length else found
-    rows = F.arrays_zip(
-        F.transform(pieces, lambda x: F.length(x)).alias("p"),
-        F.transform(found, lambda x: F.length(x)).alias("f"),
-        F.transform(values, lambda x: F.length(x)).alias("v"),
-    )
-    empty = F.from_json(F.lit("[]"), _SPANS)
+    def kept(pieces: Column, found: Column, values: Column) -> Column:
+        lengths = lambda some: F.transform(some, lambda x: F.length(x).cast("long"))
+        rows = _let(
+            lengths(pieces),
+            lambda p: F.arrays_zip(
+                p.alias("p"), lengths(found).alias("f"), lengths(values).alias("v"), running(p, lambda a, b: a + b).alias("before")
+            ),
+        )
+        fits = F.filter(rows, lambda r: (r["f"] > 0) & (r["v"] >= value_length))
 
-    def step(state: Column, row: Column) -> Column:
-        end = state["at"] + row["p"]
-        span = F.struct((end - row["f"]).alias("start"), F.lit(rank).alias("rank"), end.alias("end"))
-        kept = F.when((row["f"] > 0) & (row["v"] >= value_length), F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct(end.alias("at"), kept.cast(_SPANS).alias("spans"))
+        def span(r: Column) -> Column:
+            end = r["before"] + r["p"]
+            return F.struct((end - r["f"]).alias("start"), F.lit(rank).alias("rank"), end.alias("end"))
 
-    start = F.struct(F.lit(0).cast("long").alias("at"), empty.alias("spans"))
-    walked = F.aggregate(rows, start, step, lambda state: state["spans"])
-    return F.when(_HINTS[kind](text), walked).otherwise(empty)
+        return F.transform(fits, span).cast(_SPANS)
+
+    return F.when(_HINTS[kind](text), kept(pieces, found, values)).otherwise(F.from_json(F.lit("[]"), _SPANS))
 
 
 def _as_text(spans: Column) -> Column:
@@ -167,9 +206,10 @@ def scan_secrets(
     ``spans`` has kind:start:end of every span by start, then kind, joined by commas; ``base_sha256``
     is the SHA-256 of the same for the base kinds alone. Matches of a kind don't overlap, those of
     different kinds may. A null text counts as empty and has no spans. Repeated rows and null ids are
-    kept; other columns are not read. An empty table gives no rows.
+    kept; other columns are not read. An empty table gives no rows. Texts of any length are scanned
+    whole, in a time that grows with their length.
     """
-    source = docs.select(F.col(id_column).alias("_row"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
+    source = docs.select(F.col(quoted(id_column)).alias("_row"), F.coalesce(F.col(quoted(text_column)).cast("string"), F.lit("")).alias("text"))
     scanned = _scanned(source, reach, store_parts=True)
     return scanned.select(
         F.col("_row").alias(id_column),
@@ -185,29 +225,49 @@ def redact_secrets(
 ) -> DataFrame:
     """``docs`` with every span in its texts replaced by ``mask``; overlapping spans become one.
 
-    Columns, their order and the number of rows stay. Null texts stay null.
+    Columns, their order and the number of rows stay, whatever the columns' names, and so do repeated
+    rows and null ids. Null texts stay null, empty ones empty, and an empty table stays one. Texts of any
+    length are scanned whole, in a time that grows with their length.
     """
-    names = docs.columns
-    inner = docs.select(
-        F.struct(*[F.col(c) for c in names if c != text_column]).alias("_kept"),
-        F.col(id_column).alias("_row"),
-        F.col(text_column).isNull().alias("_null"),
-        F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"),
-    )
+    text = F.col(quoted(text_column))
+    inner = carried(docs, _row=F.col(quoted(id_column)), _null=text.isNull(), text=F.coalesce(text.cast("string"), F.lit("")))
     scanned = _scanned(inner, reach, store_parts=False)
-    text = F.col("text")
+    masked = F.when(F.size("_spans") == 0, F.col("text")).otherwise(_masked(F.col("text"), F.col("_spans"), mask))
+    cleaned = F.when(~F.col("_null"), masked)
+    return scanned.select(*[cleaned.alias(c) if c == text_column else F.col(f"row.{quoted(c)}").alias(c) for c in docs.columns])
 
-    def step(state: Column, span: Column) -> Column:
-        between = F.substring(text, (state["at"] + 1).cast("int"), (span["start"] - state["at"]).cast("int"))
-        apart = F.concat(state["out"], between, F.lit(mask))
-        fresh = (span["start"] >= state["at"]) & ((span["start"] > state["at"]) | (state["out"] == ""))
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"), F.when(fresh, apart).otherwise(state["out"]).alias("out")
-        )
 
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    masked = F.aggregate(
-        "_spans", start, step, lambda state: F.concat(state["out"], F.substring(text, (state["at"] + 1).cast("int"), F.length(text)))
-    )
-    cleaned = F.when(F.col("_null"), F.lit(None)).when(F.size("_spans") == 0, text).otherwise(masked)
-    return scanned.select(*[cleaned.alias(c) if c == text_column else F.col(f"_kept.`{c}`").alias(c) for c in names])
+def _masked(text: Column, spans: Column, mask: str) -> Column:
+    """``text`` with ``mask`` for every run of spans that meet or touch; spans are in order of their starts.
+
+    The text is cut into blocks and the runs are dealt to them, as a place in a long text is found by
+    walking there from its beginning.
+    """
+    size = 4096
+    ends = F.transform(spans, lambda s: s["end"])
+
+    def merged(reached: Column) -> Column:
+        """Runs as (start, end): each begins at a span that no earlier one reaches."""
+        each = F.arrays_zip(spans.alias("span"), reached.alias("reached"))
+        fresh = F.filter(F.transform(each, lambda e, n: F.struct(e["span"]["start"].alias("start"), e["reached"].alias("reached"), n.alias("n"))), lambda e: (e["n"] == 0) | (e["start"] > e["reached"]))
+        later = F.concat(F.transform(F.slice(fresh, 2, F.greatest(F.size(fresh), F.lit(1))), lambda e: e["reached"]), F.array(F.array_max(ends)))
+        return F.arrays_zip(F.transform(fresh, lambda e: e["start"]).alias("start"), later.alias("end"))
+
+    def in_block(block: Column, number: Column, runs: Column) -> Column:
+        begin = (number * size).cast("long")
+        near = F.filter(runs, lambda run: (F.element_at(run, -1)["end"] > begin) & (run[0]["start"] < begin + size))
+        own = F.filter(F.flatten(near), lambda r: (r["end"] > begin) & (r["start"] < begin + size))
+
+        def step(state: Column, r: Column) -> Column:
+            low, high = F.greatest(r["start"] - begin, F.lit(0)), F.least(r["end"] - begin, F.lit(size))
+            between = F.substring(block, (state["at"] + 1).cast("int"), (low - state["at"]).cast("int"))
+            sign = F.when(r["start"] >= begin, mask).otherwise("")
+            return F.struct(high.cast("long").alias("at"), F.concat(state["out"], between, sign).alias("out"))
+
+        start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+        rest = lambda state: F.concat(state["out"], F.substring(block, (state["at"] + 1).cast("int"), F.lit(size)))
+        return F.when(F.size(own) == 0, block).otherwise(F.aggregate(own, start, step, rest))
+
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    runs = _let(_let(running(ends, F.greatest), merged), _runs)
+    return _let(runs, lambda some: F.array_join(F.transform(blocks, lambda block, number: in_block(block, number, some)), ""))

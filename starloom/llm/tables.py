@@ -45,6 +45,20 @@ def stored(df: DataFrame, codec: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(target)
 
 
+def quoted(name: str) -> str:
+    """A column's name as one name, whatever is in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def carried(docs: DataFrame, **columns: Column) -> DataFrame:
+    """(row, ...): the rows of ``docs`` as one struct beside columns of their own, so that no names can clash.
+
+    ``select("row.*")`` gives back what there was.
+    """
+    row = F.struct(*[F.col(quoted(c)).alias(c) for c in docs.columns])
+    return docs.select(row.alias("row"), *[value.alias(name) for name, value in columns.items()])
+
+
 def beside(small: DataFrame) -> DataFrame:
     """``small`` marked for a broadcast join if it is measured to be small enough; else as it is.
 

@@ -9,7 +9,20 @@ import pytest
 import __spark_entry__
 import corpus_pipeline
 from starloom.llm.ngram_join import without_similar
-from starloom.llm.quality import BUCKETS, WIDTH, Network, calibrate, classify, fold_of, index_vectors, token_rows, train
+from starloom.llm.quality import (
+    BUCKETS,
+    REACH,
+    WIDTH,
+    Network,
+    calibrate,
+    classify,
+    context_vectors,
+    fold_of,
+    index_vectors,
+    pooled,
+    token_rows,
+    train,
+)
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 LABELS = "doc_id long, quality int, toxic int"
@@ -43,6 +56,80 @@ def test_tokens_do_not_depend_on_neighbours():
     assert [len(t) for t, _ in together] == [3, 0, 0, 200, 0]
 
 
+def test_context_vectors_like_plain_loops(make, prose):
+    texts = [prose(n) for n in (1, 2, 3, 50, 400)] + [None, "", "a b a\nb", "tail " * 70_000]
+    vectors = context_vectors(make([(t,) for t in texts], "text string", ()).repartition(4))
+    indexes, sums = index_vectors().astype(np.float64), np.zeros((BUCKETS, WIDTH))
+    for tokens, _ in token_rows(pa.array(texts, pa.string())):
+        for k in range(len(tokens)):
+            for other in range(max(0, k - REACH), min(len(tokens), k + REACH + 1)):
+                if other != k:
+                    sums[tokens[k]] += indexes[tokens[other]]
+    want = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-6)
+    assert np.abs(vectors - want).max() < 1e-5
+    for tokens, rates in token_rows(pa.array(texts, pa.string())):
+        got = pooled(tokens, rates, vectors, index_vectors())
+        mean = sum(vectors[t].astype(np.float64) for t in tokens) / max(len(tokens), 1)
+        assert np.abs(got[:WIDTH] - mean).max() < 1e-5 and (got[2 * WIDTH :] == rates).all()
+
+
+def test_training_steps_and_temperature_like_plain_loops(monkeypatch):
+    import starloom.llm.quality as quality
+
+    monkeypatch.setattr(quality, "ROUNDS", 2)
+    monkeypatch.setattr(quality, "BATCH", 8)
+    monkeypatch.setattr(quality, "HIDDEN", 3)
+    rnd = np.random.default_rng(5)
+    x, y = rnd.normal(size=(20, 4)), (rnd.random(20) < 0.5).astype(float)
+    got = train(x, y, np.ones(20))
+    draw = np.random.default_rng(7)
+    shift, scale = x.mean(0), x.std(0) + 1e-4
+    w1, w2 = draw.normal(0, 0.5, (4, 3)), None
+    w2 = draw.normal(0, 1 / np.sqrt(3), 3)
+    flat = np.concatenate([w1.ravel(), np.zeros(3), w2, [0.0]])
+
+    def loss(p, rows):  # weighted cross-entropy and the decay of both weights
+        a, b, c, d = p[:12].reshape(4, 3), p[12:15], p[15:18], p[18]
+        z = np.tanh((x[rows] - shift) / scale @ a + b) @ c + d
+        return (np.log1p(np.exp(-z)) * y[rows] + np.log1p(np.exp(z)) * (1 - y[rows])).sum() / len(rows) + 0.5e-4 * ((a**2).sum() + (c**2).sum())
+
+    m, v, step = np.zeros(19), np.zeros(19), 0
+    for _ in range(2):
+        order = draw.permutation(20)
+        for begin in (0, 8, 16):
+            rows, eye = order[begin : begin + 8], np.eye(19) * 1e-5
+            slope = np.array([(loss(flat + e, rows) - loss(flat - e, rows)) / 2e-5 for e in eye])
+            step += 1
+            m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope**2
+            flat = flat - 3e-3 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    assert np.abs(np.concatenate([got.w1.ravel(), got.b1, got.w2, [got.b2]]) - flat).max() < 1e-6
+    calibrate(got, x, y)
+    losses = {}
+    for t in np.geomspace(0.25, 8, 61):
+        p = 1 / (1 + np.exp(-got.logits(x) / t))
+        losses[float(t)] = -sum(np.log(q) if mark else np.log(1 - q) for q, mark in zip(p, y, strict=True))
+    assert got.temperature == min(losses, key=losses.get)
+
+
+def test_stages_keep_columns_of_any_name(spark, make, prose, tmp_path):
+    rows, labels = documents(prose, 60)
+    names = ["score", "held_out", "predicted", "row", "id", "text_hash", "gone_id", "gone_hash", "its_id", "a.b", "a`b", "_row", "_null", "component_name"]
+    from pyspark.sql import functions as F
+
+    docs = make(rows + [(7000, None, None, None, None), (7001, "", "", "", 0)] + rows[:3], DOCS, ()).select("*", *[F.lit(f"kept {n}").alias(n) for n in names])
+    make(labels, LABELS, ()).write.parquet(f"{tmp_path}/labels.parquet")
+    make([(1, prose(30)), (2, None), (None, "x")], "item_id long, text string", ()).write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+        out = stage(spark, docs, str(tmp_path))
+        got = out.collect()
+        if name != "packing":
+            assert out.columns == docs.columns
+            assert got and all(r[n] == f"kept {n}" for r in got for n in names)
+        assert stage(spark, docs.limit(0), str(tmp_path)).collect() == []
+
+
 def test_network_and_temperature():
     random_ = np.random.default_rng(1)
     x = random_.normal(size=(2000, 6))
@@ -73,7 +160,7 @@ def test_classifier(make, prose):
     assert np.mean(hits) > 0.9 and np.mean(kept) > 0.95
     # Labels of held-out rows and all other columns are no input.
     flipped = [(i, 1 - q if fold_of(i) == 0 else q, t) for i, q, t in labels]
-    again = classify(make([(r[0], r[1], "xx", "other", 9) for r in rows], DOCS), make(flipped, LABELS)).collect()
+    again = classify(make([(r[0], r[1], "xx", "other", 9) for r in rows + odd], DOCS), make(flipped, LABELS)).collect()
     scores = {r.doc_id: r.score for r in got}
     assert all(abs(scores[r.doc_id] - r.score) < 1e-3 for r in again)
 
@@ -130,5 +217,5 @@ def test_near_duplicate_stage_takes_pairs_between_the_thresholds(spark, make, tm
 def test_every_operator_is_registered():
     names = set(__spark_entry__.queries())
     assert "pipeline" in names
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert sum(n.startswith(f"op{number}_") for n in names) == 1

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -80,6 +81,28 @@ def test_masking_takes_just_the_spans(make, secret_rows):
     assert Counter((r.doc_id, r.text) for r in got.collect()) == want
 
 
+def test_texts_of_megabytes_take_time_in_proportion(make):
+    rnd = random.Random(8)
+    dense = "".join(rnd.choice(["password=abcdefgh1 ", "é😀 token: 'x1234567' ", "AKIAABCDEFGHIJKL.", "deadbeef" * 5 + "\n", "plain words "]) for _ in range(210_000))
+    long = "a" * 4090 + " secret=" + "b" * 20_000 + "😀" * 5000 + " token=cccccccc" * 3
+    rows = [(1, dense), (2, long), (3, "token=abcdefgh")]
+    assert len(dense) > 3_500_000
+    began = time.time()
+    got = {r.doc_id: r for r in scan_secrets(make(rows, SCHEMA)).collect()}
+    scanned = time.time()
+    masked = {r.doc_id: r.text for r in redact_secrets(make(rows, SCHEMA)).collect()}
+    assert scanned - began < 40 and time.time() - scanned < 40  # what grew with the square took minutes
+    for i, text in rows:
+        spans = base_spans(text)
+        assert got[i].spans == written(spans) and got[i].n_assign == sum(k == 0 for _, k, _ in spans)
+        out, at = [], 0
+        for a, _, b in spans:
+            if a > at or not out and a == 0:
+                out += [text[at:a], "[secret]"]
+            at = max(at, b)
+        assert masked[i] == "".join(out) + text[at:]
+
+
 def test_weak_parts_are_reported_only_together(make):
     secret = "aB3" + "x" * 37
     rows = [(1, secret), (2, f"login: bob {secret}"), (3, f"{secret} https://db.example.com"), (4, "https://db.example.com login: bob")]
