@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from starloom.llm.decontaminate import without_contaminated
 from starloom.llm.ngram_join import without_similar
 from starloom.llm.packing import pack
-from starloom.llm.quality import fit, score
+from starloom.llm.quality import fit, scored
 from starloom.llm.secret_scan import redact_secrets
 from starloom.llm.tables import read, stored
 
@@ -17,8 +17,7 @@ from starloom.llm.tables import read, stored
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
     model = fit(docs, read(spark, sf_dir, "labels"))
-    scored = score(docs, model)
-    return scored.where("predicted = 1").select(docs.columns)
+    return scored(docs, model).where("predicted = 1").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
