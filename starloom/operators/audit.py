@@ -8,17 +8,46 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import Table
+from ..session import fits_broadcast
+
+
+#: Keys that a bitmap (of 4 kB, for 32768 keys in a row) must hold on average to be smaller than they are.
+_DENSE = 1 << 9
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Key values that occur more than once, with their ``copies``."""
+    """Key values that occur more than once, with their ``copies``.
+
+    Generated ids lie close together. Where they are found to, each range of them is first
+    marked in a bitmap, and only ids of ranges that hold more rows than marks are shuffled.
+    """
+    whole = len(keys) == 1 and df.schema[keys[0]].dataType in (T.IntegerType(), T.LongType())
+    suspects = _dense_ranges_with_copies(df, keys[0]) if whole else None
+    if suspects is not None:
+        suspects = F.broadcast(suspects) if fits_broadcast(suspects) else suspects
+        # NULL is in no range, but may occur more than once as well.
+        found = df.select(*keys, F.bitmap_bucket_number(F.col(keys[0])).alias("_range"))
+        nulls = found.where(F.col(keys[0]).isNull()).select(*keys)
+        df = found.join(suspects, "_range", "left_semi").select(*keys).unionAll(nulls)
     return (
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
     )
 
 
+def _dense_ranges_with_copies(df: DataFrame, key: str) -> DataFrame | None:
+    """(_range) of keys among which some occur more than once; None if keys lie too far apart for bitmaps."""
+    ranges = df.select(key, F.bitmap_bucket_number(F.col(key)).alias("_range")).where(F.col(key).isNotNull())
+    seen = ranges.agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct("_range").alias("ranges")).first()
+    if seen["rows"] < _DENSE * seen["ranges"]:
+        return None
+    marks = F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(F.col(key))))
+    counted = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("rows"), marks.alias("marks"))
+    return counted.where("rows > marks").select("_range")
+
+
 def orphans(fact: DataFrame, foreign_key: str, dimension: DataFrame, primary_key: str) -> DataFrame:
     """Foreign key values without a dimension row, with the number of fact ``rows``.
 

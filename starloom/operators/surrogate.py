@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import through_table
+from ..session import fits_broadcast, settled
+from .running import totals_before
 
 # monotonically_increasing_id puts the partition above bit 33, the row below.
 _ROW_BITS = 33
+# The offsets of some millions of tasks.
+_OFFSET_BYTES = 64 << 20
 
 
 def next_id(existing: DataFrame, name: str) -> int:
@@ -27,19 +30,14 @@ def with_id(df: DataFrame, name: str, start: int = 0) -> DataFrame:
 def with_dense_id(df: DataFrame, name: str, start: int = 0) -> DataFrame:
     """Ids ``start``, ``start + 1``, … without gaps.
 
-    Rows are written out with their place first, so that counting them and numbering
-    them see the same rows; each partition is then moved up by the rows before it.
+    Counting rows and numbering them must see the same places: rows that were shuffled are written out
+    first, others are read twice. Each task's rows are moved up by the rows before it; what was before
+    is summed up in blocks of tasks, and copied to the executors if it is measured to be small.
     """
-    placed = through_table(df.withColumn("_place", F.monotonically_increasing_id()))
+    placed = settled(df).withColumn("_place", F.monotonically_increasing_id())
     placed = placed.withColumn("_part", F.shiftright("_place", _ROW_BITS))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per write task, whatever the number of rows.
-    offsets = (
-        placed.groupBy("_part")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    )
+    totals = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    offsets = totals_before(totals, [], "_part", "_rows", "_before").select("_part", "_before")
+    offsets = F.broadcast(offsets) if fits_broadcast(offsets, _OFFSET_BYTES) else offsets
     row = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return placed.join(F.broadcast(offsets), "_part").select(
-        (row + F.col("_before") + start).alias(name), *df.columns
-    )
+    return placed.join(offsets, "_part").select((row + F.col("_before") + start).alias(name), *df.columns)

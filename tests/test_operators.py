@@ -354,3 +354,40 @@ def test_no_row_is_dealt_by_its_place_behind_a_shuffle(spark):
         assert "monotonically" in text
         assert "Exchange" not in text[text.index("monotonically") :].replace("BroadcastExchange", "")
     assert dealt.count() == 990
+
+
+def test_duplicates_of_dense_ids_are_found_by_bitmaps(spark):
+    ids = [*range(-5000, 60_000), *range(1 << 34, (1 << 34) + 40_000)]
+    twice = [-5000, 7, 7, 7, 32_768, (1 << 34) + 39_999, 59_999]
+    data = frame(spark, [(n,) for n in ids + twice + [None, None]], "id long").repartition(7)
+    counts = Counter(twice)
+    want = Counter([(k, n + 1) for k, n in counts.items()] + [(None, 2)])
+    found = audit.duplicate_keys(data, ["id"])
+    assert bag(found) == want and "LeftSemi" in plan(found)
+    sparse = frame(spark, [(n * 10**9,) for n in range(2000)] + [(10**9,), (None,)], "id long")
+    found = audit.duplicate_keys(sparse, ["id"])
+    assert bag(found) == Counter([(10**9, 2)]) and "LeftSemi" not in plan(found)
+    assert audit.duplicate_keys(data.where("id = 1"), ["id"]).collect() == []
+    assert audit.duplicate_keys(data.where("false"), ["id"]).collect() == []
+
+
+def test_unique_dense_ids_are_not_shuffled(spark):
+    spark.range(200_000).write.parquet(target := f"{scratch_dir(spark)}/ids")
+    found = audit.duplicate_keys(spark.read.parquet(target), ["id"])
+    assert found.collect() == []
+    # The ranges that are shuffled by key are those with copies: none.
+    assert "left_semi" in plan(found).lower() or "LeftSemi" in plan(found)
+
+
+def test_dense_ids_of_very_many_tasks_are_summed_up_in_blocks(spark, monkeypatch):
+    from starloom.operators import running
+
+    monkeypatch.setattr(running, "PARTS_PER_BLOCK", 3)
+    data = spark.range(1000).repartition(17, "id")
+    got = ops.with_dense_id(data.withColumnRenamed("id", "n"), "id", 5).collect()
+    assert sorted(r.id for r in got) == list(range(5, 1005)) and sorted(r.n for r in got) == list(range(1000))
+    few = frame(spark, [("a", p, v) for p in range(20) for v in range(p % 4)] + [("b", 3, 9)], "g string, p long, v long")
+    summed = running.running_total(few, ["g"], "p", ["v"], F.col("v") + 1, "upto").collect()
+    for r in summed:
+        earlier = [v + 1 for p in range(20) for v in range(p % 4) if (p, v) < (r.p, r.v)]
+        assert r.upto == (sum(earlier) if r.g == "a" else 0)
