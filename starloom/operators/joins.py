@@ -30,19 +30,48 @@ def _with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.where(_all([F.col(k).isNotNull() for k in keys]))
 
 
+#: Keys that a summary tracks for each group that can be hot, how many of them are counted exactly, and
+#: how many keys one can track at all.
+_TRACKED, _CANDIDATES, _MOST_TRACKED = 32, 4, 1_000_000
+#: Tasks that merge the summaries of all tasks, before a last one merges theirs.
+_MERGERS = 64
+
+
 def _hot_groups(df: DataFrame, keys: Sequence[str], max_groups: int, min_rows: int, parts: str) -> DataFrame:
-    """Keys with more than 1/max_groups of the rows: fewer than ``max_groups`` of them."""
+    """Keys with more than 1/max_groups of the rows: fewer than ``max_groups`` of them.
+
+    Each task keeps a summary of its frequent keys, of bounded size. Merged, it is sure to hold every key of
+    that share: with 32 times as many counters no count is off by more than a ninth of it. Only
+    the keys it names are counted exactly; the others are never shuffled.
+    """
     # Counting all rows, NULL keys included, reads no column of a Parquet table.
     share = max(ceil(df.count() / max_groups), min_rows)
+    keyed = _with_keys(df, keys)
+    if _TRACKED * max_groups <= _MOST_TRACKED:
+        keyed = _of_candidates(keyed, keys, max_groups)
     return (
-        _with_keys(df, keys)
-        .groupBy(*keys)
+        keyed.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > share)
         .select(*keys, F.ceil(F.col("_rows") / share).cast("int").alias(parts))
     )
 
 
+def _of_candidates(keyed: DataFrame, keys: Sequence[str], max_groups: int) -> DataFrame:
+    """The rows of keys that can have 1/max_groups of the rows."""
+    tracked, wanted = _TRACKED * max_groups, _CANDIDATES * max_groups
+    hashed = keyed.select(*keys, F.xxhash64(*keys).alias("_hash"))
+    task = F.pmod(F.spark_partition_id(), F.lit(_MERGERS)).alias("_task")
+    summaries = hashed.groupBy(task).agg(F.expr(f"approx_top_k_accumulate(_hash, {tracked})").alias("_summary"))
+    # Grouped, so that no keys give no row.
+    merged = summaries.groupBy(F.lit("all").alias("_all")).agg(F.expr(f"approx_top_k_combine(_summary, {tracked})").alias("_summary"))
+    named = merged.selectExpr(f"inline(approx_top_k_estimate(_summary, {wanted}))").select("item").collect()
+    candidates = [one["item"] for one in named]  # _CANDIDATES * max_groups at most
+    if not candidates:
+        return keyed.limit(0)
+    return hashed.where(F.col("_hash").isin(candidates)).select(*keys)
+
+
 def _hot_grid(
     left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], max_groups: int, min_rows: int
 ) -> DataFrame:

@@ -391,3 +391,20 @@ def test_dense_ids_of_very_many_tasks_are_summed_up_in_blocks(spark, monkeypatch
     for r in summed:
         earlier = [v + 1 for p in range(20) for v in range(p % 4) if (p, v) < (r.p, r.v)]
         assert r.upto == (sum(earlier) if r.g == "a" else 0)
+
+
+def test_hot_keys_are_found_by_summaries_and_counted_exactly(spark):
+    rows = [(f"hot{n % 9}", None) for n in range(900)] + [(f"k{n}", n) for n in range(4000)] + [(None, n) for n in range(100)]
+    rows += [("pair", n % 2) for n in range(401)]
+    data = frame(spark, rows, "k string, j int").repartition(13)
+    from starloom.operators.joins import _hot_groups
+
+    for keys, want in ((["k"], {("pair", 3)}), (["k", "j"], {("pair", 0, 2), ("pair", 1, 2)})):
+        groups = _hot_groups(data, keys, 30, 1, "parts")  # more than 181 rows of 5401
+        assert {tuple(r) for r in groups.collect()} == want
+        assert " IN " in plan(groups) or "INSET" in plan(groups)
+    assert {r.k for r in _hot_groups(data, ["k"], 60, 1, "parts").collect()} == {"pair", *[f"hot{n}" for n in range(9)]}
+    assert _hot_groups(data.where("false"), ["k"], 30, 1, "parts").collect() == []
+    assert _hot_groups(data, ["k"], 30, 10_000, "parts").collect() == []
+    # Beyond what a summary can track, all keys are counted.
+    assert {r.k for r in _hot_groups(data, ["k"], 40_000, 300, "parts").collect()} == {"pair"}
