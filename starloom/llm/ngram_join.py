@@ -25,7 +25,6 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import groupby
@@ -51,6 +50,10 @@ FIRST_TRIES = 4
 SPARE = 15
 #: DivideSkip's weight of a probe against a heap step.
 MU = 0.0085
+#: Entries up to which short lists are merged by a heap.
+HEAP_ENTRIES = 512
+#: Entries of lists, at most, that the queries of one go meet among their own targets.
+WORK = 1_000_000_000
 
 
 class Threshold:
@@ -117,36 +120,45 @@ def set_name(grams: np.ndarray) -> bytes | None:
     return hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None
 
 
-def divide_skip(lists: list[list[int]], least: int) -> dict[int, int]:
-    """How often each number occurs on ``lists`` (each sorted), for those on ``least`` or more of them."""
+def divide_skip(lists: list[np.ndarray], least: int, numbers: int) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers (below ``numbers``) on ``least`` or more of the lists, each sorted, and how often each is.
+
+    Short lists are merged, by a heap while they have few entries, else by counting; long ones are
+    probed by binary search for what the short ones left, or counted where that is most of them.
+    """
     lists = sorted(lists, key=len)
+    none = np.zeros(0, np.int64)
     if len(lists) < least:
-        return {}
+        return none, none
     longest = max(1, int(least / (MU * log2(len(lists[-1]) + 1) + 1)))
     longest = min(longest, least - 1)
     short, long_lists = lists[: len(lists) - longest], lists[len(lists) - longest :]
-    found = {}
-    for number, same in groupby(heapq.merge(*short)):
-        count = sum(1 for _ in same)
-        if count < least - longest:
-            continue
-        rest = longest
-        for entries in long_lists:
-            if count + rest < least:
-                break
-            rest -= 1
-            place = bisect_left(entries, number)
-            count += place < len(entries) and entries[place] == number
-        if count >= least:
-            found[number] = count
-    return found
+    counts = np.zeros(numbers, np.int64)
+    if sum(map(len, short)) <= HEAP_ENTRIES:
+        for number, same in groupby(heapq.merge(*[x.tolist() for x in short])):
+            counts[number] = sum(1 for _ in same)
+    else:
+        counts += np.bincount(np.concatenate(short), minlength=numbers)
+    left = np.flatnonzero(counts >= least - longest)
+    for rest, entries in zip(range(longest, 0, -1), long_lists, strict=True):
+        left = left[counts[left] + rest >= least]
+        if not len(left):
+            return none, none
+        if len(left) * log2(len(entries) + 2) < len(entries):
+            place = np.searchsorted(entries, left)
+            place[place == len(entries)] = 0
+            counts[left] += entries[place] == left
+        else:
+            counts[entries] += 1
+    left = left[counts[left] >= least]
+    return left, counts[left]
 
 
 class Index:
     """Inverted lists over a block of sets."""
 
     def __init__(self, sets: list[np.ndarray]):
-        self.sizes = [len(x) for x in sets]
+        self.sizes = np.array([len(x) for x in sets], np.int64)
         grams = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
         owner = np.repeat(np.arange(len(sets)), self.sizes)
         order = np.argsort(grams, kind="stable")  # sets in order on every list
@@ -154,18 +166,17 @@ class Index:
         self.grams, begins = np.unique(grams[order], return_index=True)
         self.bounds = np.append(begins, len(grams))
 
-    def similar(self, grams: np.ndarray, threshold: Threshold) -> Iterator[int]:
+    def similar(self, grams: np.ndarray, threshold: Threshold) -> list[int]:
         """Numbers of the sets in the block that are similar to this one."""
         place = np.searchsorted(self.grams, grams)
         place[place == len(self.grams)] = 0
         place = place[self.grams[place] == grams] if len(self.grams) else place[:0]
         least = threshold.least(len(grams))
         if len(place) < least:
-            return
-        lists = [self.owner[a:b].tolist() for a, b in zip(self.bounds[place].tolist(), self.bounds[place + 1].tolist(), strict=True)]
-        for number, shared in divide_skip(lists, least).items():
-            if threshold.similar(shared, len(grams), self.sizes[number]):
-                yield number
+            return []
+        lists = [self.owner[a:b] for a, b in zip(self.bounds[place].tolist(), self.bounds[place + 1].tolist(), strict=True)]
+        found, shared = divide_skip(lists, least, len(self.sizes))
+        return found[100 * shared >= threshold.percent * (len(grams) + self.sizes[found] - shared)].tolist()
 
 
 def _numbers(column: str) -> Column:
@@ -176,8 +187,11 @@ def _numbers(column: str) -> Column:
 class NgramJoin:
     """The join of one table; see ``ngram_join``."""
 
-    def __init__(self, docs: DataFrame, percent: int, n: int, id_column: str, text_column: str):
+    def __init__(
+        self, docs: DataFrame, percent: int, n: int, id_column: str, text_column: str, count_links: bool = False
+    ):
         ship(docs.sparkSession)
+        self.count_links = count_links
         self.threshold, self.n = Threshold(percent), n
         self.source = docs.select(
             F.col(id_column).cast("long").alias("id"),
@@ -232,11 +246,12 @@ class NgramJoin:
         texts = self.source.join(wanted, F.col("id").eqNullSafe(F.col("wanted_id"))).select("text", "name")
         return texts.mapInArrow(run, "name binary, size long, grams binary").dropDuplicates(["name"])
 
-    def _search(self, queries: DataFrame, members: DataFrame) -> DataFrame:
+    def _search(self, queries: DataFrame, members: DataFrame, count: bool = False) -> DataFrame:
         """Links (a, b) of sets a with similar sets b, for queries (a, target) and members (b, target).
 
         ``members`` also has their sizes. Targets are dealt to blocks, large ones to several; a set
-        goes to every block of each of its targets.
+        goes to every block of each of its targets. The queries of a block are cut by their n-grams and by
+        the entries that they may meet. With ``count`` the result is (a, n): links only counted.
         """
         threshold = self.threshold
         queries, members = stored(queries), stored(members)
@@ -245,12 +260,15 @@ class NgramJoin:
         whole = stored(self._whole_sets(ids.join(names, "name")))
         grams = members.agg(F.sum("size")).first()[0] or 0
         blocks = int(grams // BLOCK_GRAMS + 1)
-        parts = members.groupBy("target").agg(F.ceil(F.sum("size") / BLOCK_GRAMS).alias("parts"))
+        parts = members.groupBy("target").agg(F.ceil(F.sum("size") / BLOCK_GRAMS).alias("parts"), F.count(F.lit(1)).alias("members"))
         block = F.pmod(F.xxhash64("target"), F.lit(blocks)).alias("block")
         index = members.join(parts, "target").select("b", block, F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"))
-        asked = queries.join(parts, "target").select("a", block, _numbers("parts").alias("part"))
-        asked = asked.distinct().join(whole.select(F.col("name").alias("a"), "size", "grams"), "a")
-        load = asked.groupBy("block", "part").agg(F.ceil(F.sum("size") / QUERY_GRAMS).alias("turns"))
+        each = F.ceil(F.col("members") / F.col("parts")).alias("members")
+        asked = queries.join(parts, "target").select("a", block, _numbers("parts").alias("part"), each)
+        asked = asked.groupBy("a", "block", "part").agg(F.sum("members").alias("members"))
+        asked = asked.join(whole.select(F.col("name").alias("a"), "size", "grams"), "a")
+        met = F.sum(F.col("size").cast("double") * F.col("members"))
+        load = asked.groupBy("block", "part").agg(F.greatest(F.ceil(F.sum("size") / QUERY_GRAMS), F.ceil(met / WORK)).alias("turns"))
         asked = asked.join(load, ["block", "part"]).select(
             "block", "part", F.pmod(F.xxhash64("a"), F.col("turns")).alias("turn"), F.lit(True).alias("asks"), F.col("a").alias("name"), "grams"
         )
@@ -264,17 +282,19 @@ class NgramJoin:
             sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("grams")]
             held = [k for k, x in enumerate(asks) if not x]
             lists = Index([sets[k] for k in held])
-            pairs = [
-                (named[k], named[held[found]])
-                for k, x in enumerate(asks)
-                if x
-                for found in lists.similar(sets[k], threshold)
-                if named[held[found]] != named[k]
-            ]
-            return pa.table({"a": pa.array([p[0] for p in pairs], pa.binary()), "b": pa.array([p[1] for p in pairs], pa.binary())})
-
-        both = asked.unionAll(index)
-        return both.groupBy("block", "part", "turn").applyInArrow(run, "a binary, b binary").distinct()
+            left, right = [], []
+            for k, x in enumerate(asks):
+                if x:
+                    found = [named[held[n]] for n in lists.similar(sets[k], threshold) if named[held[n]] != named[k]]
+                    left.extend([named[k]] * (1 if count else len(found)))
+                    right.extend([len(found)] if count else found)
+            kind = pa.int64() if count else pa.binary()
+            return pa.table({"a": pa.array(left, pa.binary()), "n" if count else "b": pa.array(right, kind)})
+
+        dealt = asked.unionAll(index).groupBy("block", "part", "turn")
+        if count:
+            return dealt.applyInArrow(run, "a binary, n long").groupBy("a").agg(F.sum("n").alias("n"))
+        return dealt.applyInArrow(run, "a binary, b binary").distinct()
 
     def _first_links(self) -> DataFrame:
         """Links of sets with the first text that has one of the same smallest hashes."""
@@ -355,13 +375,12 @@ class NgramJoin:
         )
         classes = stored(classes.select("name", "id", F.coalesce("component", "name").alias("component")))
         least = classes.groupBy("component").agg(F.min("id").alias("component_id"))
-        degree = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-        degree = degree.groupBy(F.col("a").alias("name")).agg(F.count(F.lit(1)).alias("n_links_found"))
-        answer = stored(
-            classes.join(least, "component").join(degree, "name", "left").select(
-                "name", "component", "component_id", F.coalesce("n_links_found", F.lit(0)).alias("n_links_found")
-            )
-        )
+        columns = ["name", "component", "component_id"]
+        answer = classes.join(least, "component")
+        if self.count_links:
+            answer = answer.join(self._link_counts(classes), "name", "left").withColumn("n_links", F.coalesce("n", F.lit(0)))
+            columns.append("n_links")
+        answer = stored(answer.select(*columns))
         joined = self.sets.select("id", "text_hash", "size", "name").join(answer, "name", "left")
         return joined.select(
             "id",
@@ -370,27 +389,40 @@ class NgramJoin:
             F.when(F.col("name").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
             F.lower(F.hex("name")).alias("class_name"),
             F.lower(F.hex("component")).alias("component_name"),
-            F.coalesce("n_links_found", F.lit(0)).alias("n_links_found"),
+            *([F.coalesce("n_links", F.lit(0)).alias("n_links")] if self.count_links else []),
         )
 
+    def _link_counts(self, classes: DataFrame) -> DataFrame:
+        """(name, n): of each set the sets similar to it, all of which are in its component."""
+        several = classes.groupBy("component").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
+        sets = classes.join(several, "component", "left_semi").join(self.classes.select("name", "size"), "name")
+        members = sets.select(F.col("name").alias("b"), F.col("component").alias("target"), "size")
+        queries = sets.select(F.col("name").alias("a"), F.col("component").alias("target"))
+        return self._search(queries, members, count=True).withColumnRenamed("a", "name")
+
 
 def ngram_join(
-    docs: DataFrame, percent: int = 85, n: int = 4, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    percent: int = 85,
+    n: int = 4,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    count_links: bool = False,
 ) -> DataFrame:
-    """(id, n_shingles, component_id, class_name, component_name, n_links_found) of each row.
+    """(id, n_shingles, component_id, class_name, component_name) of each row, with ``count_links`` also n_links.
 
     Words are runs of anything but blanks, with A-Z in lower case; a text's set has its distinct
     n-grams of words, or all its words as one if there are fewer. Two rows are linked when the sets'
     Jaccard similarity is percent / 100 or more. ``component_id`` is the smallest id that links lead
     to, the row's own included. ``class_name`` is the same for rows of equal sets and
-    ``component_name`` for linked ones; both are null for empty sets. ``n_links_found`` is how many different other sets were found similar; links between sets
-    that others already connect need not have been looked for.
+    ``component_name`` for linked ones; both are null for empty sets. ``n_links`` is how many different
+    other sets are similar to the row's; counting them compares all sets of a component, in blocks.
 
     Null and empty texts have no n-grams and are their own component. Repeated rows are rows of one
-    class. A null id counts as larger than any other; a component of nothing but null ids is null.
+    class. Texts of any length are cut and compared whole. A null id counts as larger than any other; a component of nothing but null ids is null.
     Other columns are not read. An empty table gives no rows.
     """
-    joined = NgramJoin(docs, percent, n, id_column, text_column).run()
+    joined = NgramJoin(docs, percent, n, id_column, text_column, count_links).run()
     return joined.drop("text_hash").withColumnRenamed("id", id_column)
 
 

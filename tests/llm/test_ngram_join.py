@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from starloom.llm.graph import components
@@ -119,7 +120,28 @@ def test_divide_skip_counts_like_a_counter():
         lists = [sorted(rnd.sample(range(40), rnd.choice([1, 1, 2, 5, 30]))) for _ in range(rnd.randrange(1, 25))]
         least = rnd.randrange(1, len(lists) + 1)
         counts = Counter(x for entries in lists for x in entries)
-        assert divide_skip(lists, least) == {x: c for x, c in counts.items() if c >= least}
+        found, shared = divide_skip([np.array(x) for x in lists], least, 40)
+        assert dict(zip(found.tolist(), shared.tolist(), strict=True)) == {x: c for x, c in counts.items() if c >= least}
+
+
+def test_divide_skip_counts_long_lists_without_the_heap():
+    rnd = random.Random(10)
+    for least in (3, 40, 70):
+        lists = [sorted(rnd.sample(range(3000), rnd.choice([10, 300, 2500]))) for _ in range(80)]
+        counts = Counter(x for entries in lists for x in entries)
+        found, shared = divide_skip([np.array(x) for x in lists], least, 3000)
+        assert dict(zip(found.tolist(), shared.tolist(), strict=True)) == {x: c for x, c in counts.items() if c >= least}
+
+
+def test_links_are_counted_exactly_also_inside_of_components(make, prose):
+    rnd = random.Random(4)
+    first = prose(120, rnd)
+    rows = [(n, edited(first, rnd, n % 4)) for n in range(40)] + [(100, first), (101, first), (200, prose(50, rnd)), (300, ""), (301, None)]
+    got = {r.doc_id: r.n_links for r in ngram_join(make(rows, SCHEMA), count_links=True).collect()}
+    sets = {shingles(t) for _, t in rows} - {frozenset()}
+    for i, text in rows:
+        own = shingles(text)
+        assert got[i] == sum(100 * len(own & s) >= 85 * len(own | s) for s in sets if s != own and own)
 
 
 def test_one_row_of_each_group_stays(make, prose):
