@@ -310,12 +310,13 @@ class NgramJoin:
         """All links between sets of different clusters."""
         threshold, percent = self.threshold, self.threshold.percent
         clusters = clusters.select(F.col("node").alias("name"), "component")
-        cluster = F.coalesce("component", "name").alias("cluster")
-        # Most n-grams are on a list of their own: rows are short, and dealt by n-gram only once.
+        # Most n-grams are on a list of their own: rows are short, and dealt by n-gram only once. A set
+        # outside of all clusters is its own group, which its row says by a null.
+        cluster = F.when(F.col("component").isNotNull(), F.xxhash64("component")).alias("cluster")
         entries = self.different.join(beside(stored(clusters)), "name", "left").select(
-            F.explode("held").alias("gram"), F.xxhash64("name").alias("set"), F.xxhash64(cluster).alias("group")
+            F.explode("held").alias("gram"), F.xxhash64("name").alias("set"), cluster
         )
-        dealt = entries.repartition("gram")
+        dealt = entries.repartition("gram").select("gram", "set", F.coalesce("cluster", "set").alias("group"))
         lists = dealt.groupBy("gram").agg(
             F.count(F.lit(1)).alias("length"), F.min("group").alias("g0"), F.max("group").alias("g1")
         )
