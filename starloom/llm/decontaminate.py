@@ -1,15 +1,19 @@
 """Benchmark items found in training texts, also when edited.
 
-1. Every n-gram of words of an item is looked up in all texts, and each one found is a seed, however
-   common it is: a text is a candidate for every item of which it has an n-gram, so an edited copy
-   is found by any n-gram that the edit has left.
-2. A candidate that has too few of the item's words for the threshold, wherever they stand, is
+1. One pass over the texts counts in how many of them each n-gram of words of an item occurs.
+2. The n-grams join texts to items: a text is a candidate for every item of which it has an n-gram. Its
+   seeds are these n-grams in the order of their rarity. None is left out, however common it is, so an
+   edited copy is found by any n-gram that the edit has left.
+3. A candidate that has too few of the item's words for the threshold, wherever they stand, is
    dropped; no alignment could score enough.
-3. Around its seeds a candidate's words are aligned with the item's by Smith-Waterman, as far to
-   either side as an alignment of enough score can reach. The score is that of the best local
-   alignment, as a part of the item's score against itself.
-
-Items are taken in blocks of bounded size, a block's n-grams and words being copied to the executors.
+4. Around the rarest seed the text's words are aligned with the item's by Smith-Waterman, as far to
+   either side as an alignment of enough score can reach; around the other seeds too, unless the first
+   has shown all of the item. The score is that of the best local alignment, as a part of the item's
+   score against itself.
+
+Items too short for seeds are found as they are, all their words in a row. Items are taken in
+blocks of bounded size, a block's n-grams and words being copied to the executors; texts are read
+twice for each block.
 """
 
 from __future__ import annotations
@@ -89,6 +93,7 @@ class _Block:
 
     def __init__(self, rows: list, n: int, threshold: float):
         self.threshold = threshold
+        self.frequency = None  # of each n-gram, in texts
         self.ids = [r["item"] for r in rows]
         self.words = list(word_rows(pa.array([r["text"] for r in rows], pa.string())))
         grams = [ngram_hashes(w, n) for w in self.words]
@@ -126,7 +131,14 @@ class _Block:
             # An alignment loses at least one for each word it inserts, so it can hold no more of them than this.
             slack = int(MATCH * length * max(0.0, 1 - self.threshold) / -GAP) + 1
             lows, highs = place - last[at] - slack, place - first[at] + length + slack
-            score, begin, end = best_window(self.words[item], text, lows, highs, self.threshold)
+            common = self.frequency[numbers[hit]]
+            rarest = common == common.min()
+            score, begin, end = best_window(self.words[item], text, lows[rarest], highs[rarest], self.threshold)
+            # Undecided unless all words of the item stand there; then only an earlier copy would count.
+            open_ = ~rarest if score < 1 else ~rarest & (lows < begin)
+            if open_.any():
+                every = rarest | open_
+                score, begin, end = best_window(self.words[item], text, lows[every], highs[every], self.threshold)
             if end and score >= self.threshold:
                 yield item, score, begin, end
 
@@ -147,7 +159,8 @@ def contaminated(
     A word is a run of letters and digits in lower case. Rows are those whose best alignment scores
     ``threshold`` or more of the item's score against itself (1.0: all its words in a row); the place
     is given in words of the text, and is that of the first of several best ones. Items with fewer
-    than ``min_words`` words identify nothing and are not searched; null texts and items are empty.
+    than ``min_words`` words are found only where all their words stand in a row; items without words
+    identify nothing. Null texts and items are empty, texts of any length are searched whole.
     Repeated rows and rows of one id give one row per item, the best; a null id is kept as an id.
     Other columns are not read. Without items or without texts there are no rows.
     """
@@ -206,10 +219,13 @@ def _found(source: DataFrame, items: DataFrame, threshold: float, n: int, min_wo
     ship(source.sparkSession)
     found = source.sparkSession.createDataFrame([], _FOUND)
     for rows in _blocks(items):
-        counts = [len(w) for w in word_rows(pa.array([r["text"] for r in rows], pa.string()))]
-        rows = [r for r, k in zip(rows, counts, strict=True) if k >= max(n, min_words)]
-        if rows:
-            found = found.unionAll(_in_block(source, _Block(rows, n, threshold), n))
+        item_words = list(word_rows(pa.array([r["text"] for r in rows], pa.string())))
+        long = [r for r, w in zip(rows, item_words, strict=True) if len(w) >= max(n, min_words)]
+        short = [(r["item"], w) for r, w in zip(rows, item_words, strict=True) if 0 < len(w) < max(n, min_words)]
+        if long:
+            found = found.unionAll(_in_block(source, _Block(long, n, threshold), n))
+        if short:
+            found = found.unionAll(_as_they_are(source, short))
     return found
 
 
@@ -222,38 +238,92 @@ def _blocks(items: DataFrame) -> Iterator[list]:
         yield part.orderBy("item", "text").collect()
 
 
+def _hits(texts: pa.Array, known: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, word hashes, numbers, places) of each text that has some of the n-grams ``known``, by their numbers."""
+    at = 0
+    for first, end, data, offsets in slices(texts):
+        data = folded(data)
+        starts, ends, row = words(data, offsets, ~ALNUM)
+        hashes = span_hashes(data, starts, ends)
+        found = ngram_hashes(hashes, n)
+        number = np.searchsorted(known, found)
+        number[number == len(known)] = 0
+        hit = (known[number] == found) & (row[: len(found)] == row[n - 1 : n - 1 + len(found)])
+        place = np.flatnonzero(hit)
+        bounds = row_bounds(row, end - first)
+        cuts = row_bounds(row[place], end - first).tolist()
+        for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            if b > a:
+                yield at + k, hashes[bounds[k] : bounds[k + 1]], number[place[a:b]], place[a:b] - bounds[k]
+        at += end - first
+
+
+def _frequencies(source: DataFrame, grams: np.ndarray, n: int) -> np.ndarray:
+    """In how many texts each n-gram occurs."""
+    shared = source.sparkSession.sparkContext.broadcast(grams)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(len(shared.value), np.int64)
+        for batch in batches:
+            for _, _, numbers, _ in _hits(batch.column(0), shared.value, n):
+                counts[np.unique(numbers)] += 1
+        seen = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(counts[seen])], ["number", "texts"])
+
+    counted = source.select("text").mapInArrow(run, "number int, texts long").groupBy("number").agg(F.sum("texts").alias("texts"))
+    table, out = counted.toArrow(), np.zeros(len(grams), np.int64)  # a row per n-gram of the block at most
+    out[table.column("number").to_numpy()] = table.column("texts").to_numpy()
+    return out
+
+
+_RESULT = ["id", "text_hash", "item", "score", "first_word", "end_word"]
+
+
+def _result(batch: pa.RecordBatch, found: list[tuple]) -> pa.RecordBatch:
+    """Rows (row of the batch, item, score, first word, end word) with the ids of their texts."""
+    rows, *out = zip(*found, strict=True) if found else [()] * 5
+    taken = pa.array(rows, pa.int64())
+    kinds = (pa.int64(), pa.float64(), pa.int64(), pa.int64())
+    columns = [batch.column(0).take(taken), batch.column(2).take(taken)]
+    return pa.RecordBatch.from_arrays([*columns, *[pa.array(x, k) for x, k in zip(out, kinds, strict=True)]], _RESULT)
+
+
 def _in_block(source: DataFrame, block: _Block, n: int) -> DataFrame:
+    block.frequency = _frequencies(source, block.grams, n)
     shared = source.sparkSession.sparkContext.broadcast(block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shared.value
-        known = block.grams
         for batch in batches:
-            rows, out = [], ([], [], [], [])
-            at = 0
-            for first, end, data, offsets in slices(batch.column(1)):
-                data = folded(data)
-                starts, ends, row = words(data, offsets, ~ALNUM)
-                hashes = span_hashes(data, starts, ends)
-                found = ngram_hashes(hashes, n)
-                number = np.searchsorted(known, found)
-                number[number == len(known)] = 0
-                hit = (known[number] == found) & (row[: len(found)] == row[n - 1 : n - 1 + len(found)])
-                place = np.flatnonzero(hit)
-                bounds = row_bounds(row, end - first)
-                cuts = row_bounds(row[place], end - first).tolist()
-                for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                    if b > a:
-                        text = hashes[bounds[k] : bounds[k + 1]]
-                        for item, *place_of in block.in_text(text, number[place[a:b]], place[a:b] - bounds[k]):
-                            rows.append(at + k)
-                            for column, value in zip(out, (block.ids[item], *place_of), strict=True):
-                                column.append(value)
-                at += end - first
-            taken = pa.array(rows, pa.int64())
-            kinds = (pa.int64(), pa.float64(), pa.int64(), pa.int64())
-            columns = [batch.column(0).take(taken), batch.column(2).take(taken)]
-            columns += [pa.array(x, k) for x, k in zip(out, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "text_hash", "item", "score", "first_word", "end_word"])
+            found = []
+            for row, text, numbers, places in _hits(batch.column(1), block.grams, n):
+                for item, *place in block.in_text(text, numbers, places):
+                    found.append((row, block.ids[item], *place))
+            yield _result(batch, found)
+
+    return source.mapInArrow(run, _FOUND)
+
+
+def _as_they_are(source: DataFrame, items: list[tuple[int, np.ndarray]]) -> DataFrame:
+    """Items whose words all stand in a text in a row, with the first place of each; the score is 1."""
+    by_length: dict[int, tuple[list, list]] = {}
+    for item, item_words in items:
+        hashes, ids = by_length.setdefault(len(item_words), ([], []))
+        hashes.append(ngram_hashes(item_words, len(item_words))[0])
+        ids.append(item)
+    known = {}
+    for length, (hashes, ids) in by_length.items():
+        grams, number = np.unique(np.array(hashes, np.uint64), return_inverse=True)
+        known[length] = grams, [[i for i, k in zip(ids, number, strict=True) if k == m] for m in range(len(grams))]
+    shared = source.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for length, (grams, ids) in shared.value.items():
+                for row, _, numbers, places in _hits(batch.column(1), grams, length):
+                    for number, first in zip(*np.unique(numbers, return_index=True), strict=True):
+                        found += [(row, item, 1.0, int(places[first]), int(places[first]) + length) for item in ids[number]]
+            yield _result(batch, found)
 
     return source.mapInArrow(run, _FOUND)

@@ -5,6 +5,7 @@ import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from starloom.llm.decontaminate import align, contaminated, without_contaminated
@@ -246,3 +247,27 @@ def test_an_item_in_very_many_texts_is_found_in_all(make, prose):
     rows = [(n, f"{prose(10)} {item} {prose(10)}") for n in range(400)] + [(1000 + n, prose(40)) for n in range(400)]
     got = contaminated(make(rows, SCHEMA), make([(1, item)], BENCH)).collect()
     assert {r.doc_id for r in got} == set(range(400))
+
+
+def test_short_items_are_found_where_they_stand_whole(make, prose):
+    items = [(1, "Alpha beta gamma delta epsilon"), (2, "one"), (3, "one TWO"), (4, "alpha beta gamma delta epsilon"), (5, ""), (6, None), (7, "?!")]
+    rows = [(1, "x alpha, beta gamma. delta EPSILON y alpha beta gamma delta epsilon"), (2, "alpha beta gamma other delta epsilon"), (3, "one"), (4, "on e two one two"), (5, None), (6, prose(50))]
+    got = {(r.doc_id, r.item_id, r.score, r.first_word, r.end_word) for r in contaminated(make(rows, SCHEMA), make(items, BENCH)).collect()}
+    assert got == {(1, 1, 1.0, 1, 6), (1, 4, 1.0, 1, 6), (3, 2, 1.0, 0, 1), (4, 2, 1.0, 3, 4), (4, 3, 1.0, 3, 5)}
+
+
+def test_the_rarest_seed_decides_and_common_ones_find_the_rest(make, prose, monkeypatch):
+    import starloom.llm.decontaminate as module
+
+    common = prose(9)  # the beginning of both items, and of very many texts
+    items = [(1, f"{common} {prose(12)}"), (2, f"{common} {prose(12)}")]
+    half = " ".join(items[1][1].split()[:11])  # more than 0.42 of item 2, rare n-grams gone
+    rows = [(n, f"{common} {prose(40)}") for n in range(200)] + [(1000, f"{prose(30)} {items[0][1]} {prose(30)}"), (1001, f"{prose(9)} {half} {prose(9)}")]
+    got = {(r.doc_id, r.item_id): r.score for r in contaminated(make(rows, SCHEMA), make(items, BENCH)).collect()}
+    assert got[(1000, 1)] == 1.0 and (1001, 2) in got
+    source = module._source(make(rows, SCHEMA), "doc_id", "text")
+    block = module._Block([{"item": i, "text": t} for i, t in items], 3, 0.42)
+    frequency = module._frequencies(source, block.grams, 3)
+    texts = [list(module.ngram_hashes(w, 3)) for w in module.word_rows(pa.array([t for _, t in rows], pa.string()))]
+    assert frequency.tolist() == [sum(int(g) in set(map(int, t)) for t in texts) for g in block.grams.tolist()]
+    assert frequency.min() == 0 and frequency.max() == 202
