@@ -6,12 +6,14 @@ with the batch; a single longer text is a slice of its own.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 500_000
+_caches: dict[str, dict] = {}
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -31,6 +33,18 @@ ALNUM[[*range(ord("0"), ord("9") + 1), *range(ord("A"), ord("Z") + 1), *range(or
 ALNUM[0x80:] = True
 
 
+def cache_of(owner: str) -> dict:
+    """What a worker keeps between the tasks of one operator; what another has left there is dropped first."""
+    if owner not in _caches:
+        _caches.clear()
+        for powers in _powers:
+            _powers[powers] = np.ones(1, np.uint64)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        _caches[owner] = {}
+    return _caches[owner]
+
+
 def folded(data: np.ndarray) -> np.ndarray:
     """UTF-8 bytes with A-Z and the capitals of Latin-1 in lower case, each at its place."""
     data = LOWER[data]

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.bytewise import ALNUM, folded, ngram_hashes, row_bounds, slices, span_hashes, words
+from starloom.llm.bytewise import ALNUM, cache_of, folded, ngram_hashes, row_bounds, slices, span_hashes, words
 from starloom.llm.tables import beside, carried, quoted, ship, stored
 
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -240,6 +240,7 @@ def _blocks(items: DataFrame) -> Iterator[list]:
 
 def _hits(texts: pa.Array, known: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(row, word hashes, numbers, places) of each text that has some of the n-grams ``known``, by their numbers."""
+    cache_of("items")
     at = 0
     for first, end, data, offsets in slices(texts):
         data = folded(data)

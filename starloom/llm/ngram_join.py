@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from starloom.llm.bytewise import BLANK, LOWER, mix, ngram_hashes, row_bounds, slices, span_hashes, words
+from starloom.llm.bytewise import BLANK, LOWER, cache_of, mix, ngram_hashes, row_bounds, slices, span_hashes, words
 from starloom.llm.graph import components
 from starloom.llm.tables import beside, carried, quoted, ship, stored
 
@@ -101,6 +101,7 @@ class Threshold:
 
 def gram_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
     """The sorted distinct n-gram hashes of each text. A text with fewer words has one for all of them."""
+    cache_of("sets")
     for first, end, data, offsets in slices(texts):
         data = LOWER[data]
         starts, ends, row = words(data, offsets, BLANK)
@@ -277,6 +278,7 @@ class NgramJoin:
         )
 
         def run(table: pa.Table) -> pa.Table:
+            cache_of("sets")
             asks = table.column("asks").to_pylist()
             named = table.column("name").to_pylist()
             sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("grams")]

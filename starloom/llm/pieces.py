@@ -23,7 +23,7 @@ import numpy as np  # noqa: E402
 import pyarrow as pa  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
-from starloom.llm.bytewise import codepoints, slices, span_hashes  # noqa: E402
+from starloom.llm.bytewise import cache_of, codepoints, slices, span_hashes  # noqa: E402
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 #: Code points, and what marks those of words that the library takes whole.
@@ -333,12 +333,9 @@ def text_hashes(texts: list[str]) -> list[int]:
     return span_hashes(points, starts, ends).tolist()
 
 
-_encoders: dict[tuple, Encoder] = {}
-
-
 def encoder(path: str, known: dict[str, int] | None = None) -> Encoder:
     """One encoder per worker process, file and set of proven pieces."""
-    key = (path, len(known or ()))
-    if key not in _encoders:
-        _encoders[key] = Encoder(path, known)
-    return _encoders[key]
+    kept, key = cache_of("pieces"), (path, len(known or ()))
+    if key not in kept:
+        kept[key] = Encoder(path, known)
+    return kept[key]

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.bytewise import BLANK, LOWER, mix, row_bounds, slices, span_hashes, words
+from starloom.llm.bytewise import BLANK, LOWER, cache_of, mix, row_bounds, slices, span_hashes, words
 from starloom.llm.tables import beside, carried, quoted, ship, stored
 
 #: Labelled rows that are learned from at most, those of the smallest hashes.
@@ -200,19 +200,18 @@ class Model:
         return self.network.scores(np.array(rows))
 
 
-_kept: dict[str, np.ndarray] = {}
-
-
 def _indexes() -> np.ndarray:
-    if "indexes" not in _kept:
-        _kept["indexes"] = index_vectors()
-    return _kept["indexes"]
+    kept = cache_of("quality")
+    if "indexes" not in kept:
+        kept["indexes"] = index_vectors()
+    return kept["indexes"]
 
 
 def _entries() -> tuple[np.ndarray, np.ndarray]:
-    if "entries" not in _kept:
-        _kept["entries"] = index_entries()
-    return _kept["entries"]
+    kept = cache_of("quality")
+    if "entries" not in kept:
+        kept["entries"] = index_entries()
+    return kept["entries"]
 
 
 def context_vectors(texts: DataFrame) -> np.ndarray:
@@ -236,13 +235,21 @@ def context_vectors(texts: DataFrame) -> np.ndarray:
 
     def of_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
+        some = False
         for batch in batches:
             for one in batch.column(1):
                 total += np.frombuffer(one.as_buffer(), np.int64)
-        yield row(total)
-
-    parts = texts.mapInArrow(of_texts, schema).repartition(ADDERS, "slot").mapInArrow(of_sums, schema)
-    whole = np.frombuffer(parts.repartition(1).mapInArrow(of_sums, schema).first()["sums"], np.int64)
+                some = True
+        if some:
+            yield row(total)
+
+    # At first as many tasks as shuffles have, then few, then one: none adds up very many.
+    parts = texts.mapInArrow(of_texts, schema)
+    shuffled = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    for adders in (shuffled, ADDERS) if shuffled > ADDERS else (ADDERS,):
+        parts = parts.repartition(adders, "slot").mapInArrow(of_sums, schema)
+    found = parts.repartition(1).mapInArrow(of_sums, schema).first()
+    whole = np.frombuffer(found["sums"], np.int64) if found else np.zeros(size, np.int64)
     vectors = whole.reshape(BUCKETS, WIDTH).astype(np.float32)
     return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-6)
 
