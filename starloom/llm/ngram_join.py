@@ -255,7 +255,7 @@ class NgramJoin:
         the entries that they may meet. With ``count`` the result is (a, n): links only counted.
         """
         threshold = self.threshold
-        queries, members = stored(queries), stored(members)
+        queries, members = self._gathered_targets(stored(queries), stored(members))
         names = queries.select(F.col("a").alias("name")).unionAll(members.select(F.col("b").alias("name"))).distinct()
         ids = self.classes.select("name", "id")
         whole = stored(self._whole_sets(ids.join(names, "name")))
@@ -298,6 +298,24 @@ class NgramJoin:
             return dealt.applyInArrow(run, "a binary, n long").groupBy("a").agg(F.sum("n").alias("n"))
         return dealt.applyInArrow(run, "a binary, b binary").distinct()
 
+    def _gathered_targets(self, queries: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Both with targets that are sought together made one, so that a set goes to fewer blocks.
+
+        A target takes the name of the least one that is sought with it, unless what would share
+        that name has more n-grams than a block.
+        """
+        least = queries.groupBy("a").agg(F.min("target").alias("least"))
+        joint = queries.join(least, "a").groupBy("target").agg(F.min("least").alias("joint"))
+        sizes = members.groupBy("target").agg(F.sum("size").alias("grams")).join(joint, "target")
+        fits = sizes.groupBy("joint").agg(F.sum("grams").alias("grams")).where(F.col("grams") <= BLOCK_GRAMS)
+        renamed = joint.join(fits.select("joint"), "joint").where("joint <> target").select("target", "joint")
+        renamed = beside(stored(renamed))
+
+        def gathered(table: DataFrame) -> DataFrame:
+            return table.join(renamed, "target", "left").withColumn("target", F.coalesce("joint", "target")).drop("joint")
+
+        return stored(gathered(queries).distinct()), stored(gathered(members).distinct())
+
     def _first_links(self) -> DataFrame:
         """Links of sets with the first text that has one of the same smallest hashes."""
         few = self.different.select("id", "name", "size", F.explode(F.slice("held", 1, FIRST_TRIES)).alias("gram"))
