@@ -45,6 +45,12 @@ def cache_of(owner: str) -> dict:
     return _caches[owner]
 
 
+def portions(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of a few rows, for results that are larger than the texts they come from."""
+    for first in range(0, batch.num_rows, rows):
+        yield batch.slice(first, rows)
+
+
 def folded(data: np.ndarray) -> np.ndarray:
     """UTF-8 bytes with A-Z and the capitals of Latin-1 in lower case, each at its place."""
     data = LOWER[data]

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from starloom.llm.bytewise import BLANK, LOWER, cache_of, mix, ngram_hashes, row_bounds, slices, span_hashes, words
+from starloom.llm.bytewise import BLANK, LOWER, cache_of, mix, ngram_hashes, portions, row_bounds, slices, span_hashes, words
 from starloom.llm.graph import components
 from starloom.llm.tables import beside, carried, quoted, ship, stored
 
@@ -205,7 +205,7 @@ class NgramJoin:
         threshold, n = self.threshold, self.n
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in (part for whole in batches for part in portions(whole)):
                 sizes, names, needs, held = [], [], [], []
                 for grams in gram_sets(batch.column(1), n):
                     size = len(grams)
@@ -232,7 +232,7 @@ class NgramJoin:
         n = self.n
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in (part for whole in batches for part in portions(whole)):
                 grams = list(gram_sets(batch.column(0), n))
                 names = [set_name(x) for x in grams]
                 kept = [k for k, (x, y) in enumerate(zip(names, batch.column(1).to_pylist(), strict=True)) if x == y]
@@ -304,8 +304,8 @@ class NgramJoin:
         A target takes the name of the least one that is sought with it, unless what would share
         that name has more n-grams than a block.
         """
-        least = queries.groupBy("a").agg(F.min("target").alias("least"))
-        joint = queries.join(least, "a").groupBy("target").agg(F.min("least").alias("joint"))
+        least = F.min("target").over(Window.partitionBy("a")).alias("least")
+        joint = queries.select("target", least).groupBy("target").agg(F.min("least").alias("joint"))
         sizes = members.groupBy("target").agg(F.sum("size").alias("grams")).join(joint, "target")
         fits = sizes.groupBy("joint").agg(F.sum("grams").alias("grams")).where(F.col("grams") <= BLOCK_GRAMS)
         renamed = joint.join(fits.select("joint"), "joint").where("joint <> target").select("target", "joint")
