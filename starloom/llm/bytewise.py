@@ -6,6 +6,7 @@ with the batch; a single longer text is a slice of its own.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Iterator
 
@@ -40,11 +41,18 @@ def cache_of(owner: str) -> dict:
         for powers in _powers:
             _powers[powers] = np.ones(1, np.uint64)
         gc.collect()
-        pa.default_memory_pool().release_unused()
+        give_back()
         _caches[owner] = {}
     return _caches[owner]
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: workers live on, idle, beside tasks that need it."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def portions(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
     """A batch in parts of a few rows, for results that are larger than the texts they come from."""
     for first in range(0, batch.num_rows, rows):
@@ -114,6 +122,7 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         end = min(max(end, first + 1), rows)
         yield first, end, buffer[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first]
         first = end
+    give_back()
 
 
 def words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
