@@ -23,7 +23,7 @@ import numpy as np  # noqa: E402
 import pyarrow as pa  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
-from starloom.llm.bytewise import cache_of, codepoints, slices, span_hashes  # noqa: E402
+from starloom.llm.bytewise import cache_of, codepoints, give_back, slices, span_hashes  # noqa: E402
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 #: Code points, and what marks those of words that the library takes whole.
@@ -31,7 +31,7 @@ POINTS = 0x110000
 #: Code points of white space (fixed values).
 BLANKS = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: More different pre-tokens than this are not kept; the table begins anew.
-MAX_KEPT = 500_000
+MAX_KEPT = 250_000
 
 #: How the two known files cut texts (fixed values of the vocabularies).
 GPT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -185,6 +185,8 @@ class Encoder:
         self.kind = pattern_kind(described)
         self.known = known or {}
         self._reset()
+        del described
+        give_back()
 
     def _reset(self) -> None:
         self.entries: dict[int, int] = {}
