@@ -90,6 +90,12 @@ def unsettled() -> np.ndarray:
     return table
 
 
+@lru_cache(maxsize=2)
+def first_of(table: str) -> int:
+    """The first code point that a table marks; texts below it need not be looked up."""
+    return int({"unassigned": unassigned, "unsettled": unsettled}[table]().argmax())
+
+
 def _mark_contractions(points: np.ndarray, kinds: np.ndarray, begins: np.ndarray, row_start: np.ndarray) -> None:
     """An apostrophe that begins a piece takes s, t, m, d, re, ve or ll along."""
     at = np.flatnonzero((points == 39) & begins)
@@ -248,7 +254,7 @@ class Encoder:
     def _slice(self, points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(entry of each piece, ids in each piece, pieces before each row)."""
         if self.kind == "clip":
-            marked = unsettled()[points]
+            marked = unsettled()[points] if points.max() >= first_of("unsettled") else np.zeros(0, bool)
             whole = in_words_with(points, offsets, marked) if marked.any() else None
             raw, points = points, lowered()[points]
             starts, ends = split_clip(points, offsets, whole)
@@ -265,7 +271,8 @@ class Encoder:
             points, at = codepoints(data, offsets)
             rows = end - first
             plain = np.full(rows, self.kind is not None)
-            if self.kind == "gpt" and (bad := unassigned()[points]).any():
+            high = self.kind == "gpt" and len(points) and points.max() >= first_of("unassigned")
+            if high and (bad := unassigned()[points]).any():
                 plain[np.searchsorted(at, np.flatnonzero(bad), side="right") - 1] = False
             raw = data.tobytes()
             for mark in self.special:
