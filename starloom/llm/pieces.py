@@ -16,6 +16,7 @@ import json
 import os
 import unicodedata
 from functools import lru_cache
+from itertools import chain
 
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
@@ -30,7 +31,7 @@ SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 POINTS = 0x110000
 #: Code points of white space (fixed values).
 BLANKS = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-#: More different pre-tokens than this are not kept; the table begins anew.
+#: More different pre-tokens than this are not kept; those used most stay, at most half as many.
 MAX_KEPT = 250_000
 
 #: How the two known files cut texts (fixed values of the vocabularies).
@@ -45,7 +46,8 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(0x100)]
 
 
-BYTE_LETTERS = dict(enumerate(byte_letters()))
+#: Their code points, by byte.
+BYTE_LETTERS = np.frombuffer("".join(byte_letters()).encode("utf-32-le"), "<u4")
 
 
 @lru_cache(maxsize=1)
@@ -190,25 +192,23 @@ class Encoder:
         self.special = [t["content"] for t in described["added_tokens"]]
         self.kind = pattern_kind(described)
         self.known = known or {}
-        self._reset()
-        del described
-        give_back()
-
-    def _reset(self) -> None:
         self.entries: dict[int, int] = {}
         self.lengths = np.zeros(1 << 16, np.int64)
         self.begins = np.zeros(1 << 16, np.int64)
+        self.uses = np.zeros(1 << 16, np.int64)
         self.pool = np.zeros(1 << 18, np.uint32)
         self.pooled = 0
+        del described
+        give_back()
         if self.known:
             self._keep(text_hashes(list(self.known)), [[k] for k in self.known.values()])
 
     def _keep(self, hashes: list[int], ids: list[list[int]]) -> None:
         count = len(self.entries)
-        flat = np.fromiter((k for x in ids for k in x), np.uint32)
+        flat = np.array(list(chain.from_iterable(ids)), np.uint32)
         while count + len(ids) > len(self.lengths):
-            self.lengths = np.concatenate((self.lengths, np.zeros_like(self.lengths)))
-            self.begins = np.concatenate((self.begins, np.zeros_like(self.begins)))
+            more = np.zeros_like(self.lengths)
+            self.lengths, self.begins, self.uses = (np.concatenate((x, more)) for x in (self.lengths, self.begins, self.uses))
         while self.pooled + len(flat) > len(self.pool):
             self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)))
         lengths = np.fromiter((len(x) for x in ids), np.int64, len(ids))
@@ -216,29 +216,53 @@ class Encoder:
         self.begins[count : count + len(ids)] = self.pooled + np.cumsum(lengths) - lengths
         self.pool[self.pooled : self.pooled + len(flat)] = flat
         self.pooled += len(flat)
+        self.uses[count : count + len(ids)] = 0
         self.entries.update(zip(hashes, range(count, count + len(ids)), strict=True))
 
+    def _thin(self) -> None:
+        """Keeps the proven pieces and, of the others, those that several slices used, the most used first."""
+        hashes = np.fromiter(self.entries, np.uint64, len(self.entries))
+        self.entries = {}
+        uses = self.uses[: len(hashes)].copy()
+        uses[: len(self.known)] = uses.max(initial=0) + MAX_KEPT
+        order = np.argsort(-uses, kind="stable")[: len(self.known) + MAX_KEPT // 2]
+        kept = np.sort(order[uses[order] > 1])
+        lengths, begins = self.lengths[kept], self.begins[kept]
+        ends = np.cumsum(lengths)
+        flat = self.pool[np.repeat(begins - (ends - lengths), lengths) + np.arange(int(lengths.sum()))]
+        self.pool[: len(flat)] = flat
+        self.pooled = len(flat)
+        self.lengths[: len(kept)], self.begins[: len(kept)] = lengths, ends - lengths
+        # Halved, so that pieces of earlier texts give way in time.
+        self.uses[: len(kept)] = self.uses[kept] // 2
+        self.entries = dict(zip(hashes[kept].tolist(), range(len(kept)), strict=True))
+
     def _library_ids(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _piece_ids(self, pieces: list[str]) -> list[list[int]]:
         """The library's merges of single pre-tokens, without splitting them again."""
         merge = self.library.model.tokenize
-        return [[t.id for t in merge(p.encode().decode("latin-1").translate(BYTE_LETTERS))] for p in pieces]
+        raw = np.frombuffer("".join(pieces).encode(), np.uint8)
+        letters = BYTE_LETTERS[raw].tobytes().decode("utf-32-le")
+        ends = np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in pieces]).tolist()
+        return [[t.id for t in merge(letters[a:b])] for a, b in zip([0, *ends], ends, strict=False)]
 
     def _entries_of(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The entry of each piece; pieces seen for the first time are merged by the library."""
         hashes, first, inverse = np.unique(span_hashes(points, starts, ends), return_index=True, return_inverse=True)
-        if len(self.entries) + len(hashes) > MAX_KEPT + len(self.known):
-            self._reset()
         keys = hashes.tolist()
         found = list(map(self.entries.get, keys))
         missing = [k for k, x in enumerate(found) if x is None]
+        if missing and len(self.entries) + len(missing) > MAX_KEPT + len(self.known):
+            self._thin()
+            found = list(map(self.entries.get, keys))
+            missing = [k for k, x in enumerate(found) if x is None]
         if missing:
             where = first[missing]
             whole = points[starts[where]] >= POINTS
-            raw = np.where(points >= POINTS, points - np.uint32(POINTS), points).astype("<u4", copy=False).tobytes()
-            texts = [raw[4 * a : 4 * b].decode("utf-32-le") for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)]
+            plain = np.where(points >= POINTS, points - np.uint32(POINTS), points).astype("<u4", copy=False).tobytes().decode("utf-32-le")
+            texts = [plain[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)]
             count = len(self.entries)
             if whole.any():
                 words = iter(self._library_ids([t for t, w in zip(texts, whole, strict=True) if w]))
@@ -249,7 +273,9 @@ class Encoder:
             self._keep([keys[k] for k in missing], merged)
             for n, k in enumerate(missing):
                 found[k] = count + n
-        return np.array(found, np.int64)[inverse]
+        found = np.array(found, np.int64)
+        self.uses[found] += 1
+        return found[inverse]
 
     def _slice(self, points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(entry of each piece, ids in each piece, pieces before each row)."""

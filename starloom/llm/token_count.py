@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.bytewise import utf8
-from starloom.llm.pieces import BYTE_LETTERS, Encoder, encoder, lowered, split_clip, split_gpt, unassigned, unsettled
+from starloom.llm.pieces import Encoder, byte_letters, encoder, lowered, split_clip, split_gpt, unassigned, unsettled
 from starloom.llm.tables import ship
 
 
@@ -31,7 +31,7 @@ def whole_tokens(path: str) -> dict[str, int]:
     with open(path, encoding="utf-8") as file:
         vocabulary = json.load(file)["model"]["vocab"]
     open_ = unsettled() if tokens.kind == "clip" else unassigned()
-    letters = {letter: byte for byte, letter in BYTE_LETTERS.items()}
+    letters = {letter: byte for byte, letter in enumerate(byte_letters())}
     candidates = {}
     for token, number in vocabulary.items():
         token = token.removesuffix("</w>") if tokens.kind == "clip" else token

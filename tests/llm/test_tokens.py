@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from starloom.llm import pieces
 from starloom.llm.packing import Mixture, pack, play
 from starloom.llm.pieces import Encoder
 from starloom.llm.token_count import count_tokens, whole_tokens
@@ -39,6 +40,23 @@ def test_encoder_gives_the_ids_of_the_library(path, library):
     assert encoder.counts(pa.array(texts, pa.string())).tolist() == [len(x) for x in found]
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+@pytest.mark.parametrize("proven", [False, True])
+def test_a_full_table_keeps_the_most_used_pieces(path, proven, library, monkeypatch):
+    monkeypatch.setattr(pieces, "MAX_KEPT", 200)
+    rnd = random.Random(3)
+    known = dict(list(whole_tokens(path).items())[:500]) if proven else {}
+    encoder = Encoder(path, known)
+    often = [f"oftenword{k} é{k}x" for k in range(20)]
+    for _ in range(60):
+        texts = [" ".join([*often, *(f"rare{rnd.randrange(10**6)}中" for _ in range(rnd.choice([3, 30, 300])))]) for _ in range(2)]
+        assert [x.tolist() for x in encoder.ids(pa.array(texts))] == [ids(library, path, t) for t in texts]
+    assert [x.tolist() for x in encoder.ids(pa.array(list(known), pa.string()))] == [[k] for k in known.values()]
+    before = len(encoder.entries)
+    list(encoder.ids(pa.array([" ".join(often[1:])])))
+    assert len(encoder.entries) == before
+
+
 @pytest.mark.parametrize("path", [BYTES, WORDS])
 def test_every_code_point_is_split_and_lowered_as_the_library_does(path, library):
     codes = [k for k in range(0x110000) if not 0xD800 <= k < 0xE000]
