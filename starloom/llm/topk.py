@@ -5,8 +5,10 @@ segment can add to an inner product (Cauchy-Schwarz on the deviations), which is
 lower bound on the distance. Pairs are bounded with few long segments first, then with more and
 shorter ones; only pairs that can still be among a query's best are computed exactly.
 
-Vectors are packed into blocks and every block of queries meets every block of candidates once;
-each meeting leaves a query's best k of that block.
+Vectors are packed into blocks, which are written once and dealt into parts. Queries, a fraction of the
+rows, are the side that is repeated: every group of them passes every part, and a part's blocks are held
+while the groups stream past. A group keeps its best so far from block to block. Before that each group
+meets the blocks of one part alone; the k-th best score there is a floor that its full pass starts from.
 """
 
 from __future__ import annotations
@@ -15,15 +17,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from starloom.llm.tables import ship, stored
 
-#: Vectors in a block of queries and of candidates.
+#: Vectors in a block of queries and of candidates, and bytes of candidates in a part.
 QUERY_BLOCK = 512
 BLOCK = 8192
+PART_BYTES = 16 << 20
+#: Bytes of unpacked blocks that a task holds.
+HELD_BYTES = 128 << 20
 #: Segments on each level.
 LEVELS = (4, 16)
 _EXACT = 2.0**53
@@ -39,48 +45,71 @@ def _statistics(rows: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray
     return means * np.sqrt(sizes), np.sqrt(squares)
 
 
-def _products(a: np.ndarray, b: np.ndarray, exact: bool) -> np.ndarray:
-    """Inner products of rows in pairs, in whole numbers."""
+def _products(rows: np.ndarray, query: np.ndarray, exact: bool) -> np.ndarray:
+    """Inner products of rows with a query, in whole numbers."""
     if exact:
-        return np.einsum("ij,ij->i", a, b).astype(np.int64)
-    whole = [sum(int(x) * int(y) for x, y in zip(u, v, strict=True)) for u, v in zip(a, b, strict=True)]
+        return (rows @ query).astype(np.int64)
+    own = [int(x) for x in query]
+    whole = [sum(int(x) * y for x, y in zip(row, own, strict=True)) for row in rows]
     return np.array([min(max(x, -(1 << 63)), (1 << 63) - 1) for x in whole], np.int64)
 
 
-def block_best(
-    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int, levels: tuple = LEVELS
-) -> tuple[list, list, list]:
-    """(query, id, score) of each query's k best rows but its own, ties to smaller ids; ``ids`` ascend."""
-    width = queries.shape[1]
-    norms = np.sqrt((queries**2).sum(1)), np.sqrt((rows**2).sum(1))
-    limit = float(norms[0].max(initial=0) * norms[1].max(initial=0))
+class Block:
+    """Vectors of one width by ascending id, with their statistics on every level."""
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, levels: tuple = LEVELS):
+        order = np.argsort(ids, kind="stable")
+        self.ids, self.rows = ids[order], rows[order]
+        width = rows.shape[1]
+        self.levels = [_statistics(self.rows, s) for s in levels if s < width] if width else []
+        self.longest = float(np.sqrt((self.rows**2).sum(1)).max(initial=0))
+
+
+class Best:
+    """The k best rows of a query so far: by falling score, then rising id; ``floor`` is a score they reach."""
+
+    def __init__(self, k: int, floor: int | None):
+        self.k, self.floor = k, floor
+        self.ids, self.scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def least(self) -> float:
+        """No score below it can change anything."""
+        own = int(self.scores[-1]) if len(self.scores) == self.k else None
+        known = [x for x in (own, self.floor) if x is not None]
+        return float(max(known)) if known else -np.inf
+
+    def take(self, ids: np.ndarray, scores: np.ndarray) -> None:
+        ids, scores = np.concatenate([self.ids, ids]), np.concatenate([self.scores, scores])
+        order = np.lexsort((ids, ~scores))[: self.k]
+        self.ids, self.scores = ids[order], scores[order]
+
+
+def meet(queries: Block, bests: list[Best], block: Block) -> None:
+    """Lets each query take what is among its best from a block, but rows of its own id."""
+    limit = queries.longest * block.longest
     exact = limit < _EXACT
-    margin = 1e-9 * limit + 1e-6 if exact else np.inf
-    q_stats = [_statistics(queries, s) for s in levels if s < width] if width else []
-    r_stats = [_statistics(rows, s) for s in levels if s < width] if width else []
-    out: tuple[list, list, list] = ([], [], [])
-    coarse = None
-    if q_stats and exact:
-        coarse = q_stats[0][0] @ r_stats[0][0].T + q_stats[0][1] @ r_stats[0][1].T
-    for n in range(len(queries)):
-        others = ids != query_ids[n]
-        if coarse is None:
-            left = np.flatnonzero(others)
+    margin = 1e-9 * limit + 1e-6
+    bounded = exact and bool(block.levels)
+    if bounded:
+        (qm, qd), (rm, rd) = queries.levels[0], block.levels[0]
+        coarse = qm @ rm.T + qd @ rd.T
+    for n, best in enumerate(bests):
+        fits = block.ids != queries.ids[n]
+        if bounded and len(best.scores) < best.k and len(block.ids) > 8 * best.k:  # first some likely ones, for a floor
+            bound = np.where(fits, coarse[n], -np.inf)
+            likely = np.argpartition(-bound, 4 * best.k)[: 4 * best.k]
+            likely = likely[fits[likely]]
+            best.take(block.ids[likely], _products(block.rows[likely], queries.rows[n], exact))
+            fits[likely] = False
+        if bounded:
+            least = best.least() - margin
+            left = np.flatnonzero(fits & (coarse[n] >= least))
+            for (qm, qd), (rm, rd) in zip(queries.levels[1:], block.levels[1:], strict=True):
+                left = left[rm[left] @ qm[n] + rd[left] @ qd[n] >= least]
         else:
-            bound = np.where(others, coarse[n], -np.inf)
-            first = np.argpartition(-bound, min(4 * k, len(ids) - 1))[: 4 * k] if len(ids) > 4 * k else np.arange(len(ids))
-            first = first[others[first]]
-            scores = np.sort(rows[first] @ queries[n])[::-1]
-            least = scores[k - 1] if len(scores) >= k else -np.inf
-            left = np.flatnonzero(bound >= least - margin)
-            for (qm, qd), (rm, rd) in zip(q_stats[1:], r_stats[1:], strict=True):
-                left = left[rm[left] @ qm[n] + rd[left] @ qd[n] >= least - margin]
-        scores = _products(rows[left], np.broadcast_to(queries[n], (len(left), width)), exact)
-        best = np.lexsort((ids[left], -scores.astype(np.float64) if exact else -scores.astype(object)))[:k]
-        out[0].extend([int(query_ids[n])] * len(best))
-        out[1].extend(ids[left][best].tolist())
-        out[2].extend(scores[best].tolist())
-    return out
+            left = np.flatnonzero(fits)
+        if len(left):
+            best.take(block.ids[left], _products(block.rows[left], queries.rows[n], exact))
 
 
 def whole_numbers(vector: Column, scale: int) -> Column:
@@ -88,17 +117,27 @@ def whole_numbers(vector: Column, scale: int) -> Column:
     return F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("double"))
 
 
-def _blocks(vectors: DataFrame, size: int) -> DataFrame:
-    """(width, ids, rows): vectors of one width packed together, per partition."""
+_PACKED = "number long, width int, kind string, ids binary, rows binary"
+
+
+def _packed(vectors: DataFrame, size: int) -> DataFrame:
+    """(id, row) packed by width, in the smallest kind of number that holds the rows, and written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[list, list]] = {}
+        made = TaskContext.get().partitionId() << 32
+        names = [x.split()[0] for x in _PACKED.split(", ")]
+        kinds = (pa.int64(), pa.int32(), pa.string(), pa.binary(), pa.binary())
 
-        def packed(width: int):
+        def block(width: int) -> pa.RecordBatch:
+            nonlocal made
             ids, rows = held.pop(width)
-            columns = [[width], [np.array(ids, np.int64).tobytes()], [np.array(rows, np.float64).tobytes()]]
-            kinds = (pa.int32(), pa.binary(), pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], names)
+            rows = np.array(rows, np.float64).reshape(len(ids), width)
+            most = float(np.abs(rows).max(initial=0.0))
+            kind = "int16" if most < 1 << 15 else "int32" if most < 1 << 31 else "float64"
+            made += 1
+            columns = [made, width, kind, np.array(ids, np.int64).tobytes(), rows.astype(kind).tobytes()]
+            return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(columns, kinds, strict=True)], names)
 
         for batch in batches:
             for one, row in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -107,12 +146,64 @@ def _blocks(vectors: DataFrame, size: int) -> DataFrame:
                 ids.append(one)
                 rows.append(row)
                 if len(ids) == size:
-                    yield packed(len(row))
+                    yield block(len(row))
         for width in list(held):
-            yield packed(width)
+            yield block(width)
+
+    return stored(vectors.mapInArrow(run, _PACKED))
 
-    names = ["width", "ids", "rows"]
-    return vectors.mapInArrow(run, "width int, ids binary, rows binary")
+
+def _best(groups: DataFrame, waiting: DataFrame, k: int, levels: tuple) -> DataFrame:
+    """(number, place, query_id, id, score): per part, the k best rows of each query.
+
+    ``groups`` and ``waiting`` have the column ``part``, by which they meet; ``floors`` of a group has per
+    place a score that its k best reach, or null.
+    """
+    waiting = waiting.select("part", "width", *[F.col(c).alias(f"b_{c}") for c in ("number", "kind", "ids", "rows")])
+    # A merge join holds the matches of its right side, here a part's blocks, and streams its left side.
+    met = groups.hint("merge").join(waiting, ["part", "width"])
+    columns = ["part", "number", "width", "kind", "ids", "rows", "floors", "b_number", "b_kind", "b_ids", "b_rows"]
+    names = ["number", "place", "query_id", "id", "score"]
+
+    def unpacked(width: int, kind: pa.Scalar, ids: pa.Scalar, rows: pa.Scalar) -> Block:
+        ids = np.frombuffer(ids.as_buffer(), np.int64)
+        rows = np.frombuffer(rows.as_buffer(), kind.as_py()).astype(np.float64)
+        return Block(ids, rows.reshape(len(ids), width), levels)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks_of: dict[int, Block] = {}
+        at, queries, bests = None, None, []
+
+        def found() -> Iterator[pa.RecordBatch]:
+            counts = [len(best.ids) for best in bests]
+            if sum(counts):
+                places = np.repeat(np.arange(len(bests)), counts)
+                cells = [
+                    np.full(len(places), at[1]),
+                    places,
+                    queries.ids[places],
+                    np.concatenate([best.ids for best in bests]),
+                    np.concatenate([best.scores for best in bests]),
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in cells], names)
+
+        for batch in batches:
+            for part, number, width, kind, ids, rows, floors, b_number, *b in zip(*batch.columns, strict=True):
+                width, b_number = width.as_py(), b_number.as_py()
+                if (part.as_py(), number.as_py()) != at:
+                    yield from found()
+                    at = part.as_py(), number.as_py()
+                    queries = unpacked(width, kind, ids, rows)
+                    # A place is one in the order of ids, which is that of the group unpacked.
+                    bests = [Best(k, floor) for floor in floors.as_py() or [None] * len(queries.ids)]
+                if b_number not in blocks_of:
+                    if sum(x.rows.nbytes for x in blocks_of.values()) > HELD_BYTES:
+                        blocks_of.clear()
+                    blocks_of[b_number] = unpacked(width, *b)
+                meet(queries, bests, blocks_of[b_number])
+        yield from found()
+
+    return met.select(*columns).mapInArrow(run, ", ".join(f"{name} long" for name in names))
 
 
 def top_k(
@@ -142,28 +233,25 @@ def top_k(
     usable = vectors.where(F.col(id_column).isNotNull() & vector.isNotNull() & finite).select(
         F.col(id_column).cast("long").alias("id"), whole_numbers(vector, scale).alias("row")
     )
+    blocks = _packed(usable, candidate_block)
+    n_bytes = blocks.agg(F.sum(F.octet_length("rows"))).first()[0] or 0
+    parts = max(int(n_bytes // PART_BYTES) + 1, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    waiting = blocks.withColumn("part", F.pmod(F.xxhash64("number"), F.lit(parts)))
     queries = usable.where(F.col("id") % every == 0).distinct()
-    # Queries in blocks of rows that a hash deals evenly; the number of blocks follows their number.
-    n_blocks = int(queries.count() // QUERY_BLOCK + 1)
-    dealt = queries.repartition(n_blocks, F.pmod(F.xxhash64("id"), F.lit(n_blocks)))
-    asked = stored(_blocks(dealt.select("id", "row"), QUERY_BLOCK).withColumnsRenamed({"ids": "q_ids", "rows": "q_rows"}))
-    asked = asked.withColumn("turn", F.pmod(F.xxhash64("q_ids"), F.lit(n_blocks)))
-    held = _blocks(usable, candidate_block)
-    turns = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long")))
-    met = held.withColumn("turn", turns).join(asked, ["width", "turn"])
+    # Groups of rows that a hash deals evenly; their number follows that of the queries.
+    n_groups = int(queries.count() // QUERY_BLOCK + 1)
+    groups = _packed(queries.repartition(n_groups, F.xxhash64("id")), QUERY_BLOCK)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for width, ids, rows, q_ids, q_rows in zip(*[c for c in batch.columns], strict=True):
-                ids, q_ids = (np.frombuffer(x.as_buffer(), np.int64) for x in (ids, q_ids))
-                rows = np.frombuffer(rows.as_buffer(), np.float64).reshape(len(ids), width.as_py())
-                q_rows = np.frombuffer(q_rows.as_buffer(), np.float64).reshape(len(q_ids), width.as_py())
-                order = np.argsort(ids, kind="stable")
-                best = block_best(q_ids, q_rows, ids[order], rows[order], k, levels)
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in best], ["query_id", "id", "score"])
-
-    met = met.select("width", "ids", "rows", "q_ids", "q_rows")
-    best = met.mapInArrow(run, "query_id long, id long, score long")
+    # A query is known by its group and its place there. Any k scores of it give a floor for its best.
+    unknown = F.lit(None).cast("array<long>")
+    one_part = groups.withColumn("part", F.pmod(F.xxhash64("number", F.lit(1)), F.lit(parts))).withColumn("floors", unknown)
+    first = _best(one_part, waiting, k, levels).groupBy("number", "place").agg(F.min("score").alias("floor"), F.count(F.lit(1)).alias("n"))
+    floors = first.where(F.col("n") == k).groupBy("number").agg(F.map_from_entries(F.collect_list(F.struct("place", "floor"))).alias("floors"))
+    places = F.sequence(F.lit(0).cast("long"), (F.octet_length("ids") / 8).cast("long") - 1)
+    known = F.transform(places, lambda place: F.element_at("floors", place))
+    floored = stored(groups.join(floors, "number", "left").withColumn("floors", known))
+    turns = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long")))
+    best = _best(floored.withColumn("part", turns), waiting, k, levels)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("id").alias(id_column if id_column != "query_id" else "id"), "score")
