@@ -16,7 +16,7 @@ import json
 import os
 import unicodedata
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
@@ -50,11 +50,19 @@ def byte_letters() -> list[str]:
 BYTE_LETTERS = np.frombuffer("".join(byte_letters()).encode("utf-32-le"), "<u4")
 
 
+def categories() -> np.ndarray:
+    """The two letters of every code point's category, as bytes."""
+    names = "".join(map(unicodedata.category, map(chr, range(POINTS))))
+    return np.frombuffer(names.encode(), np.uint8).reshape(POINTS, 2)
+
+
 @lru_cache(maxsize=1)
 def classes() -> np.ndarray:
     """The class of every code point."""
-    kinds = {"L": LETTER, "N": NUMBER}
-    table = np.fromiter((kinds.get(unicodedata.category(chr(k))[0], OTHER) for k in range(POINTS)), np.uint8, POINTS)
+    first = categories()[:, 0]
+    table = np.full(POINTS, OTHER, np.uint8)
+    table[first == ord("L")] = LETTER
+    table[first == ord("N")] = NUMBER
     table[BLANKS] = SPACE
     return table
 
@@ -62,7 +70,7 @@ def classes() -> np.ndarray:
 @lru_cache(maxsize=1)
 def unassigned() -> np.ndarray:
     """Where a code point has no character here; the library may know one."""
-    return np.fromiter((unicodedata.category(chr(k)) == "Cn" for k in range(POINTS)), bool, POINTS)
+    return (categories() == np.frombuffer(b"Cn", np.uint8)).all(axis=1)
 
 
 @lru_cache(maxsize=1)
@@ -252,13 +260,16 @@ class Encoder:
         """The entry of each piece; pieces seen for the first time are merged by the library."""
         hashes, first, inverse = np.unique(span_hashes(points, starts, ends), return_index=True, return_inverse=True)
         keys = hashes.tolist()
-        found = list(map(self.entries.get, keys))
-        missing = [k for k, x in enumerate(found) if x is None]
-        if missing and len(self.entries) + len(missing) > MAX_KEPT + len(self.known):
+
+        def looked_up() -> tuple[np.ndarray, np.ndarray]:
+            entries = np.fromiter(map(self.entries.get, keys, repeat(-1)), np.int64, len(keys))
+            return entries, np.flatnonzero(entries < 0)
+
+        found, missing = looked_up()
+        if len(missing) and len(self.entries) + len(missing) > MAX_KEPT + len(self.known):
             self._thin()
-            found = list(map(self.entries.get, keys))
-            missing = [k for k, x in enumerate(found) if x is None]
-        if missing:
+            found, missing = looked_up()
+        if len(missing):
             where = first[missing]
             whole = points[starts[where]] >= POINTS
             plain = np.where(points >= POINTS, points - np.uint32(POINTS), points).astype("<u4", copy=False).tobytes().decode("utf-32-le")
@@ -270,10 +281,8 @@ class Encoder:
                 merged = [next(words if w else cut) for w in whole]
             else:
                 merged = self._piece_ids(texts)
-            self._keep([keys[k] for k in missing], merged)
-            for n, k in enumerate(missing):
-                found[k] = count + n
-        found = np.array(found, np.int64)
+            self._keep(hashes[missing].tolist(), merged)
+            found[missing] = np.arange(count, count + len(missing))
         self.uses[found] += 1
         return found[inverse]
 
