@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from starloom.llm.bytewise import portions
 from starloom.llm.pieces import encoder
 from starloom.llm.tables import ship, stored
 
@@ -163,7 +164,7 @@ def pack(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, part = encoder(tokenizer), TaskContext.get().partitionId()
         before = np.zeros(len(names) + 1, np.int64).tolist()
-        for batch in batches:
+        for batch in (few for batch in batches for few in portions(batch)):
             queues = [queue_of.get(s, len(names)) for s in batch.column(2).to_pylist()]
             starts, lengths, contents = [], [], []
             for queue, ids in zip(queues, tokens.ids(batch.column(1)), strict=True):
