@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import Table
-from ..session import fits_broadcast
+from ..session import broadcast_limit, fits_broadcast, through_table
 
 
 #: Keys that a bitmap (of 4 kB, for 32768 keys in a row) must hold on average to be smaller than they are.
 _DENSE = 1 << 9
+_BITMAP_BYTES = 1 << 12
+_WHOLE = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -51,15 +53,46 @@ def _dense_ranges_with_copies(df: DataFrame, key: str) -> DataFrame | None:
 def orphans(fact: DataFrame, foreign_key: str, dimension: DataFrame, primary_key: str) -> DataFrame:
     """Foreign key values without a dimension row, with the number of fact ``rows``.
 
-    Both sides come down to one row per value before the join, so no value is hot in it.
+    Known values are dropped where the fact is read, by a copy of the dimension's values or, of too
+    many whole numbers, of their bitmaps; only orphans are shuffled then. If both are measured to be too large,
+    both sides come down to one row per value before the join, so no value is hot in it. (A Bloom
+    filter is no help there: it can only prove that a value is unknown, and few are.) NULL refers
+    to nothing and is no orphan.
     """
-    used = (
-        fact.where(F.col(foreign_key).isNotNull())
-        .groupBy(foreign_key)
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    known = dimension.select(F.col(primary_key).alias("_known")).distinct()
-    return used.join(known, used[foreign_key] == known["_known"], "left_anti")
+    used = fact.select(foreign_key).where(F.col(foreign_key).isNotNull())
+    known = dimension.select(F.col(primary_key).alias("_known")).where("_known IS NOT NULL").distinct()
+    is_known = F.col(foreign_key) == F.col("_known")
+    counted = F.count(F.lit(1)).alias("rows")
+    if fits_broadcast(known):
+        return used.join(F.broadcast(known), is_known, "left_anti").groupBy(foreign_key).agg(counted)
+    marks = None
+    if used.schema[foreign_key].dataType in _WHOLE and known.schema["_known"].dataType in _WHOLE:
+        marks = _marks(known, "_known")
+    if marks is not None:
+        return _unmarked(used, foreign_key, marks).groupBy(foreign_key).agg(counted)
+    return used.groupBy(foreign_key).agg(counted).join(known, is_known, "left_anti")
+
+
+def _marks(keys: DataFrame, key: str) -> DataFrame | None:
+    """(_range, _marks): a bit for every key; None if that is too large to be copied."""
+    ranges = keys.select(F.col(key).cast("long").alias("_key"))
+    ranges = ranges.withColumn("_range", F.bitmap_bucket_number("_key"))
+    many = ranges.agg(F.approx_count_distinct("_range")).first()[0]
+    if many * _BITMAP_BYTES > broadcast_limit(keys.sparkSession):
+        return None
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position("_key")).alias("_marks")
+    marks = through_table(ranges.groupBy("_range").agg(bits))
+    return marks if fits_broadcast(marks) else None
+
+
+def _unmarked(rows: DataFrame, key: str, marks: DataFrame) -> DataFrame:
+    """Rows whose key has no bit in ``marks``, which is copied."""
+    value = F.col(key).cast("long")
+    place = F.bitmap_bit_position(value)
+    byte = F.conv(F.hex(F.substring("_marks", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = F.getbit(byte, (place % 8).cast("int")) == 1
+    met = rows.join(F.broadcast(marks), F.bitmap_bucket_number(value) == F.col("_range"), "left")
+    return met.where(F.col("_range").isNull() | ~marked).select(key)
 
 
 def missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:

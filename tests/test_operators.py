@@ -300,10 +300,44 @@ def test_replicated_checks_the_size(spark):
     assert "broadcast" not in ops.replicated(data, 1)._jdf.queryExecution().logical().toString()
 
 
-def test_orphans_count_before_the_join(spark):
+def test_orphans_are_what_the_dimension_lacks(spark):
     fact = frame(spark, [("a",)] * 50 + [("b",)] * 3 + [(None,)] * 9, "k string")
-    dimension = frame(spark, [("b",), ("b",)], "id string")
+    dimension = frame(spark, [("b",), ("b",), (None,)], "id string")
     assert bag(audit.orphans(fact, "k", dimension, "id")) == Counter([("a", 50)])
+    assert bag(audit.orphans(fact, "k", dimension.where("false"), "id")) == Counter([("a", 50), ("b", 3)])
+    assert audit.orphans(fact.where("false"), "k", dimension, "id").collect() == []
+
+
+@pytest.mark.parametrize("limit", ["10MB", "100KB", "-1"])
+def test_orphans_of_whole_numbers(spark, limit):
+    more_ids, more_used = [-(1 << 63), (1 << 63) - 1], [1, 1, 1, -(1 << 63), (1 << 63) - 1, (1 << 63) - 2]
+    ids = {*range(-40_000, 100_000, 2), *more_ids}
+    used = [*range(-45_000, 105_000, 5), *more_used]
+    few_ids = spark.createDataFrame([(n,) for n in more_ids + [None]], "id long")
+    few_used = spark.createDataFrame([(n,) for n in more_used + [None, None]], "k long")
+    root, even = scratch_dir(spark), spark.range(-40_000, 100_000, 2)
+    even.unionAll(even).unionAll(few_ids).write.parquet(f"{root}/ids")
+    spark.range(-45_000, 105_000, 5).toDF("k").unionAll(few_used).write.parquet(f"{root}/used")
+    dimension, fact = spark.read.parquet(f"{root}/ids"), spark.read.parquet(f"{root}/used")
+    want = Counter(Counter(n for n in used if n not in ids).items())
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        found = audit.orphans(fact, "k", dimension, "id")
+        assert bag(found) == want
+        text = plan(found)
+        assert ("_marks" in text) == (limit == "100KB")
+        # Rows of the fact are dropped by the copied table before their first shuffle.
+        assert ("BroadcastHashJoin" in text) == (limit != "-1")
+        if limit != "-1":
+            assert text.index(" Exchange ") < text.index("BroadcastHashJoin") < text.rindex("/used")
+            assert " Exchange " not in text[text.index("BroadcastHashJoin") : text.index("/used")]
+        narrow = frame(spark, [(1,), (2,), (None,)], "k int")
+        assert bag(audit.orphans(narrow, "k", dimension, "id")) == Counter([(1, 1)])
+        far = dimension.where("id % 100 = 0").select((F.col("id").cast("decimal(38)") / 100 * 33_000).cast("long").alias("id"))
+        assert bag(audit.orphans(narrow, "k", far, "id")) == Counter([(1, 1), (2, 1)])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_row_checks(spark):
