@@ -49,6 +49,9 @@ _STRING = r'"(?:[^"\\]++|\\.)*+"'
 _BETWEEN = r"[\s,\uFEFF]+"
 # One object and nothing else, without braces in it: most lines of a log.
 _PLAIN = r"(?s)^\s*\{[^{}]*+\}\s*$"
+# All but the braces outside of strings, and what is left of objects with at most one level of others in them.
+_UNBRACED = rf'(?s)[^{{}}"]++|{_STRING}'
+_SHALLOW = r"^(?:\{(?:\{\})*+\})*+$"
 
 
 def _depth(text: Column) -> Column:
@@ -66,12 +69,11 @@ def _depth(text: Column) -> Column:
 def _object_pattern(depth: Column) -> Column:
     """A pattern of one object with others in it, as deep as asked for.
 
-    Nothing is matched twice, so that a long record does not go deep.
+    Nothing is matched twice, so that a long record does not go deep. ``depth`` is 2 or more.
     """
     inside = rf'[^{{}}"]++|{_STRING}'
     flat = F.lit(rf"\{{(?:{inside})*+\}}")
-    deeper = F.when(depth > 1, F.sequence(F.lit(2), depth)).otherwise(F.array().cast("array<int>"))
-    whole = F.aggregate(deeper, flat, lambda so_far, _: F.concat(F.lit(rf"\{{(?:{inside}|"), so_far, F.lit(r")*+\}")))
+    whole = F.aggregate(F.sequence(F.lit(2), depth), flat, lambda so_far, _: F.concat(F.lit(rf"\{{(?:{inside}|"), so_far, F.lit(r")*+\}")))
     return F.concat(F.lit("(?s)"), whole)
 
 
@@ -79,9 +81,11 @@ def _objects(texts: DataFrame) -> DataFrame:
     """(object): every object in the texts ``value``, each with all that is nested in it."""
 
     def searched(text: Column) -> Column:
-        # Depths in steps, so that few patterns are made.
+        # Depths in steps, so that few patterns are made; only texts with deep objects are counted through.
         steps = F.pow(F.lit(2), F.ceil(F.log2(F.greatest(_depth(text), F.lit(2))))).cast("int")
-        return F.transform(F.array(_object_pattern(steps)), cut)[0]
+        shallow = F.regexp_replace(text, _UNBRACED, "").rlike(_SHALLOW)
+        pattern = F.when(shallow, _object_pattern(F.lit(2))).otherwise(_object_pattern(steps))
+        return F.transform(F.array(pattern), cut)[0]
 
     def cut(pattern: Column) -> Column:
         rest = F.regexp_replace(F.regexp_replace("value", pattern, F.lit("")), _BETWEEN, "")
@@ -149,7 +153,7 @@ def _records(objects: DataFrame, keys: Mapping[str, str], keep: tuple[str, str]
 
     if keep:
         decides = value(values([keep[0]]), keep[0])
-        objects = objects.where(decides.isNull() | (decides == keep[1]))
+        objects = objects.where(F.coalesce(decides, F.lit(keep[1])) == keep[1])  # named once, so parsed once
     parsed = objects.select(values(keys).alias("record"))
     return parsed.select(*[value(F.col("record"), key).alias(key) for key in keys])
 
@@ -175,8 +179,8 @@ def _typed(raw: DataFrame, keys: Mapping[str, str], table: schemas.Table, strict
         if strict:
             given = F.col(f"`{key}`").cast("string")
             message = F.concat(F.lit(f"{table.name}.{keys[key]} cannot hold "), given)
-            lost = (given != "") & typed.isNull()
-            typed = F.when(lost, F.raise_error(message).cast(table_type(table, keys[key]))).otherwise(typed)
+            stop = F.raise_error(message).cast(table_type(table, keys[key]))
+            typed = F.coalesce(typed, F.when(given != "", stop))  # named once, so converted once
         columns.append(typed.alias(keys[key]))
     return raw.select(*columns)
 

@@ -398,3 +398,19 @@ def test_records_of_other_pages_are_left_out_before_they_are_parsed(spark, log_d
     (tmp_path / "b.json").write_text('{"page": "Home", "ts": }')
     with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST|malformed"):
         read_log(spark, str(tmp_path), page="NextSong").collect()
+
+
+def test_only_texts_with_deep_objects_are_counted_through(spark, tmp_path):
+    flat, deep = '{"song_id": "S%d", "title": "}{ \\" ["}', '{"song_id": "S%d", "title": {"a": {"b": "{"}}}'
+    (tmp_path / "flat.json").write_text("[" + ",\n".join(flat % k for k in range(20_000)) + "]")
+    (tmp_path / "mixed.json").write_text("\n".join((flat, deep)[k % 2] % k for k in range(100)))
+    found = read_songs(spark, str(tmp_path)).select("song_id")
+    assert sorted(r.song_id for r in found.collect()) == sorted(f"S{k}" for k in [*range(20_000), *range(100)])
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE(regexp_replace(" in text and text.count("aggregate(regexp_extract_all(") == 1
+    for wrong in ('{"song_id": "S1"}}', '{"song_id": {"a": 1}', '{"song_id": "S1}', '{"song_id": "S1"} "{}'):
+        folder = tmp_path / f"wrong{len(wrong)}"
+        folder.mkdir()
+        (folder / "a.json").write_text(wrong)
+        with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+            read_songs(spark, str(folder)).collect()

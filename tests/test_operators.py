@@ -253,6 +253,13 @@ def test_staging_is_one_pass_over_the_log(spark, log_dir):
     assert not any("Filter" in line and "from_json(StructField(artist," in line for line in text.splitlines())
 
 
+def test_values_are_parsed_and_converted_once(spark, log_dir):
+    text = plan(typed_log(read_log(spark, log_dir, page="NextSong"), strict=True))
+    kept = next(line for line in text.splitlines() if "Filter" in line)
+    assert kept.count("from_json(StructField(page,") == 1, kept
+    assert len(re.findall(r"try_cast\(record#\d+\.itemInSession as int\)", text)) == 1, text
+
+
 def test_bucketed_tables_join_in_place(spark):
     text = plan(registry.bucketed_join(spark, SF_DIR))
     assert "SortMergeJoin" in text and "Exchange" not in text
