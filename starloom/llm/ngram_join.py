@@ -11,8 +11,8 @@ The same idea is used twice.
   over all texts. Similar sets share a number T' of these, so a set may skip its longest lists, up
   to one less than the least T'; what it shares on the others must still reach T' less these.
   Before that, each set is tried against the first text (by id) that has one of its smallest
-  hashes; sets that turn out to be linked form clusters, and clusters whose first sets have the same
-  smallest hash a family, which stands on a list only once. So a list of very many copies, or of
+  hashes; sets that turn out to be linked form clusters, and clusters with the same smallest hash
+  that others have as well a family, which stands on a list only once. So a list of very many copies, or of
   very many texts that are much alike, has few entries.
 * Comparing: sets go to blocks of target sets of bounded size, where DivideSkip runs over the lists
   of the whole sets.
@@ -38,7 +38,7 @@ from pyspark.sql.window import Window
 
 from starloom.llm.bytewise import BLANK, LOWER, cache_of, mix, ngram_hashes, portions, row_bounds, slices, span_hashes, words
 from starloom.llm.graph import components
-from starloom.llm.tables import beside, carried, quoted, ship, stored
+from starloom.llm.tables import beside, carried, quoted, released, ship, stored
 
 #: N-grams of target sets in a block, and of the sets compared with them in one go.
 BLOCK_GRAMS = 1_000_000
@@ -180,6 +180,30 @@ class Index:
         return found[100 * shared >= threshold.percent * (len(grams) + self.sizes[found] - shared)].tolist()
 
 
+class Roots:
+    """What links hold together within a block; of each group the least name is the root."""
+
+    def __init__(self):
+        self.above: dict[bytes, bytes] = {}
+
+    def root(self, name: bytes) -> bytes:
+        top = name
+        while (up := self.above.setdefault(top, top)) != top:
+            top = up
+        while name != top:
+            self.above[name], name = top, self.above[name]
+        return top
+
+    def join(self, a: bytes, b: bytes) -> None:
+        low, high = sorted((self.root(a), self.root(b)))
+        self.above[high] = low
+
+    def links(self) -> tuple[list[bytes], list[bytes]]:
+        """Each name but the roots, and its root."""
+        names = [x for x, up in self.above.items() if x != up]
+        return names, [self.root(x) for x in names]
+
+
 def _numbers(column: str) -> Column:
     """A row for each whole number from 0 to one below the column's."""
     return F.explode(F.sequence(F.lit(0).cast("long"), F.col(column) - 1))
@@ -243,39 +267,47 @@ class NgramJoin:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["name", "size", "grams"])
 
-        wanted = beside(stored(wanted.withColumnRenamed("id", "wanted_id")))
-        texts = self.source.join(wanted, F.col("id").eqNullSafe(F.col("wanted_id"))).select("text", "name")
-        return texts.mapInArrow(run, "name binary, size long, grams binary").dropDuplicates(["name"])
+        wanted = stored(wanted.withColumnRenamed("id", "wanted_id"))
+        texts = self.source.join(beside(wanted), F.col("id").eqNullSafe(F.col("wanted_id"))).select("text", "name")
+        whole = stored(texts.mapInArrow(run, "name binary, size long, grams binary"))
+        # Every wanted set is there; only rows repeated with their ids give one more than once.
+        several = whole.count() > wanted.count()
+        return stored(whole.dropDuplicates(["name"])) if several else whole
 
     def _search(self, queries: DataFrame, members: DataFrame, count: bool = False) -> DataFrame:
         """Links (a, b) of sets a with similar sets b, for queries (a, target) and members (b, target).
 
         ``members`` also has their sizes. Targets are dealt to blocks, large ones to several; a set
         goes to every block of each of its targets. The queries of a block are cut by their n-grams and by
-        the entries that they may meet. With ``count`` the result is (a, n): links only counted.
+        the entries that they may meet. Of the links that a block finds only as many come out as hold its
+        sets together, each to the least one. With ``count`` the result is (a, n): links only counted.
         """
         threshold = self.threshold
-        queries, members = self._gathered_targets(stored(queries), stored(members))
+        given = stored(queries), stored(members)
+        queries, members = self._gathered_targets(*given)
+        released(*given)
         names = queries.select(F.col("a").alias("name")).unionAll(members.select(F.col("b").alias("name"))).distinct()
-        ids = self.classes.select("name", "id")
-        whole = stored(self._whole_sets(ids.join(names, "name")))
+        sizes = self.classes.select("name", "id", "size")
+        whole = self._whole_sets(sizes.join(names, "name").select("name", "id"))
         grams = members.agg(F.sum("size")).first()[0] or 0
         blocks = int(grams // BLOCK_GRAMS + 1)
         parts = members.groupBy("target").agg(F.ceil(F.sum("size") / BLOCK_GRAMS).alias("parts"), F.count(F.lit(1)).alias("members"))
         block = F.pmod(F.xxhash64("target"), F.lit(blocks)).alias("block")
-        index = members.join(parts, "target").select("b", block, F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"))
+        index = members.join(parts, "target").select(F.col("b").alias("name"), block, F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"))
         each = F.ceil(F.col("members") / F.col("parts")).alias("members")
-        asked = queries.join(parts, "target").select("a", block, _numbers("parts").alias("part"), each)
-        asked = asked.groupBy("a", "block", "part").agg(F.sum("members").alias("members"))
-        asked = asked.join(whole.select(F.col("name").alias("a"), "size", "grams"), "a")
+        asked = queries.join(parts, "target").select(F.col("a").alias("name"), block, _numbers("parts").alias("part"), each)
+        asked = asked.groupBy("name", "block", "part").agg(F.sum("members").alias("members"))
+        asked = stored(asked.join(sizes.select("name", "size"), "name"))
         met = F.sum(F.col("size").cast("double") * F.col("members"))
         load = asked.groupBy("block", "part").agg(F.greatest(F.ceil(F.sum("size") / QUERY_GRAMS), F.ceil(met / WORK)).alias("turns"))
-        asked = asked.join(load, ["block", "part"]).select(
-            "block", "part", F.pmod(F.xxhash64("a"), F.col("turns")).alias("turn"), F.lit(True).alias("asks"), F.col("a").alias("name"), "grams"
+        asks = asked.join(load, ["block", "part"]).select(
+            "name", "block", "part", F.pmod(F.xxhash64("name"), F.col("turns")).alias("turn"), F.lit(True).alias("asks")
         )
-        index = index.distinct().join(whole.select(F.col("name").alias("b"), "grams"), "b").join(load, ["block", "part"]).select(
-            "block", "part", _numbers("turns").alias("turn"), F.lit(False).alias("asks"), F.col("b").alias("name"), "grams"
+        held = index.distinct().join(load, ["block", "part"]).select(
+            "name", "block", "part", _numbers("turns").alias("turn"), F.lit(False).alias("asks")
         )
+        # Places are short rows; the sets themselves are sent to them once.
+        places = stored(asks.unionAll(held))
 
         def run(table: pa.Table) -> pa.Table:
             cache_of("sets")
@@ -284,19 +316,28 @@ class NgramJoin:
             sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("grams")]
             held = [k for k, x in enumerate(asks) if not x]
             lists = Index([sets[k] for k in held])
-            left, right = [], []
+            left, right, roots = [], [], Roots()
             for k, x in enumerate(asks):
                 if x:
                     found = [named[held[n]] for n in lists.similar(sets[k], threshold) if named[held[n]] != named[k]]
-                    left.extend([named[k]] * (1 if count else len(found)))
-                    right.extend([len(found)] if count else found)
+                    if count:
+                        left.append(named[k])
+                        right.append(len(found))
+                    for other in [] if count else found:
+                        roots.join(named[k], other)
+            if not count:
+                left, right = roots.links()
             kind = pa.int64() if count else pa.binary()
             return pa.table({"a": pa.array(left, pa.binary()), "n" if count else "b": pa.array(right, kind)})
 
-        dealt = asked.unionAll(index).groupBy("block", "part", "turn")
+        dealt = beside(places).join(whole.select("name", "grams"), "name").groupBy("block", "part", "turn")
         if count:
-            return dealt.applyInArrow(run, "a binary, n long").groupBy("a").agg(F.sum("n").alias("n"))
-        return dealt.applyInArrow(run, "a binary, b binary").distinct()
+            found = dealt.applyInArrow(run, "a binary, n long").groupBy("a").agg(F.sum("n").alias("n"))
+        else:
+            found = dealt.applyInArrow(run, "a binary, b binary")
+        found = stored(found)
+        released(queries, members, asked, places, whole)
+        return found
 
     def _gathered_targets(self, queries: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Both with targets that are sought together made one, so that a set goes to fewer blocks.
@@ -324,7 +365,9 @@ class NgramJoin:
         near = (F.least("size", "b_size") * 100 >= F.greatest("size", "b_size") * self.threshold.percent) & (F.col("name") != F.col("b"))
         tries = stored(few.join(first, "gram").where(near).select(F.col("name").alias("a"), "b", "b_size").distinct())
         members = tries.select("b", F.col("b").alias("target"), F.col("b_size").alias("size")).distinct()
-        return self._search(tries.select("a", F.col("b").alias("target")), members)
+        links = self._search(tries.select("a", F.col("b").alias("target")), members)
+        released(tries)
+        return links
 
     def _other_links(self, clusters: DataFrame) -> DataFrame:
         """All links between sets of different clusters."""
@@ -342,55 +385,65 @@ class NgramJoin:
         )
         lists = lists.where("g0 <> g1").select("gram", "length").hint("shuffle_hash")
         live = stored(dealt.join(lists, "gram").distinct())
-        # Sets are sought by families: clusters whose first set has the same smallest hash. Texts that
-        # are much alike but not linked are mostly of one family, so they are one entry of a list.
-        heads = clusters.select("component").distinct().join(self.classes.select(F.col("name").alias("component"), F.col("head").alias("family")), "component")
-        sets = self.classes.join(beside(stored(clusters.join(heads, "component"))), "name", "left")
-        sets = sets.select("name", "size", "need", F.coalesce("family", "head").alias("family"), F.xxhash64("name").alias("set"))
-        sets = stored(sets)
-        sizes = sets.select("set", "size", "need", "family")
-        # A set skips its need - 1 longest lists; one with fewer lists than it needs has no partner.
+        sizes = self.classes.select(F.xxhash64("name").alias("set"), "name", "size", "need")
+        # A set skips its need - 1 longest lists; one with fewer lists than it needs has no partner. Both
+        # of a pair skip lists from the same end of one order, so of those that they share only as
+        # many are missed as the one with the larger need skips.
         order = Window.partitionBy("set").orderBy("length", "gram")
-        ranked = live.withColumn("rank", F.row_number().over(order)).withColumn(
-            "lists", F.count(F.lit(1)).over(Window.partitionBy("set"))
+        of_set = Window.partitionBy("set")
+        ranked = live.withColumn("rank", F.row_number().over(order)).withColumns(
+            {"lists": F.count(F.lit(1)).over(of_set), "head": F.min("gram").over(of_set)}
         )
         ranked = ranked.join(sizes, "set").where("rank <= lists - need + 1")
-        probes = ranked.select("set", "size", "need", F.col("group").alias("own"), "gram")
-        on_list = live.join(sizes, "set").groupBy("gram", "family").agg(
-            F.min("size").alias("low"), F.max("size").alias("high"), F.min("group").alias("g0"), F.max("group").alias("g1")
+        probes = stored(ranked.select("set", "size", "need", F.col("group").alias("own"), "gram", "head"))
+        released(live)
+        # Sets are sought by families: clusters of the same smallest hash among those on lists of several
+        # groups. Texts that are much alike but not linked are of few families, so they are few entries of
+        # a list. (Of hashes that no other text has, each such text would be a family of its own.)
+        family = stored(probes.groupBy("own").agg(F.min("head").alias("family")))
+        sets = stored(probes.select("set", "own").distinct().join(beside(family), "own").join(sizes.select("set", "name", "size"), "set"))
+        entries = probes.select("gram", "size", "need", "own").join(beside(family), "own")
+        on_list = entries.groupBy("gram", "family").agg(
+            F.min("size").alias("low"), F.max("size").alias("high"), F.max("need").alias("most"), F.min("own").alias("g0"), F.max("own").alias("g1")
         )
         near = (F.col("low") * percent <= F.col("size") * 100) & (F.col("high") * 100 >= F.col("size") * percent)
         met = probes.join(on_list, "gram").where(near & ((F.col("own") != F.col("g0")) | (F.col("own") != F.col("g1"))))
         shared = met.groupBy("set", "size", "need", "family").agg(
-            F.count(F.lit(1)).alias("n"), F.min("low").alias("low"), F.max("high").alias("high")
+            F.count(F.lit(1)).alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.max("most").alias("most")
         )
         # T' grows with the other's size up to the own size and falls beyond it: the least is at an
         # end, or one less between them by rounding.
         low = F.greatest("low", F.ceil(F.col("size") * percent / 100))
         high = F.least("high", F.floor(F.col("size") * 100 / percent))
         least = F.least(*[threshold.shared_held_sql(F.col("size"), x) for x in (low, high)])
-        enough = shared.where(F.col("n") >= least - F.col("need")).select("set", F.col("family").alias("target"))
+        # Needs are SPARE percent of the size and up to 3 more, so the larger need is bounded by the own one.
+        need = F.greatest("need", F.least("most", F.ceil(F.col("need") * 100 / percent) + 4))
+        enough = shared.where(F.col("n") >= least - need).select("set", F.col("family").alias("target"))
         tries = stored(enough.join(sets.select("set", F.col("name").alias("a")), "set").select("a", "target"))
         targets = tries.select("target").distinct()
         members = sets.select(F.col("name").alias("b"), F.col("family").alias("target"), "size").join(targets, "target", "left_semi")
-        return self._search(tries, members)
+        links = self._search(tries, members)
+        released(probes, family, sets, tries)
+        return links
 
     def run(self) -> DataFrame:
         named = self.sets.where("name IS NOT NULL")
         place = F.struct("id", "text_hash")
         classes = named.groupBy("name").agg(
-            F.min(place).alias("first"), F.min("id").alias("id"), F.max("size").alias("size"), F.max("need").alias("need"), F.max(F.col("held")[0]).alias("head"), F.count(F.lit(1)).alias("n")
+            F.min(place).alias("first"), F.min("id").alias("id"), F.max("size").alias("size"), F.max("need").alias("need"), F.count(F.lit(1)).alias("n")
         )
         classes = stored(classes)
-        self.classes = classes.select("name", "id", "size", "need", "head")
+        self.classes = classes.select("name", "id", "size", "need")
         # Of rows with equal sets only one goes on; there are few others, or they are many of few.
         several = beside(stored(classes.where("n > 1").select("name", "first")))
         copies = named.select("name", place.alias("row")).join(several, "name").where(~F.col("row").eqNullSafe(F.col("first")))
         copies = beside(stored(copies.select(F.col("row.id").alias("gone_id"), F.col("row.text_hash").alias("gone_hash")).distinct()))
         gone = F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash"))
         self.different = named.join(copies, gone, "left_anti")
-        links = stored(self._first_links())
-        links = stored(links.unionAll(self._other_links(components(links))))
+        clusters = stored(components(self._first_links()))
+        links = clusters.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(self._other_links(clusters))
+        slim = stored(self.sets.select("id", "text_hash", "size", "name"))
+        released(self.sets)
         classes = self.classes.select("name", "id").join(
             components(links).select(F.col("node").alias("name"), "component"), "name", "left"
         )
@@ -402,7 +455,7 @@ class NgramJoin:
             answer = answer.join(self._link_counts(classes), "name", "left").withColumn("n_links", F.coalesce("n", F.lit(0)))
             columns.append("n_links")
         answer = stored(answer.select(*columns))
-        joined = self.sets.select("id", "text_hash", "size", "name").join(answer, "name", "left")
+        joined = slim.join(answer, "name", "left")
         return joined.select(
             "id",
             "text_hash",

@@ -42,7 +42,17 @@ def stored(df: DataFrame, codec: str = "snappy") -> DataFrame:
     spark = df.sparkSession
     target = f"{scratch_dir(spark)}/table"
     df.write.option("compression", codec).parquet(target)
-    return spark.read.schema(df.schema).parquet(target)
+    table = spark.read.schema(df.schema).parquet(target)
+    table.stored_at = target
+    return table
+
+
+def released(*tables: DataFrame) -> None:
+    """Removes the files of ``stored`` tables that nothing reads any more, to free the shared folder early."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def quoted(name: str) -> str:

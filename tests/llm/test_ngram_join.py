@@ -177,3 +177,33 @@ def test_components(spark):
     got = components(spark.createDataFrame(links, "a long, b long")).collect()
     assert len(got) == len(want) and {r.node: r.component for r in got} == want
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_components_set_leaves_aside_and_stored_tables_are_released(spark):
+    import os
+
+    from starloom.llm.graph import _leaves, components
+    from starloom.llm.tables import released, stored
+
+    links = spark.createDataFrame([(1, 5), (5, 1), (1, 6), (2, 7), (7, 3), (8, 8), (None, 9), (20, 21), (21, 22)], "a long, b long")
+    got = sorted(tuple(r) for r in components(links).collect())
+    assert got == [(1, 1), (2, 2), (3, 2), (5, 1), (6, 1), (7, 2), (20, 20), (21, 20), (22, 20)]
+    star = spark.createDataFrame([(n, 0) for n in range(1, 200)], "a long, b long")
+    assert _leaves(star).count() == 199 and {r.component for r in components(star).collect()} == {0}
+    table = stored(star)
+    released(table)
+    assert not os.path.exists(table.stored_at.removeprefix("file:"))
+
+
+def test_a_block_gives_no_more_links_than_hold_its_sets_together():
+    from starloom.llm.ngram_join import Roots
+
+    roots = Roots()
+    names = [bytes([n]) for n in range(20)]
+    for a in names[:10]:
+        for b in names[:10]:
+            if a != b:
+                roots.join(a, b)
+    roots.join(names[19], names[15])
+    left, right = roots.links()
+    assert sorted(zip(left, right, strict=True)) == [*((x, names[0]) for x in names[1:10]), (names[19], names[15])]
