@@ -103,14 +103,14 @@ def write_log_files(spark: SparkSession, sf_dir: str, target: str) -> str:
 def write_song_files(spark: SparkSession, sf_dir: str, target: str) -> str:
     """The catalogue as pretty-printed JSON over many lines, in two levels of folders.
 
-    A file is an array of at most 512 neighbouring rows of one input split.
+    A file is an array of at most 4096 neighbouring rows of one input split.
     """
     pretty = {"pretty": "true", "ignoreNullFields": "false"}
     (
         raw_songs(spark, sf_dir)
         .select(
             F.to_json(F.struct("*"), pretty).alias("record"),
-            F.shiftright(F.monotonically_increasing_id(), 9).alias("chunk"),
+            F.shiftright(F.monotonically_increasing_id(), 12).alias("chunk"),
         )
         .groupBy("chunk")
         .agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("record"), ",\n"), F.lit("\n]")).alias("value"))
