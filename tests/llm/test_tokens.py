@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from starloom.llm import pieces
+from starloom.llm import packing, pieces, tables
 from starloom.llm.packing import Mixture, pack, play
 from starloom.llm.pieces import Encoder
 from starloom.llm.token_count import count_tokens, whole_tokens
@@ -207,6 +207,63 @@ def test_rounds_give_each_quota_once_and_fill_windows(quotas):
     assert (abs(np.cumsum(served, 0)[:-1] - ideal[:-1]) < 2.01).all()
 
 
+def test_spans_played_side_by_side_are_those_played_alone():
+    rnd = np.random.default_rng(4)
+    some = [rnd.multinomial(64 * 20 - k % 64, rnd.dirichlet(np.full(9, 0.3))) for k in range(50)]
+    assert all((a == play(b, 64)).all() for a, b in zip(play(np.array(some), 64), some, strict=True))
+
+
+@pytest.mark.parametrize("played", [1, 1 << 20])
+@pytest.mark.parametrize("shares", [None, [n % 5 for n in range(12)]])
+def test_a_batch_plays_a_span_once_however_far_apart_its_queues_stand(shares, played, monkeypatch):
+    """More spans than are kept, in turn: texts used to play theirs again one by one."""
+    monkeypatch.setattr(packing, "PLAYED", played)
+    monkeypatch.setattr(packing, "BATCH", 100)
+    counts = []
+    monkeypatch.setattr(packing, "play", lambda quotas, window: counts.append(len(quotas)) or play(quotas, window))
+    lengths = [900 + 100 * n for n in range(11)] + [3]
+    mixture = Mixture(lengths, shares, window=64, span=4)
+    want, counts[:] = {}, []
+    for span in range(mixture.spans):
+        at, last = mixture.given(span), mixture.given(span + 1)
+        for k, served in enumerate(play(np.array(last) - np.array(at), 64).tolist()):
+            full = [(n, p) for n, many in enumerate(served) for p in range(at[n], at[n] + many)]
+            at = [a + many for a, many in zip(at, served, strict=True)]
+            want |= {(4 * span + k, offset): x for offset, x in enumerate(full)}
+    texts = [(n, p, min(long, lengths[n] - p)) for n, long in enumerate([30] * 6 + [1, 7, 64, 300, 2000, 30]) for p in range(0, lengths[n], long)]
+    random.Random(7).shuffle(texts)
+    got = {}
+    for first in range(0, len(texts), 200):
+        some = texts[first : first + 200]
+        contents = [np.arange(p, p + many, dtype="<u4") + 70_000 * n for n, p, many in some]
+        columns = [pa.array(range(first, first + len(some)), pa.int64()), pa.array([n for n, _, _ in some], pa.int32()), *(pa.array([x[k] for x in some], pa.int64()) for k in (1, 2))]
+        columns.append(pa.array([x.view("<u2").reshape(-1, 2).T.tobytes() for x in contents], pa.binary()))
+        counts.clear()
+        for batch in packing.cut(mixture, iter([pa.RecordBatch.from_arrays(columns, ["id", "queue", "position", "n_ids", "ids"])])):
+            for p in batch.to_pylist():
+                n, position, many = texts[p["id"]]
+                assert p["queue"] == n and p["doc_tokens"] == many and p["padded_length"] <= 64
+                part = contents[p["id"] - first][p["start"] : p["start"] + p["length"]]
+                assert zlib.crc32(part.tobytes()) == p["ids_crc32"]
+                got |= {(p["sequence_id"], p["offset"] + k): (n, position + p["start"] + k) for k in range(p["length"])}
+        assert sum(counts) <= mixture.spans
+        assert len(mixture.rounds) <= 2 * max(1, played // (4 * len(lengths)))
+    assert got == want and mixture.spans > 8
+
+
+def test_pieces_are_the_same_when_places_are_not_copied(spark, make, prose, monkeypatch):
+    rows = odd_rows() + [(100 + n, prose(1 + n % 40), f"s{n % 5}") for n in range(200)]
+    docs = make(rows, SCHEMA)
+    copied = sorted(map(repr, pack(docs, BYTES, window=64, span=4).collect()))
+    monkeypatch.setattr(tables, "COPIED_BYTES", 0)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert sorted(map(repr, pack(docs, BYTES, window=64, span=4).collect())) == copied
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 @pytest.mark.parametrize("shares", [None, [1, 1, 1], [5, 0, 1]])
 def test_mixture_gives_everything_in_order(shares):
     mixture = Mixture([5000, 70, 1], shares, window=64, span=4)
