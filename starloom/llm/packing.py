@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from starloom.llm.bytewise import portions
+from starloom.llm.bytewise import give_back, portions
 from starloom.llm.pieces import encoder
 from starloom.llm.tables import beside, ship, stored
 
@@ -230,6 +230,8 @@ def cut(mixture: Mixture, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
                     columns = [pa.array(x) for x in (*columns[:3], lengths[text], *columns[3:], queues[text].astype(np.int64))]
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(text)), *columns], KEPT)
                     out = []
+    mixture.rounds = {}
+    give_back()
 
 
 def _cut_span(mixture: Mixture, span: int, rounds: Rounds, parts: np.ndarray, ids: pa.Array) -> tuple[np.ndarray, ...]:

@@ -247,7 +247,7 @@ def test_a_batch_plays_a_span_once_however_far_apart_its_queues_stand(shares, pl
                 assert zlib.crc32(part.tobytes()) == p["ids_crc32"]
                 got |= {(p["sequence_id"], p["offset"] + k): (n, position + p["start"] + k) for k in range(p["length"])}
         assert sum(counts) <= mixture.spans
-        assert len(mixture.rounds) <= 2 * max(1, played // (4 * len(lengths)))
+        assert not mixture.rounds
     assert got == want and mixture.spans > 8
 
 
